@@ -6,16 +6,20 @@ scalar subquery over those counts (Spark reuses their exchange).
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.coerce import as_text
 from shelfcast.functions.scalars import ratio
 
+ITEM_COLUMNS = ["item_nbr", "family", "class", "perishable"]
+STORE_COLUMNS = ["store_nbr", "city", "state", "type", "cluster"]
 
-def _share(counts, name):
-    """``n`` divided by the sum of all ``n``."""
+
+def share(counts, name):
+    """``n`` divided by the sum of all ``n`` (0 when that sum is 0)."""
     total = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn(name, F.col("n").cast("double") / total.cast("double")).drop("n")
+    return counts.withColumn(name, ratio(F.col("n"), total)).drop("n")
 
 
 def _counts(df, key):
@@ -24,21 +28,24 @@ def _counts(df, key):
 
 def value_frequency(df, key, name="freq"):
     """Share of rows per value; rows with a null value are not counted at all."""
-    return _share(_counts(df, key), name)
+    return share(_counts(df, key), name)
 
 
-def weighted_frequency(weights, key, name):
-    """Share of the weight ``n`` per value of ``key``."""
-    present = weights.filter(F.col(key).isNotNull())
-    return _share(present.groupBy(key).agg(F.sum("n").alias("n")), name)
+def _sum_within(*keys):
+    """Sum of ``n`` over the rows sharing ``keys``. Used only on tables already reduced to one
+    row per distinct combination of a few categories, so no group grows with the data."""
+    return F.sum("n").over(Window.partitionBy(*keys))
 
 
-def conditional_frequency(weights, outer, inner, name):
-    """Weight of (outer, inner) divided by the weight of outer."""
-    pairs = weights.groupBy(outer, inner).agg(F.sum("n").alias("n_pair"))
-    wholes = pairs.groupBy(outer).agg(F.sum("n_pair").alias("n_whole"))
-    return pairs.join(wholes, outer).select(
-        outer, inner, ratio(F.col("n_pair"), F.col("n_whole")).alias(name)
+def class_shares(pairs):
+    """Shares per distinct (family, class) with its number of items ``n``."""
+    total = pairs.agg(F.sum("n")).scalar()
+    return pairs.select(
+        "family",
+        "class",
+        ratio(_sum_within("family"), total).alias("family_freq_items"),
+        ratio(_sum_within("class"), total).alias("class_freq_items"),
+        ratio(F.col("n"), _sum_within("family")).alias("class_freq_in_family"),
     )
 
 
@@ -52,38 +59,46 @@ def item_features(items):
         F.coalesce(F.col("class"), F.lit(-1)).cast("string").alias("class"),
     )
     pairs = clean.groupBy("family", "class").agg(F.count(F.lit(1)).alias("n"))
-    by_pair = (
-        conditional_frequency(pairs, "family", "class", "class_freq_in_family")
-        .join(weighted_frequency(pairs, "family", "family_freq_items"), "family")
-        .join(weighted_frequency(pairs, "class", "class_freq_items"), "class")
-    )
-    return clean.join(by_pair, ["family", "class"]).select(
-        "item_nbr", "perishable", "family_freq_items", "class_freq_items", "class_freq_in_family"
+    return clean.join(class_shares(pairs), ["family", "class"]).drop("family", "class")
+
+
+def place_shares(places):
+    """Shares per distinct (type, state, city) with its number of history rows ``n``."""
+    total = places.agg(F.sum("n")).scalar()
+    return places.select(
+        "type",
+        "state",
+        "city",
+        ratio(_sum_within("type"), total).alias("type_freq"),
+        ratio(_sum_within("state"), total).alias("state_freq"),
+        ratio(_sum_within("city"), total).alias("city_freq"),
+        ratio(_sum_within("state", "city"), _sum_within("state")).alias("city_freq_in_state"),
     )
 
 
-def store_weights(history, stores):
-    """Stores with their number of history rows. The history is counted per store first, so
-    the join is between two store-sized tables."""
+def weigh_stores(stores, per_store):
+    """Stores with their number of history rows ``n`` (0 without any)."""
     places = stores.select(
         "store_nbr",
         *[as_text(F.col(c), "UNKNOWN").alias(c) for c in ("type", "state", "city")],
         F.coalesce(F.col("cluster"), F.lit(-1)).cast("int").alias("cluster"),
     )
-    return places.join(_counts(history, "store_nbr"), "store_nbr", "left").withColumn(
-        "n", F.coalesce("n", F.lit(0))
-    )
+    return places.join(per_store, "store_nbr", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-def store_features(history, stores):
+def store_weights(history, stores):
+    """The history is counted per store first, so the join is between store-sized tables."""
+    return weigh_stores(stores, _counts(history, "store_nbr"))
+
+
+def store_shares(weights):
     """Per store: cluster, and how often its type, state and city occur in the history."""
-    weights = store_weights(history, stores)
-    out = weights.drop("n")
-    for key in ("type", "state", "city"):
-        out = out.join(weighted_frequency(weights, key, f"{key}_freq"), key, "left")
-    within = conditional_frequency(weights, "state", "city", "city_freq_in_state")
-    out = out.join(within, ["state", "city"], "left")
-    shares = ["type_freq", "state_freq", "city_freq", "city_freq_in_state"]
-    return out.select(
-        "store_nbr", "cluster", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in shares]
+    places = weights.groupBy("type", "state", "city").agg(F.sum("n").alias("n"))
+    return (
+        weights.join(place_shares(places), ["type", "state", "city"])
+        .drop("type", "state", "city", "n")
     )
+
+
+def store_features(history, stores):
+    return store_shares(store_weights(history, stores))

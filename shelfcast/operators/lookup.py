@@ -18,6 +18,16 @@ def small_enough(table, n_rows, limit=BROADCAST_BYTES):
     return n_rows * row_bytes(table.schema) <= limit
 
 
+def merge(keys, *tables):
+    """One lookup table from several that are each unique on ``keys``: stacked and collapsed
+    in a single shuffle, where a chain of full joins would need one per table."""
+    stacked = tables[0]
+    for table in tables[1:]:
+        stacked = stacked.unionByName(table, allowMissingColumns=True)
+    values = [c for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
+
 def lookup(rows, table, keys, n_rows=None, limit=BROADCAST_BYTES):
     """``rows`` with the columns of ``table`` (unique on ``keys``), null where absent.
 

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import scalars as S
 from shelfcast.functions.coerce import as_date, as_int, not_null, parse_flag, require_columns
 from shelfcast.operators import frequency, holidays, rolling
-from shelfcast.operators.lookup import BROADCAST_BYTES, lookup
+from shelfcast.operators.lookup import BROADCAST_BYTES, lookup, merge
 from shelfcast.operators.rolling import KEY
 from shelfcast.session import shared_dir
 
@@ -49,6 +51,7 @@ STATE_KEYS = {
     "day": ["date"],
     "sales_hist": KEY,
 }
+LOOKUPS = ["store", "item", "store_day", "day"]
 
 
 class _GapParams(Params):
@@ -71,31 +74,39 @@ def target_column(df):
     raise ValueError(f"the history needs one of {TARGETS}: call add_target first")
 
 
-def store_state(history, tables, rolls):
+def key_counts(history):
+    """Rows per store and rows per item, from one scan of the history."""
+    sets = [["store_nbr"], ["item_nbr"]]
+    return history.groupingSets(sets, "store_nbr", "item_nbr").agg(F.count(F.lit(1)).alias("n"))
+
+
+def counts_of(counts, key):
+    """The part of ``key_counts`` that belongs to one key (the other key is null there)."""
+    return counts.filter(F.col(key).isNotNull()).select(key, "n")
+
+
+def store_state(counts, stores, rolls):
     """Everything looked up by store, in one table: one join at scoring time instead of three."""
-    return (
-        frequency.value_frequency(history, "store_nbr", "store_freq")
-        .join(frequency.store_features(history, tables.stores), "store_nbr", "full")
-        .join(rolling.transactions_last(rolls), "store_nbr", "full")
+    per_store = counts_of(counts, "store_nbr")
+    return merge(
+        ["store_nbr"],
+        frequency.share(per_store, "store_freq"),
+        frequency.store_shares(frequency.weigh_stores(stores, per_store)),
+        rolling.transactions_last(rolls),
     )
 
 
-def item_state(history, tables):
-    return frequency.value_frequency(history, "item_nbr", "item_freq").join(
-        frequency.item_features(tables.items), "item_nbr", "full"
-    )
+def item_state(counts, items):
+    freq = frequency.share(counts_of(counts, "item_nbr"), "item_freq")
+    return merge(["item_nbr"], freq, frequency.item_features(items))
 
 
-def store_day_state(rolls, observed_rows, tables):
-    return rolls.join(
-        holidays.override(observed_rows, tables.stores), ["store_nbr", "date"], "full"
-    )
+def store_day_state(rolls, observed_rows, stores):
+    return merge(["store_nbr", "date"], rolls, holidays.override(observed_rows, stores))
 
 
 def day_state(oil_rolls, observed_rows):
-    """``has_oil`` marks recorded price days; a holiday may fall on a day without one."""
-    priced = oil_rolls.withColumn("has_oil", F.lit(True))
-    return priced.join(holidays.national(observed_rows), "date", "full")
+    return merge(["date"], oil_rolls, holidays.national(observed_rows))
 
 
 def _until(df, day):
@@ -139,54 +150,77 @@ class FeatureEstimator(Estimator, _GapParams):
             }
         )
         t, gap = self.tables, self.gap
-        rolls = rolling.transactions_roll(_until(t.transactions, self.as_of), gap)
-        oil_rolls = rolling.oil_roll(_until(t.oil, self.as_of))
-        observed_rows = holidays.observed(_until(t.holidays, self.as_of))
-        state = {
-            "store": store_state(typed, t, rolls),
-            "item": item_state(typed, t),
-            "store_day": store_day_state(rolls, observed_rows, t),
-            "day": day_state(oil_rolls, observed_rows),
-            "sales_hist": rolling.sales_history(
-                typed, target, self.getOrDefault(self.sales_history_days), self.order
-            ),
-        }
+        days = self.getOrDefault(self.sales_history_days)
         path = self.state_dir or shared_dir(spark, "features")
-        _write_state(state, path)
-        # Written last: a folder without it is not a finished state.
-        priced = spark.read.parquet(f"{path}/day").filter("has_oil")
-        meta = rolling.oil_fallback(priced).select(
-            "oil_fallback",
-            F.lit(target).alias("target"),
-            F.lit(gap).alias("feature_gap_days"),
-            F.lit(self.getOrDefault(self.sales_history_days)).alias("sales_history_days"),
+        # First everything that reads large tables, each once; the state tables are then
+        # small joins over these written results.
+        parts = write_tables(
+            f"{path}/parts",
+            counts=key_counts(typed),
+            rolls=rolling.transactions_roll(_until(t.transactions, self.as_of), gap),
+            oil=rolling.oil_roll(_until(t.oil, self.as_of)),
+            observed=holidays.observed(_until(t.holidays, self.as_of)),
+            stores=t.stores.select(*frequency.STORE_COLUMNS),
+            items=t.items.select(*frequency.ITEM_COLUMNS),
         )
-        meta.write.mode("overwrite").parquet(f"{path}/params")
-        return FeatureModel.load(spark, path)
+        state = write_tables(
+            path,
+            store=store_state(parts["counts"], parts["stores"], parts["rolls"]),
+            item=item_state(parts["counts"], parts["items"]),
+            store_day=store_day_state(parts["rolls"], parts["observed"], parts["stores"]),
+            day=day_state(parts["oil"], parts["observed"]),
+            sales_hist=rolling.sales_history(typed, target, days, self.order),
+        )
+        params = {
+            "target": target,
+            "feature_gap_days": gap,
+            "sales_history_days": days,
+            "oil_fallback": rolling.oil_fallback(parts["oil"]).first()[0],
+            # The sizes decide which tables are broadcast.
+            **row_counts({name: state[name] for name in LOOKUPS}),
+        }
+        # Written last: a folder without it is not a finished state.
+        rows = spark.createDataFrame([tuple(params.values())], params_schema(params))
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
+        return FeatureModel(path, state, params)
+
+
+def row_counts(tables):
+    """Rows per table, in one job that reads Parquet footers only."""
+    parts = [t.agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n, t in tables.items()]
+    return {f"n_{r['name']}": r["n"] for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
+def params_schema(names):
+    kinds = {"target": "string", "oil_fallback": "double"}
+    return ", ".join(f"{name} {kinds.get(name, 'bigint')}" for name in names)
 
 
-def _write_state(state, path):
-    """The five tables are independent small jobs, so they are submitted together."""
+def write_tables(path, **tables):
+    """Writes independent tables at the same time and returns them as read back."""
+    spark = next(iter(tables.values())).sparkSession
 
     def write(name):
-        state[name].write.mode("overwrite").parquet(f"{path}/{name}")
+        tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
 
-    with ThreadPoolExecutor(len(state)) as pool:
-        list(pool.map(inheritable_thread_target(write), state))
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), tables))
+    return {n: spark.read.schema(t.schema).parquet(f"{path}/{n}") for n, t in tables.items()}
 
 
 class FeatureModel(Model, _GapParams):
     """Adds the 25 feature columns to rows with date, store_nbr, item_nbr and, optionally,
     onpromotion. Lag and mean stay null where there is no history."""
 
-    def __init__(self, path, tables, n_rows, params):
+    def __init__(self, path, tables, params):
         super().__init__()
         self._setDefault(sales_history_days=120, feature_gap_days=0)
         self._set(
             sales_history_days=params["sales_history_days"],
             feature_gap_days=params["feature_gap_days"],
         )
-        self.path, self.tables, self.n_rows = path, tables, n_rows
+        self.path, self.tables = path, tables
+        self.n_rows = {name: params[f"n_{name}"] for name in LOOKUPS}
         self.target, self.oil_fallback = params["target"], params["oil_fallback"]
         self.broadcast_bytes = BROADCAST_BYTES
 
@@ -194,14 +228,12 @@ class FeatureModel(Model, _GapParams):
     def load(cls, spark, path):
         params = spark.read.parquet(f"{path}/params").first().asDict()
         tables = {name: spark.read.parquet(f"{path}/{name}") for name in STATE_KEYS}
-        # Row counts come from the Parquet footers; they decide which tables are broadcast.
-        n_rows = {name: tables[name].count() for name in STATE_KEYS if name != "sales_hist"}
-        return cls(path, tables, n_rows, params)
+        return cls(path, tables, params)
 
     def save(self, path):
         """Copies the state; the params come last, as in fit."""
-        _write_state(self.tables, path)
         spark = self.tables["day"].sparkSession
+        write_tables(path, **self.tables)
         spark.read.parquet(f"{self.path}/params").write.mode("overwrite").parquet(f"{path}/params")
 
     def _lookup(self, rows, name):
@@ -238,7 +270,7 @@ class FeatureModel(Model, _GapParams):
         # broadcast lookups for as long as the state tables stay small.
         out = typed.withColumn("onpromo", promo.cast("int"))
         out = out.join(self.sales_features(typed, few_series), KEY, "left")
-        for name in ("store", "item", "store_day", "day"):
+        for name in LOOKUPS:
             out = self._lookup(out, name)
 
         def known(name, default=0.0):

@@ -25,7 +25,7 @@ def read_json(spark, path, default=None):
     """The document at ``path`` (plain file or written by ``write_json``), else ``default``."""
     if not exists(spark, path):
         return default
-    row = spark.read.option("wholetext", True).text(path).first()
+    row = spark.read.text(path, wholetext=True).first()
     return default if row is None else json.loads(row[0])
 
 

@@ -23,8 +23,15 @@ SALES_RENAME = {
 }
 
 
+_TABLES = {}
+
+
 def _table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table, opened once per session: every opening reads the file's footer in a job."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def natural_sales(spark, sf_dir):

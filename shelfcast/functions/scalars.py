@@ -41,7 +41,7 @@ def week_label(year, week):
 
 
 def store_day_key(store, day):
-    """One number per store and day: store * 1e6 ... yyyymmdd. 64 bits, so no wrap-around."""
+    """One number per store and day: store * 1e6 + yyyymmdd, in 64 bits, so no wrap-around."""
     ymd = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
     return store.cast("bigint") * F.lit(1000000).cast("bigint") + ymd.cast("bigint")
 

@@ -132,20 +132,25 @@ def top_groups(df, group_col, n=10, mode="count", y_col="unit_sales", ascending=
     return totals.orderBy(first, group_col).limit(int(n))
 
 
+def _leaders(df, group_col, n, y_col):
+    """The ``n`` largest groups by summed units: at most ``n`` rows, so safe to broadcast."""
+    return F.broadcast(top_groups(df, group_col, n, "units", y_col, clip=False).select(group_col))
+
+
 def rows_of_top_groups(df, group_col, n=8, y_col="unit_sales_pos"):
-    """Rows belonging to the ``n`` groups with the largest totals. The semi-join side has at
-    most ``n`` rows, so broadcasting it is safe."""
-    leaders = top_groups(df, group_col, n, "units", y_col, clip=False).select(group_col)
-    return df.join(F.broadcast(leaders), group_col, "left_semi")
+    """Rows belonging to the ``n`` groups with the largest totals."""
+    return df.join(_leaders(df, group_col, n, y_col), group_col, "left_semi")
 
 
 def daily_of_top_groups(df, group_col, n=8, y_col="unit_sales_pos", date_col="date"):
     """Daily units of the ``n`` largest groups.
 
-    Totals and series come from the same per-day table, so the sales are read and shuffled
-    once (Spark reuses the exchange)."""
+    Totals and series come from the same per-day table. The join is an inner one on purpose:
+    a semi join would be pushed below the per-day aggregate, and the sales would be read and
+    shuffled twice instead of once.
+    """
     daily = daily_by_group(df, group_col, y_col, date_col)
-    return rows_of_top_groups(daily, group_col, n, sales_column(daily, y_col))
+    return daily.join(_leaders(daily, group_col, n, sales_column(daily, y_col)), group_col)
 
 
 def sales_with_family(sales, items):

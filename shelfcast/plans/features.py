@@ -152,10 +152,11 @@ class FeatureEstimator(Estimator, _GapParams):
         t, gap = self.tables, self.gap
         days = self.getOrDefault(self.sales_history_days)
         path = self.state_dir or shared_dir(spark, "features")
-        # First everything that reads large tables, each once; the state tables are then
-        # small joins over these written results.
+        # First everything that reads large tables; the other state tables are then small
+        # joins over these written results.
         parts = write_tables(
-            f"{path}/parts",
+            path,
+            sales_hist=rolling.sales_history(typed, target, days, self.order),
             counts=key_counts(typed),
             rolls=rolling.transactions_roll(_until(t.transactions, self.as_of), gap),
             oil=rolling.oil_roll(_until(t.oil, self.as_of)),
@@ -169,8 +170,8 @@ class FeatureEstimator(Estimator, _GapParams):
             item=item_state(parts["counts"], parts["items"]),
             store_day=store_day_state(parts["rolls"], parts["observed"], parts["stores"]),
             day=day_state(parts["oil"], parts["observed"]),
-            sales_hist=rolling.sales_history(typed, target, days, self.order),
         )
+        state["sales_hist"] = parts["sales_hist"]
         params = {
             "target": target,
             "feature_gap_days": gap,

@@ -33,10 +33,11 @@ def fit_sizes(days_available, total=84, test=14, gap=3):
 
 
 def fit_sizes_to(df, total=84, test=14, gap=3, date_col="date"):
-    days = bounds(df, date_col).first()["n_days"]
-    if days is None:
+    """(sizes, latest day), from one aggregate over the dates."""
+    row = bounds(df, date_col).first()
+    if row["n_days"] is None:
         raise ValueError("no dated rows to split")
-    return fit_sizes(days, total, test, gap)
+    return fit_sizes(row["n_days"], total, test, gap), row["max_date"]
 
 
 def _edges(latest, sizes):
@@ -47,7 +48,8 @@ def _edges(latest, sizes):
 
 
 def label_split(df, sizes=SplitSizes(), date_col="date", latest=None):
-    """Rows of the window with a ``split`` column; older rows are dropped."""
+    """Rows of the window with a ``split`` column; older rows are dropped. ``latest`` saves
+    looking up the last day when it is known."""
     require_columns(df, [date_col])
     dated = df.withColumn(date_col, as_date(df, date_col))
     latest = latest or last_day(dated, date_col)
@@ -61,11 +63,11 @@ def label_split(df, sizes=SplitSizes(), date_col="date", latest=None):
     return dated.filter(day >= F.lit(start)).withColumn("split", part)
 
 
-def time_split(df, sizes=SplitSizes(), date_col="date"):
+def time_split(df, sizes=SplitSizes(), date_col="date", latest=None):
     """(train, gap, test). Each part is a plain date range, so it is pushed into the scan."""
     require_columns(df, [date_col])
     dated = df.withColumn(date_col, as_date(df, date_col))
-    latest = last_day(dated, date_col)
+    latest = latest or last_day(dated, date_col)
     if latest is None:
         raise ValueError("no dated rows to split")
     start, gap_start, test_start = _edges(latest, sizes)

@@ -40,6 +40,7 @@ class TrainConfig:
     learning_rate: float = 0.05
     # Depth 5 gives at most 32 leaves per tree.
     max_depth: int = 5
+    max_bins: int = 255
 
 
 def numeric_features(df):
@@ -69,6 +70,7 @@ def regressor(feature_cols, config, label="unit_sales_log"):
         maxIter=config.n_trees,
         stepSize=config.learning_rate,
         maxDepth=config.max_depth,
+        maxBins=config.max_bins,
         seed=config.seed,
     )
     return Pipeline(
@@ -98,7 +100,7 @@ def _day(value):
     return None if value is None else value.isoformat()
 
 
-def _split_report(labelled, sizes):
+def _split_report(labelled, sizes, latest):
     parts = {r["split"]: r for r in split_info(labelled).collect()}
     report = {
         "total_days": sizes.total,
@@ -110,9 +112,8 @@ def _split_report(labelled, sizes):
         report[f"{part}_min_date"] = _day(row["min_date"]) if row else None
         report[f"{part}_max_date"] = _day(row["max_date"]) if row else None
         report[counter] = row["n_rows"] if row else 0
-    latest = max((r["max_date"] for r in parts.values()), default=None)
     report["max_date"] = _day(latest)
-    report["start_total"] = _day(latest and latest - dt.timedelta(days=sizes.total - 1))
+    report["start_total"] = _day(latest - dt.timedelta(days=sizes.total - 1))
     return report
 
 
@@ -127,14 +128,14 @@ def train(sales, tables, run_dir, config=TrainConfig(), order=(), data_signature
     """
     spark = sales.sparkSession
     data = add_target(sales.filter(F.col("date").isNotNull()))
-    sizes = fit_sizes_to(data, config.total_days, config.test_days, config.gap_days)
-    report = _split_report(label_split(data, sizes), sizes)
+    sizes, latest = fit_sizes_to(data, config.total_days, config.test_days, config.gap_days)
+    report = _split_report(label_split(data, sizes, latest=latest), sizes, latest)
     if not report["n_train_fit"] or not report["n_test"]:
         raise ValueError(
             f"empty train or test part: {config.weeks_window} weeks do not hold "
             f"{config.total_days} days"
         )
-    train_rows, _, test_rows = time_split(data, sizes)
+    train_rows, _, test_rows = time_split(data, sizes, latest=latest)
 
     features = FeatureEstimator(
         tables=tables,

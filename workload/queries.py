@@ -72,6 +72,11 @@ def natural(spark, sf_dir):
     return V.natural_sales(spark, sf_dir).withColumn("unit_sales_pos", positive(F.col("unit_sales")))
 
 
+def _all_stores(spark, sf_dir):
+    """The store picker with every store selected."""
+    return [r[0] for r in V.dense_stores(spark, sf_dir).select("store_nbr").collect()]
+
+
 def dense(spark, sf_dir):
     return V.dense_sales(spark, sf_dir).withColumn("unit_sales_pos", positive(F.col("unit_sales")))
 
@@ -309,7 +314,7 @@ def daily_by_store(spark, sf_dir):
     + " FROM d_pos GROUP BY date",
 )
 def daily_wide(spark, sf_dir):
-    return X.daily_wide(dense(spark, sf_dir), "store")
+    return X.daily_wide(dense(spark, sf_dir), "store", series=map(str, _all_stores(spark, sf_dir)))
 
 
 @query(
@@ -458,11 +463,9 @@ def store_day_keys(spark, sf_dir):
 
 @query(
     "log_units",
-    f"""SELECT {', '.join(ROW_ID)}, round(exp(least(greatest(unit_sales, -50), 50)) - 1, 4 - 20) AS back,
-        round(exp(ln(1 + unit_sales_pos)) - 1, 6) + 0.0 AS roundtrip FROM v_pos""".replace(
-        "round(exp(least(greatest(unit_sales, -50), 50)) - 1, 4 - 20)",
-        "round(ln(2 + exp(least(greatest(unit_sales, -50), 50)) - 1), 6) + 0.0",
-    ),
+    f"""SELECT {', '.join(ROW_ID)},
+        round(ln(2 + exp(least(greatest(unit_sales, -50), 50)) - 1), 6) + 0.0 AS back,
+        round(exp(ln(1 + unit_sales_pos)) - 1, 6) + 0.0 AS roundtrip FROM v_pos""",
 )
 def log_units(spark, sf_dir):
     rows = natural(spark, sf_dir)
@@ -516,6 +519,19 @@ def split_parts(spark, sf_dir):
     )
 
 
+@query(
+    "split_sizes",
+    """SELECT total, test, CAST(least(3, greatest(0, (total - test) // 10)) AS INT) AS gap FROM (
+         SELECT total, CAST(least(14, greatest(7, total // 6)) AS INT) AS test FROM (
+           SELECT CAST(least(84, max(date) - min(date) + 1) AS INT) AS total FROM v_sales
+           WHERE date >= (SELECT max(date) - 70 FROM v_sales)) a) b""",
+)
+def split_sizes(spark, sf_dir):
+    sizes, _ = fit_sizes_to(P.trailing_weeks(V.natural_sales(spark, sf_dir), 10))
+    row = (sizes.total, sizes.test, sizes.gap)
+    return spark.createDataFrame([row], "total int, test int, gap int")
+
+
 # ---------------------------------------------------------------- frequencies
 
 
@@ -768,8 +784,7 @@ _FEATURE_SQL = ", ".join(r6(c) if c in _FLOATS else c for c in M.FEATURES)
 
 
 def _features_sql(history, requests, days, body):
-    extra, _ = W.features(history, requests, GAP, days, None)
-    return body, extra
+    return body, W.features(history, requests, GAP, days)
 
 
 _FULL = _features_sql(
@@ -803,8 +818,7 @@ _PARTS = f""",
 
 
 def _holdout_sql(body):
-    extra, _ = W.features("h_train", "h_test", GAP, 120, None)
-    return body, _PARTS + extra
+    return body, _PARTS + W.features("h_train", "h_test", GAP, 120)
 
 
 def _holdout(spark, sf_dir):
@@ -904,7 +918,7 @@ _GRID_DAYS = 14
 
 
 def _grid(spark, sf_dir):
-    stores = [r[0] for r in V.dense_stores(spark, sf_dir).select("store_nbr").collect()]
+    stores = _all_stores(spark, sf_dir)
     latest = P.last_day(V.dense_sales(spark, sf_dir))
     first, last = latest + dt.timedelta(days=1), latest + dt.timedelta(days=_GRID_DAYS)
     return V.dense_items(spark, sf_dir), stores, first, last
@@ -933,7 +947,8 @@ def model_scores(spark, sf_dir):
     run_dir = shared_dir(spark, "run")
     train(sales, V.dense_tables(spark, sf_dir), run_dir, CONFIG, V.ORDER)
     run = RunRegistry(spark, run_dir).load(run_dir)
-    _, _, test_rows = time_split(add_target(sales), fit_sizes_to(sales, ALL_DAYS))
+    sizes, latest = fit_sizes_to(sales, ALL_DAYS)
+    _, _, test_rows = time_split(add_target(sales), sizes, latest=latest)
     enriched = run.features.transform(test_rows)
     return score(enriched, run.model, run.feature_cols, [*ROW_ID, "unit_sales_log"])
 

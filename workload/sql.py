@@ -142,9 +142,10 @@ def hist(source, days):
         WHERE rn = 1 AND date >= (SELECT max(date) - {days} FROM {source})"""
 
 
-def features(history, requests, gap, days, columns):
-    """All features of ``requests`` fitted on ``history`` (both names of views)."""
-    named = f""",
+def features(history, requests, gap, days):
+    """Named queries up to ``enriched``: all features of ``requests`` fitted on ``history``
+    (both names of views)."""
+    return f""",
     s_hist AS ({hist(history, days)}),
     s_roll AS ({lag_roll('s_hist', requests, gap)}),
     s_trans AS ({trans_roll(gap)}),
@@ -185,4 +186,3 @@ def features(history, requests, gap, days, columns):
       LEFT JOIN d_national n ON n.date = r.date
       LEFT JOIN d_override ov ON ov.store_nbr = r.store_nbr AND ov.date = r.date
       LEFT JOIN s_roll sr ON sr.store_nbr = r.store_nbr AND sr.item_nbr = r.item_nbr AND sr.date = r.date)"""
-    return named, columns

@@ -16,6 +16,10 @@ def _one_per_key(df, keys, order, pick):
     order = [c for c in order if c not in keys]
     if not order + rest:
         return df.distinct()
+    if len(order + rest) == 1:
+        # A single plain value needs no struct, and Spark can hash instead of sort.
+        value = (order + rest)[0]
+        return df.groupBy(*keys).agg(pick(value).alias(value)).select(*df.columns)
     chosen = df.groupBy(*keys).agg(pick(F.struct(*order, *rest)).alias("_row"))
     return chosen.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 

@@ -6,13 +6,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from shelfcast.functions.coerce import positive
+
 ITEM_PICKER_LIMIT = 5000
 PREVIEW_ROWS = 50
 # Longest id list written into the plan as a literal; longer ones become a semi join.
 INLINE_IDS = 1000
 
 
-def _day(value):
+def as_day(value):
+    """A ``date`` from a date, a datetime or ISO text."""
     if isinstance(value, dt.datetime):
         return value.date()
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
@@ -48,7 +51,7 @@ def trailing_days(df, days, date_col="date"):
 
 def between_dates(df, start, end, date_col="date"):
     """Inclusive on both ends; reversed ends are swapped."""
-    low, high = sorted([_day(start), _day(end)])
+    low, high = sorted([as_day(start), as_day(end)])
     return df.filter(F.col(date_col).between(F.lit(low), F.lit(high)))
 
 
@@ -72,8 +75,6 @@ def only_members(df, column, wanted):
 
 def select_sales(df, start, end, stores=None, items=None):
     """The dashboard filter: period, then optional stores and items, plus positive units."""
-    from shelfcast.functions.coerce import positive
-
     kept = only_members(between_dates(df, start, end), "store_nbr", stores)
     kept = only_members(kept, "item_nbr", items)
     return kept.withColumn("unit_sales_pos", positive(F.col("unit_sales")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.scalars import day_number
 from shelfcast.operators.dedup import keep_last
+from shelfcast.operators.filters import trailing_days
 
 ROLL = 14
 LAG = 28
@@ -66,21 +67,21 @@ def oil_roll(oil):
 
 
 def oil_fallback(rolls):
-    """Mean of the last 30 rolls, for days without a price."""
+    """Mean of the last 30 rolls, for days without a price; 0 if there are no prices at all."""
     latest = rolls.orderBy(F.desc("date")).limit(OIL_FALLBACK_ROWS)
-    return latest.agg(F.avg("oil_roll14").alias("oil_fallback"))
+    mean = F.when(F.count(F.lit(1)) == 0, F.lit(0.0)).otherwise(F.avg("oil_roll14"))
+    return latest.agg(mean.alias("oil_fallback"))
 
 
 def sales_history(history, target, days=None, order=()):
     """Deduplicated (store, item, date, y): the last row wins, by ``order`` then by value.
 
-    ``days`` keeps only the latest days; ``None`` keeps all.
+    ``days`` keeps the latest day and that many days before it; ``None`` keeps all.
     """
     rows = history.select(*KEY, *[c for c in order if c not in KEY], F.col(target).alias("y"))
     rows = rows.filter(F.col("date").isNotNull())
     if days is not None:
-        latest = rows.agg(F.max("date")).scalar()
-        rows = rows.filter(F.col("date") >= F.date_sub(latest, int(days)))
+        rows = trailing_days(rows, int(days) + 1)
     return keep_last(rows, KEY, order).select(*KEY, "y")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target, keyword_only
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
@@ -122,7 +122,6 @@ class FeatureEstimator(Estimator, _GapParams):
     that decide which of several rows with one (store, item, date) is the last.
     """
 
-    @keyword_only
     def __init__(
         self,
         *,

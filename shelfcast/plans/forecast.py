@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.functions.coerce import require_columns
-from shelfcast.operators.filters import _day
+from shelfcast.operators.filters import as_day
 from shelfcast.operators.rolling import KEY
 from shelfcast.plans.model import score
 
@@ -22,17 +22,19 @@ def forecast_grid(items, stores, start, end, onpromotion=False, promotions=None)
     ``onpromotion`` value where it has a row.
     """
     stores = sorted({int(s) for s in stores})
-    first, last = sorted([_day(start), _day(end)])
+    first, last = sorted([as_day(start), as_day(end)])
     wanted = items.select("item_nbr").distinct()
     if not stores:
         raise ValueError("select at least one store")
     total = wanted.count() * len(stores) * ((last - first).days + 1)
     days = F.sequence(F.lit(first), F.lit(last))
+    # One literal, however many stores.
+    store_ids = F.split(F.lit(",".join(map(str, stores))), ",").cast("array<int>")
     grid = (
         wanted.repartition(max(1, -(-total // ROWS_PER_TASK)), "item_nbr")
-        .withColumn("store_nbr", F.explode(F.array(*[F.lit(s) for s in stores])))
+        .withColumn("store_nbr", F.explode(store_ids))
         .withColumn("date", F.explode(days))
-        .select(*["date", "store_nbr", "item_nbr"])
+        .select("date", "store_nbr", "item_nbr")
     )
     if promotions is None:
         return grid.withColumn("onpromotion", F.lit(bool(onpromotion)))
@@ -50,7 +52,7 @@ def forecast(requests, run):
 
 
 def forecast_point(spark, run, date, store_nbr, item_nbr, onpromotion=False):
-    row = [(_day(date), int(store_nbr), int(item_nbr), bool(onpromotion))]
+    row = [(as_day(date), int(store_nbr), int(item_nbr), bool(onpromotion))]
     schema = "date date, store_nbr int, item_nbr int, onpromotion boolean"
     return forecast(spark.createDataFrame(row, schema), run)
 

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+LISTING_TASK_BYTES = str(1 << 40)
+
 
 def file_signature(spark, path):
-    """Signature of the file listing (name, size, time). Reads no file content."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    """Signature of the file listing (name, size, time). Reads no file content.
+
+    Spark packs files into tasks by their size even though nothing is read here, so the
+    listing runs in a session of its own with a large task size.
+    """
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionBytes", LISTING_TASK_BYTES)
+    files = listing.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
     return _signature(files)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import scalars as S
 from shelfcast.functions.coerce import as_date, as_int, not_null, parse_flag, require_columns
 from shelfcast.operators import frequency, holidays, rolling
+from shelfcast.operators.filters import INLINE_IDS
 from shelfcast.operators.lookup import BROADCAST_BYTES, lookup, merge
 from shelfcast.operators.rolling import KEY
 from shelfcast.session import shared_dir
@@ -109,6 +110,24 @@ def day_state(oil_rolls, observed_rows):
     return merge(["date"], oil_rolls, holidays.national(observed_rows))
 
 
+def clustered(sales_hist):
+    """History in series order, so that a forecast for a few series reads a few row groups.
+    A series has at most one row per day, so ranges of series are of even size."""
+    series = ["store_nbr", "item_nbr"]
+    return sales_hist.repartitionByRange(*series).sortWithinPartitions(*KEY)
+
+
+def only_series(sales_hist, rows):
+    """The history of the series in ``rows``. When these are few, their ids are also pushed
+    into the file scan as literals; the semi join alone decides what is kept."""
+    series = rows.select("store_nbr", "item_nbr").distinct()
+    few = series.limit(INLINE_IDS + 1).collect()
+    if len(few) <= INLINE_IDS:
+        for name in series.columns:
+            sales_hist = sales_hist.filter(F.col(name).isin(sorted({r[name] for r in few})))
+    return sales_hist.join(series, series.columns, "left_semi")
+
+
 def _until(df, day):
     return df if day is None else df.filter(F.col("date") <= F.lit(day))
 
@@ -155,7 +174,7 @@ class FeatureEstimator(Estimator, _GapParams):
         # joins over these written results.
         parts = write_tables(
             path,
-            sales_hist=rolling.sales_history(typed, target, days, self.order),
+            sales_hist=clustered(rolling.sales_history(typed, target, days, self.order)),
             counts=key_counts(typed),
             rolls=rolling.transactions_roll(_until(t.transactions, self.as_of), gap),
             oil=rolling.oil_roll(_until(t.oil, self.as_of)),
@@ -246,8 +265,7 @@ class FeatureModel(Model, _GapParams):
         the series asked for, which pays off when they are a small part of it."""
         past = self.tables["sales_hist"]
         if few_series:
-            series = rows.select("store_nbr", "item_nbr").distinct()
-            past = past.join(series, ["store_nbr", "item_nbr"], "left_semi")
+            past = only_series(past, rows)
         return rolling.sales_lag_roll(past, rows, self.gap)
 
     def _transform(self, dataset):

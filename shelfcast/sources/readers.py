@@ -7,6 +7,7 @@ other names are mapped with ``rename={file column: our column}``.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from shelfcast.functions.coerce import (
     require_columns,
 )
 from shelfcast.operators.dedup import keep_first
-from shelfcast.operators.filters import only_members, trailing_weeks
+from shelfcast.operators.filters import last_day, only_members, since
 
 SALES_COLUMNS = ["date", "store_nbr", "item_nbr", "onpromotion", "unit_sales"]
 
@@ -73,20 +74,21 @@ def coerce_sales(df):
 def read_sales(spark, path, weeks=10, columns=None, rename=None, stores=None, items=None):
     """Sales of the trailing ``weeks`` (``None``: all), optionally of some stores and items.
 
-    The latest day is found first, so the period filter is a literal and reaches the Parquet
-    scan; so do the store and item lists, which are applied to the file's own columns (an id
-    of 0 also stands for unreadable ids, so such a list is applied after conversion).
+    The file's latest day is found first, so the period filter is a literal and reaches the
+    Parquet scan; so do the store and item lists, which are applied to the file's own columns
+    (an id of 0 also stands for unreadable ids, so such a list is applied after conversion).
     """
     df = _renamed(spark.read.parquet(path), rename)
     if columns is not None:
         require_columns(df, columns)
         df = df.select(*columns)
+    latest = None if weeks is None else last_day(coerce_sales(df))
     for name, wanted in (("store_nbr", stores), ("item_nbr", items)):
         if isinstance(wanted, (list, tuple)) and 0 not in wanted:
             df = only_members(df, name, wanted)
     sales = coerce_sales(df)
     sales = only_members(only_members(sales, "store_nbr", stores), "item_nbr", items)
-    return sales if weeks is None else trailing_weeks(sales, weeks)
+    return sales if latest is None else since(sales, latest - dt.timedelta(weeks=int(weeks)))
 
 
 def evaluation_columns(df):

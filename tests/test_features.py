@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.coerce import add_target
 from shelfcast.operators import frequency as Q
+from shelfcast.plans import features
 from shelfcast.plans.features import FEATURES, FeatureEstimator, FeatureModel, key_counts
 from shelfcast.plans.model import MODEL_FEATURES, align, numeric_features
 from shelfcast.sources.readers import RetailTables
@@ -64,7 +65,15 @@ def test_joins_without_broadcast_give_the_same(spark, dense, model):
 
 def test_cut_history_gives_the_same(dense, model):
     few = dense.filter("store_nbr = 3")
-    assert table(model.enrich(few, few_series=True)) == table(model.enrich(few))
+    cut = model.enrich(few, few_series=True)
+    assert table(cut) == table(model.enrich(few))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(store_nbr,3)" in plan
+
+
+def test_many_series_are_joined(dense, model, monkeypatch):
+    monkeypatch.setattr(features, "INLINE_IDS", 2)
+    assert table(model.enrich(dense, few_series=True)) == table(model.enrich(dense))
 
 
 def test_no_leakage(spark, dense, model):

@@ -123,6 +123,14 @@ def test_ten_weeks_keep_71_days(spark, tmp_path):
     assert readers.read_sales(spark, path, weeks=1, stores=[2], items=[12]).count() == 8
 
 
+def test_window_ends_with_the_file_not_the_selection(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    data = [(dt.date(2020, 1, 1), 1), (dt.date(2020, 3, 1), 2)]
+    spark.createDataFrame(data, "date date, store_nbr int").write.parquet(path)
+    assert readers.read_sales(spark, path, weeks=1, stores=[1]).count() == 0
+    assert readers.read_sales(spark, path, weeks=1, stores=[0, 2]).count() == 1
+
+
 def test_scan_is_pruned_and_filtered(spark, tmp_path):
     path = sales_file(spark, tmp_path)
     sales = readers.read_sales(spark, path, 10, ["date", "store_nbr", "unit_sales"], stores=[2])

@@ -139,6 +139,8 @@ class FeatureEstimator(Estimator, _GapParams):
     transactions are shifted by the same gap in recorded days. ``as_of`` cuts transactions,
     oil and holidays at a day; by default they are used whole. ``order`` names the columns
     that decide which of several rows with one (store, item, date) is the last.
+    ``cluster_history`` writes the lag history in series order, one more shuffle, which serves
+    later forecasts for a few series.
     """
 
     def __init__(
@@ -150,11 +152,13 @@ class FeatureEstimator(Estimator, _GapParams):
         order=(),
         as_of=None,
         state_dir=None,
+        cluster_history=False,
     ):
         super().__init__()
         self._setDefault(sales_history_days=120, feature_gap_days=0)
         self._set(sales_history_days=sales_history_days, feature_gap_days=feature_gap_days)
-        self.tables, self.order, self.as_of, self.state_dir = tables, list(order), as_of, state_dir
+        self.tables, self.order, self.as_of = tables, list(order), as_of
+        self.state_dir, self.cluster_history = state_dir, cluster_history
 
     def _fit(self, history):
         spark = history.sparkSession
@@ -170,11 +174,12 @@ class FeatureEstimator(Estimator, _GapParams):
         t, gap = self.tables, self.gap
         days = self.getOrDefault(self.sales_history_days)
         path = self.state_dir or shared_dir(spark, "features")
+        sales_hist = rolling.sales_history(typed, target, days, self.order)
         # First everything that reads large tables; the other state tables are then small
         # joins over these written results.
         parts = write_tables(
             path,
-            sales_hist=clustered(rolling.sales_history(typed, target, days, self.order)),
+            sales_hist=clustered(sales_hist) if self.cluster_history else sales_hist,
             counts=key_counts(typed),
             rolls=rolling.transactions_roll(_until(t.transactions, self.as_of), gap),
             oil=rolling.oil_roll(_until(t.oil, self.as_of)),

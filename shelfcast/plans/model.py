@@ -143,6 +143,7 @@ def train(sales, tables, run_dir, config=TrainConfig(), order=(), data_signature
         feature_gap_days=config.feature_gap_days,
         order=order,
         state_dir=f"{run_dir}/state",
+        cluster_history=True,
     ).fit(train_rows)
     train_x = features.transform(train_rows)
     cols = list(feature_cols or MODEL_FEATURES)

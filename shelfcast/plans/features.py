@@ -15,7 +15,7 @@ from shelfcast.functions import scalars as S
 from shelfcast.functions.coerce import as_date, as_int, not_null, parse_flag, require_columns
 from shelfcast.operators import frequency, holidays, rolling
 from shelfcast.operators.filters import INLINE_IDS
-from shelfcast.operators.lookup import BROADCAST_BYTES, lookup, merge
+from shelfcast.operators.lookup import BROADCAST_BYTES, lookup, merge, small_enough
 from shelfcast.operators.rolling import KEY
 from shelfcast.session import shared_dir
 
@@ -260,10 +260,16 @@ class FeatureModel(Model, _GapParams):
         write_tables(path, **self.tables)
         spark.read.parquet(f"{self.path}/params").write.mode("overwrite").parquet(f"{path}/params")
 
-    def _lookup(self, rows, name):
-        return lookup(
-            rows, self.tables[name], STATE_KEYS[name], self.n_rows[name], self.broadcast_bytes
-        )
+    def _lookup(self, out, name, rows):
+        """Joins one state table. A dated table too large to broadcast is first cut to the days
+        of ``rows``: usually a few weeks out of years, which then can be broadcast after all."""
+        table, n, keys = self.tables[name], self.n_rows[name], STATE_KEYS[name]
+        if "date" in keys and not small_enough(table, n, self.broadcast_bytes):
+            first, last = rows.agg(F.min("date"), F.max("date")).first()
+            if first is not None:
+                table = table.filter(F.col("date").between(F.lit(first), F.lit(last)))
+                n = table.count()
+        return lookup(out, table, keys, n, self.broadcast_bytes)
 
     def sales_features(self, rows, few_series=False):
         """Lag and mean per distinct key of ``rows``. ``few_series`` first cuts the history to
@@ -294,7 +300,7 @@ class FeatureModel(Model, _GapParams):
         out = typed.withColumn("onpromo", promo.cast("int"))
         out = out.join(self.sales_features(typed, few_series), KEY, "left")
         for name in LOOKUPS:
-            out = self._lookup(out, name)
+            out = self._lookup(out, name, typed)
 
         def known(name, default=0.0):
             return F.coalesce(F.col(name), F.lit(default))

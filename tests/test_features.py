@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,28 @@ def test_joins_without_broadcast_give_the_same(spark, dense, model):
     assert table(big.transform(dense)) == table(model.transform(dense))
 
 
+def test_dated_tables_are_cut_before_broadcast(spark, dense, model):
+    latest = dense.agg(F.max("date")).first()[0]
+    recent = dense.filter(F.col("date") >= F.lit(latest - dt.timedelta(days=30)))
+    tight = FeatureModel.load(spark, model.path)
+    # Too little for the whole (store, day) table, enough for its last month.
+    tight.broadcast_bytes = tight.n_rows["store_day"] * 8
+    out = tight.transform(recent)
+
+    def join_on_store_and_day(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return re.findall(r"(\w+Join) \[store_nbr#\d+, date#\d+\]", plan)
+
+    # Only what the model itself decides to broadcast, not what Spark finds tiny.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert join_on_store_and_day(out) == ["BroadcastHashJoin"]
+        assert join_on_store_and_day(tight.transform(dense)) == ["SortMergeJoin"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert table(out) == table(model.transform(recent))
+
+
 def test_cut_history_gives_the_same(dense, model):
     few = dense.filter("store_nbr = 3")
     cut = model.enrich(few, few_series=True)

@@ -52,6 +52,8 @@ STATE_KEYS = {
     "day": ["date"],
     "sales_hist": KEY,
 }
+# State columns that feed a feature under another name.
+STATE_ONLY = ["last_roll", "nat_h", "h"]
 LOOKUPS = ["store", "item", "store_day", "day"]
 
 
@@ -284,7 +286,7 @@ class FeatureModel(Model, _GapParams):
 
     def enrich(self, rows, few_series=False):
         require_columns(rows, KEY)
-        clash = sorted(set(FEATURES) & set(rows.columns))
+        clash = sorted({*FEATURES, *STATE_ONLY} & set(rows.columns))
         if clash:
             raise ValueError(f"input already has feature columns: {clash}")
         promo = parse_flag(rows, "onpromotion") if "onpromotion" in rows.columns else F.lit(False)

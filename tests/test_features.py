@@ -132,6 +132,8 @@ def test_target_is_required(spark, dense):
 def test_feature_names_must_be_free(dense, model):
     with pytest.raises(ValueError, match="year"):
         model.transform(dense.withColumn("year", F.lit(1)))
+    with pytest.raises(ValueError, match="nat_h"):
+        model.transform(dense.withColumn("nat_h", F.lit(1)))
 
 
 def test_a_third_of_the_rows_in_one_key(spark, dense, model):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import hash_shards, mixing
+from shelfcast.llm import hash_shards, mixing, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op7_hash_shards": hash_shards.op7_hash_shards,
     "op10_source_mix": mixing.op10_source_mix,
 }

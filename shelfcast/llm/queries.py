@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import hash_shards, mixing, robust_rules, toxicity
+from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op4_near_dups": near_dups.op4_near_dups,
     "op7_hash_shards": hash_shards.op7_hash_shards,
     "op9_robust_rules": robust_rules.op9_robust_rules,
     "op10_source_mix": mixing.op10_source_mix,

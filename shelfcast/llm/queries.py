@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, toxicity
+from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, toxicity, va_search
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op4_near_dups": near_dups.op4_near_dups,
     "op7_hash_shards": hash_shards.op7_hash_shards,
+    "op8_va_search": va_search.op8_va_search,
     "op9_robust_rules": robust_rules.op9_robust_rules,
     "op10_source_mix": mixing.op10_source_mix,
 }
 ORACLES = {
     "op7_hash_shards": hash_shards.OP7_SQL,
+    "op8_va_search": va_search.OP8_SQL,
     "op10_source_mix": mixing.OP10_SQL,
 }

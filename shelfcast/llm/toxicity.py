@@ -164,7 +164,7 @@ class _Bags:
         found = [(b[v], np.flatnonzero(v)) for b, v in grams(stream)]
         buckets, places = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(places, kind="stable")
-        self.buckets, word = buckets[order].astype(np.int64), word_at[places[order]]
+        self.buckets, word = buckets[order].astype(np.int32), word_at[places[order]]
         self.words = np.searchsorted(word, np.arange(len(starts) + 1))
         self.windows = first
 
@@ -206,7 +206,7 @@ def _train(windows, labels, share, epochs, batch=256, rate=0.3, seed=1):
     for at in range(0, len(windows), batch):
         rows = shuffled[at : at + batch]
         bag = _Bags([windows[i] for i in rows])
-        order = np.argsort(bag.buckets, kind="stable")
+        order = np.argsort(bag.buckets, kind="stable").astype(np.int32)
         parts.append((bag, labels[rows], weight[rows], order, *np.unique(bag.buckets[order], return_index=True)))
     for _ in range(epochs):
         for bag, y, w, order, unique, where in parts:

@@ -23,7 +23,7 @@ from shelfcast.llm.tables import without
 from shelfcast.llm.textops import utf8
 from shelfcast.llm.toxicity import BUCKET_BITS, grams, spaced
 
-SHARE = 0.2
+SHARE = 0.1
 ADDED = ("host", "path", "rule", "verdict", "block_score")
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
@@ -97,6 +97,26 @@ LABELLED = (
     ("http://www.freedom-park.example.test/en/120", 0),
     ("https://farmers-market.test/de/5.html", 0),
     ("http://m.adelaide.example.test/fr/871#top", 0),
+    ("http://anthony.example.test/en/66?page=2&ref=x", 0),
+    ("https://www.thesis.test/en/120", 0),
+    ("http://m.theory.example.test/es/14/", 0),
+    ("https://blog.heather.example.test/fr/871#top", 0),
+    ("http://another.example.test/de/5.html", 0),
+    ("https://www.tithes.test/en/18?utm_source=feed", 0),
+    ("http://m.leather.example.test/de/77", 0),
+    ("https://blog.theorem.example.test/en/9/", 0),
+    ("http://bathing.example.test/en/66?page=2&ref=x", 0),
+    ("https://www.weather.test/en/120", 0),
+    ("http://m.station.example.test/es/14/", 0),
+    ("https://blog.nations.example.test/fr/871#top", 0),
+    ("http://editions.example.test/de/5.html", 0),
+    ("https://www.therapy.test/en/18?utm_source=feed", 0),
+    ("http://m.thousand.example.test/de/77", 0),
+    ("https://blog.thunder.example.test/en/9/", 0),
+    ("http://thirst.example.test/en/66?page=2&ref=x", 0),
+    ("https://www.lithe.test/en/120", 0),
+    ("http://m.ethnic.example.test/es/14/", 0),
+    ("https://blog.theatres.example.test/fr/871#top", 0),
 )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, toxicity, url_filter, va_search
+from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, token_files, toxicity, url_filter, va_search
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_token_files": token_files.op2_token_files,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_near_dups": near_dups.op4_near_dups,
     "op7_hash_shards": hash_shards.op7_hash_shards,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, token_files, toxicity, url_filter, va_search
+from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, sentence_pieces, token_files, toxicity, url_filter, va_search
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_token_files": token_files.op2_token_files,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_near_dups": near_dups.op4_near_dups,
+    "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
     "op7_hash_shards": hash_shards.op7_hash_shards,
     "op8_va_search": va_search.op8_va_search,
     "op9_robust_rules": robust_rules.op9_robust_rules,

@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,7 @@ import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm.chunks import ChunkEncoder, text_slices
 from shelfcast.llm.tables import documents, written
 from shelfcast.session import shared_dir
 
@@ -44,7 +44,6 @@ MOST_TOKENS = 4 << 20
 BLOCK_BITS = 1 << 16
 END_ID = 2
 MAGIC = b"WAVELET1"
-CACHED_CHUNKS = 400_000
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 ODD_SPACE = re.compile(r"[^\S \t\n\r]")
 
@@ -205,63 +204,19 @@ class WaveletFile:
         return now
 
 
-class ChunkEncoder:
-    """Ids of texts by way of their distinct chunks."""
-
-    def __init__(self, definition):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_str(definition)
-        self._clear()
-
-    def _clear(self):
-        self._place, self._ids, self._used = {}, np.zeros(1 << 16, np.uint32), 0
-        self._start, self._length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self, chunks):
-        encoded = self._tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        lists = [e.ids for e in encoded]
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32)
-        base, n = len(self._place), len(lists)
-        while self._used + len(flat) > len(self._ids):
-            self._ids = np.concatenate((self._ids, np.zeros_like(self._ids)))
-        while base + n > len(self._start):
-            self._start, self._length = (np.concatenate((x, np.zeros_like(x))) for x in (self._start, self._length))
-        self._ids[self._used : self._used + len(flat)] = flat
-        lengths = np.fromiter(map(len, lists), np.int64, n)
-        odd = np.fromiter((ODD_SPACE.search(c) is not None for c in chunks), bool, n)
-        self._length[base : base + n] = np.where(odd, -1, lengths)
-        self._start[base : base + n] = self._used + np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        self._place.update(zip(chunks, range(base, base + n), strict=True))
-        self._used += len(flat)
-
-    def encode(self, texts):
-        """(ids of all texts, number of ids of each)."""
-        if len(self._place) > CACHED_CHUNKS:
-            self._clear()
-        chunks = [CHUNK.findall(t) for t in texts]
-        counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        flat = list(chain.from_iterable(chunks))
-        if not flat:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        new = list(dict.fromkeys(c for c in flat if c not in self._place))
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self._place.__getitem__, flat), np.int64, len(flat))
-        lengths, starts = self._length[places], self._start[places]
-        bounds = np.concatenate(([0], np.cumsum(counts)))
-        whole = {int(np.searchsorted(bounds, i, "right")) - 1 for i in np.flatnonzero(lengths < 0)}
-        lengths = np.maximum(lengths, 0)
-        ends = np.cumsum(lengths)
-        ids = self._ids[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
-        sums = np.concatenate(([0], ends))[bounds]
-        if not whole:
-            return ids, np.diff(sums)
-        parts = [
-            np.array(self._tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if k in whole else ids[sums[k] : sums[k + 1]]
-            for k, t in enumerate(texts)
-        ]
-        return np.concatenate(parts), np.array([len(p) for p in parts])
+def chunk_encoder(definition):
+    """An encoder of a tokenizers definition (JSON), by chunks."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(definition)
+
+    def learn(chunks):
+        return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def whole(text):
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    return ChunkEncoder(CHUNK.findall, learn, lambda c: ODD_SPACE.search(c) is not None, whole)
 
 
 _encoders: dict[int, ChunkEncoder] = {}
@@ -272,7 +227,7 @@ def _encoder(definition):
     key = hash(definition)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = ChunkEncoder(definition)
+        _encoders[key] = chunk_encoder(definition)
     return _encoders[key]
 
 
@@ -286,18 +241,6 @@ def _with_ends(ids, counts, end_id):
     return out, counts + 1
 
 
-def _text_slices(texts, most=4 << 20):
-    part, size = [], 0
-    for t in texts:
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def _shards(definition, end_id, most_tokens):
     """Files of the sorted documents of a partition."""
 
@@ -315,7 +258,7 @@ def _shards(definition, end_id, most_tokens):
 
         for batch in batches:
             names, at = batch.column(0).to_pylist(), 0
-            for texts in _text_slices(batch.column(1).to_pylist()):
+            for texts in text_slices(batch.column(1).to_pylist()):
                 flat, counts = _with_ends(*_encoder(definition.value).encode(texts), end_id)
                 bounds = np.concatenate(([0], np.cumsum(counts)))
                 first = 0

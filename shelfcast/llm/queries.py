@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import hash_shards, mixing, near_dups, robust_rules, sentence_pieces, token_files, toxicity, url_filter, va_search
+from shelfcast.llm import hash_shards, maxent_lm, mixing, near_dups, robust_rules, sentence_pieces, token_files, toxicity, url_filter, va_search
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_near_dups": near_dups.op4_near_dups,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
+    "op6_maxent_lm": maxent_lm.op6_maxent_lm,
     "op7_hash_shards": hash_shards.op7_hash_shards,
     "op8_va_search": va_search.op8_va_search,
     "op9_robust_rules": robust_rules.op9_robust_rules,

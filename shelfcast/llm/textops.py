@@ -36,17 +36,6 @@ def stream64(n, seed):
         return mix64((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-_multipliers = stream64(1 << 12, 1) | np.uint64(1)
-
-
-def multipliers(n):
-    """One odd multiplier for each byte position of a word."""
-    global _multipliers
-    if len(_multipliers) < n:
-        _multipliers = stream64(max(n, 2 * len(_multipliers)), 1) | np.uint64(1)
-    return _multipliers
-
-
 def utf8(column):
     """An Arrow string or binary array as (bytes, offsets); null becomes empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -94,18 +83,38 @@ def word_bounds(data, offsets, space=None):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_LANE = stream64(1 << 10, 1)
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
 def hash_spans(data, starts, ends):
-    """A 64-bit hash of each non-empty span of bytes; spans ascend and do not overlap."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each span of bytes: mixed sums of its 8-byte lanes and its length."""
     lengths = ends - starts
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    at = place + np.repeat(starts, lengths)
-    values = multipliers(int(lengths.max()))[place]
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    lanes = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,))
+    total = lengths.astype(np.uint64)
+    todo = np.arange(len(starts))
     with np.errstate(over="ignore"):
-        values = values * (data[at].astype(np.uint64) + np.uint64(1))
-        return mix64(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+        for k in range(int(lengths.max(initial=0) + 7) // 8):
+            if k and len(todo) < 8:
+                break
+            todo = todo[lengths[todo] > 8 * k] if k else todo
+            part = lanes[starts[todo] + 8 * k] & _MASKS[np.minimum(lengths[todo] - 8 * k, 8)]
+            total[todo] += mix64(part + _lane(k, k + 1)[0])
+        else:
+            return mix64(total)
+        for i in todo:  # a few long ones are left
+            rest = int(lengths[i]) - 8 * k
+            if rest > 0:
+                part = lanes[starts[i] + 8 * k : ends[i] : 8].copy()
+                part[-1] &= _MASKS[(rest - 1) % 8 + 1]
+                total[i] += mix64(part + _lane(k, k + len(part))).sum()
+    return mix64(total)
+
+
+def _lane(at, to):
+    """Constants of the lanes from ``at`` to ``to``."""
+    return _LANE[at:to] if to <= len(_LANE) else stream64(to, 1)[at:]
 
 
 def per_row(values, first):

@@ -2,31 +2,38 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
 
-MOST_CHUNKS = 500_000
+from shelfcast.llm.textops import slices
+
+MOST_CHUNKS = 700_000
+LEARNT_AT_ONCE = 10_000
+SLICE_BYTES = 8 << 20
 
 
 class ChunkEncoder:
     """Ids of texts that can be cut into chunks which encode independently.
 
-    ``cut`` gives a text's chunks, ``learn`` the ids of each of a list of chunks. A text with a
-    chunk that is ``odd`` is encoded by ``whole``. What was learnt is kept, and cleared when it
-    exceeds ``most`` chunks; ids do not depend on it.
+    ``begins`` marks the bytes of a slice at which a chunk begins (each text begins one anyway),
+    ``learn`` gives the ids of each of a list of chunks. A text with a chunk that is ``odd`` is
+    encoded by ``whole``. What was learnt is kept, and cleared when it exceeds ``most`` chunks; ids
+    do not depend on it.
     """
 
-    def __init__(self, cut, learn, odd=None, whole=None, most=MOST_CHUNKS):
-        self._cut, self._learn_ids, self._odd, self._whole, self._most = cut, learn, odd, whole, most
+    def __init__(self, begins, learn, odd=None, whole=None, most=MOST_CHUNKS):
+        self._begins, self._learn_ids, self._odd, self._whole, self._most = begins, learn, odd, whole, most
         self._clear()
 
     def _clear(self):
         self._place, self._ids, self._used = {}, np.zeros(1 << 16, np.uint32), 0
-        self._start, self._length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._start, self._length = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def _learn(self, chunks):
-        lists = self._learn_ids(chunks)
+        texts = [c.decode() for c in chunks]
+        lists = self._learn_ids(texts)
         flat = np.fromiter(chain.from_iterable(lists), np.uint32)
         base, n = len(self._place), len(lists)
         while self._used + len(flat) > len(self._ids):
@@ -38,44 +45,50 @@ class ChunkEncoder:
         self._start[base : base + n] = self._used + np.concatenate(([0], np.cumsum(lengths)[:-1]))
         self._length[base : base + n] = lengths
         if self._odd is not None:
-            self._length[base : base + n][np.fromiter(map(self._odd, chunks), bool, n)] = -1
+            self._length[base : base + n][np.fromiter(map(self._odd, texts), bool, n)] = -1
         self._place.update(zip(chunks, range(base, base + n), strict=True))
         self._used += len(flat)
 
-    def encode(self, texts):
-        """(ids of all texts, number of ids of each)."""
+    def _slice(self, data, offsets):
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         if len(self._place) > self._most:
             self._clear()
-        chunks = [self._cut(t) for t in texts]
-        counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        flat = list(chain.from_iterable(chunks))
-        if not flat:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        new = list(dict.fromkeys(c for c in flat if c not in self._place))
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self._place.__getitem__, flat), np.int64, len(flat))
+        begins = self._begins(data, offsets)
+        begins[offsets[offsets < len(data)]] = True
+        at = np.flatnonzero(begins)
+        ends = pa.py_buffer(np.append(at, len(data)).astype(np.int32))
+        chunks = pa.Array.from_buffers(pa.binary(), len(at), [None, ends, pa.py_buffer(np.ascontiguousarray(data))])
+        coded = chunks.dictionary_encode()
+        kinds = coded.dictionary.to_pylist()
+        places = np.fromiter(map(self._place.get, kinds, repeat(-1)), np.int64, len(kinds))
+        new = np.flatnonzero(places < 0)
+        places[new] = len(self._place) + np.arange(len(new))
+        for k in range(0, len(new), LEARNT_AT_ONCE):
+            self._learn([kinds[i] for i in new[k : k + LEARNT_AT_ONCE]])
+        places = places[coded.indices.to_numpy()]
         lengths, starts = self._length[places], self._start[places]
-        bounds = np.concatenate(([0], np.cumsum(counts)))
+        bounds = np.searchsorted(at, offsets)
         whole = {int(np.searchsorted(bounds, i, "right")) - 1 for i in np.flatnonzero(lengths < 0)}
-        lengths = np.maximum(lengths, 0)
-        ends = np.cumsum(lengths)
-        ids = self._ids[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
+        if whole:
+            lengths = np.maximum(lengths, 0)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        from_place = (starts - (ends - lengths)).astype(np.int32)
+        ids = self._ids[np.repeat(from_place, lengths) + np.arange(ends[-1], dtype=np.int32)]
         sums = np.concatenate(([0], ends))[bounds]
         if not whole:
             return ids, np.diff(sums)
-        parts = [np.array(self._whole(t), np.uint32) if k in whole else ids[sums[k] : sums[k + 1]] for k, t in enumerate(texts)]
+        texts = {k: data[offsets[k] : offsets[k + 1]].tobytes().decode() for k in whole}
+        parts = [np.array(self._whole(texts[k]), np.uint32) if k in whole else ids[sums[k] : sums[k + 1]] for k in range(len(offsets) - 1)]
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
+    def parts(self, column):
+        """(first row, ids, number of ids of each row) of consecutive rows of an Arrow column; null is empty."""
+        for at, _, data, offsets in slices(column, SLICE_BYTES):
+            yield at, *self._slice(data, offsets)
 
-def text_slices(texts, most=4 << 20):
-    """Lists of consecutive texts (null as empty) of about ``most`` characters."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+    def encode(self, texts):
+        """(ids of all texts, number of ids of each) of a list."""
+        parts = list(self.parts(pa.array(texts, pa.string())))
+        none = (0, np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        return tuple(np.concatenate([p[k] for p in [none, *parts]]) for k in (1, 2))

@@ -13,33 +13,38 @@ ones. So for these models the piece transducer keeps the last piece as its state
 only to pieces that may follow it (an arc's absence is the weight infinity); whether one may follow
 is worked out by merging the two, when it is first asked. Models of unigrams have one state.
 
-No piece holds a space after another character, so at such places and at characters without a
-piece all paths pass one state: a path is the concatenation of the paths of the chunks between,
-and distinct chunks are worked out once.
+Between two characters that stand side by side in no piece all paths pass one state. So a path is
+the concatenation of the paths of the chunks between such places (a space begins one), and a worker
+works out each distinct chunk once.
 
 Defined cases: a null text encodes and decodes like an empty one, to no ids and an empty text; the
-meta symbol in a text is a space; decoding replaces broken byte sequences by U+FFFD, and ids
+meta symbol in a text is a space; decoding replaces each byte that is not UTF-8 by U+FFFD, and ids
 outside the model are an error; models with a character map, or with user-defined or unused
 pieces, are refused.
 """
 
 from __future__ import annotations
 
-import re
+import codecs
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from shelfcast.llm.chunks import ChunkEncoder, text_slices
-from shelfcast.llm.tables import documents, without
+from shelfcast.llm.chunks import ChunkEncoder
+from shelfcast.llm.tables import bounded_batches, documents, without
 
 META = "▁"
 #: Kinds of pieces and of models in the file format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
+UNKNOWN_WEIGHT = 100.0  # of a character without a piece, in a model of unigrams
+MOST_PAIRS = 1_000_000  # that a worker keeps in mind
+codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 
 def _fields(data):
@@ -114,53 +119,77 @@ class Transducer:
                 node = node.setdefault(c, {})
             node[None] = (i, -score)
         self._byte_ids = {int(t[3:5], 16): i for i, (t, _, kind) in enumerate(self.pieces) if kind == BYTE} if model["bytes"] else {}
-        self._follows = {}
-        apart = all(META not in text[len(text) - len(text.lstrip(META)) :] for text in self._scores)
-        alone = "".join(c for c in "\t\n\r" if c not in alphabet)
-        cut = re.compile(rf" *[^ {alone}]+| +|[{alone}]" if alone else r" *[^ ]+| +")
-        self.encoder = ChunkEncoder(lambda t: cut.findall(self._normal(t)) if apart else [self._normal(t)] * bool(t), lambda cs: [self.shortest(c) for c in cs])
-
-    def _normal(self, text):
-        """The normaliser's output, with spaces for meta symbols."""
-        text = text.replace(META, " ")
-        if self._squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        return " " + text if self._prefix and text else text
-
-    def _merged(self, symbols):
-        """What merging makes of symbols: the best-scored pair first, the left one of equals."""
+        self._follows, self._known = {}, {}
+        # pieces that score as well as another one: their order depends on places, so they are merged in full
+        times = Counter(self._scores.values())
+        self._level = {text for text, score in self._scores.items() if times[score] > 1}
+        # pairs of bytes that stand side by side in a piece; inside a character all may
+        beside = np.zeros((256, 256), bool)
+        beside[:, 0x80:0xC0] = True
+        for text in self._scores:
+            raw = text.replace(META, " ").encode()
+            beside[list(raw[:-1]), list(raw[1:])] = True
+        self._beside = beside.ravel()
+        self.encoder = ChunkEncoder(self._begins, lambda chunks: [self.shortest(c) for c in chunks])
+
+    def _begins(self, data, offsets):
+        """Where chunks begin: between bytes that no piece holds side by side."""
+        out = np.zeros(len(data), bool)
+        out[1:] = ~self._beside[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        return out
+
+    def _merged(self, text):
+        """What merging makes of a text: the best-scored pair first, the left one of equals.
+
+        Each result is (its left spine, its right spine): itself, the part at its left (right) end
+        that it was merged from, that part's part, and so on to a character.
+        """
+        symbols, scores = [([c], [c]) for c in text], self._scores
         while len(symbols) > 1:
             best, at = -INFINITE, -1
             for k in range(len(symbols) - 1):
-                score = self._scores.get(symbols[k] + symbols[k + 1], -INFINITE)
-                if score > best:
+                score = scores.get(symbols[k][0][0] + symbols[k + 1][0][0])
+                if score is not None and score > best:
                     best, at = score, k
             if at < 0:
                 break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            (l0, _), (_, r1) = symbols[at : at + 2]
+            both = l0[0] + symbols[at + 1][0][0]
+            symbols[at : at + 2] = [([both, *l0], [both, *r1])]
         return symbols
 
+    def _spines(self, piece):
+        """The spines of a piece; None for one that merging never makes."""
+        if piece not in self._known:
+            made = self._merged(self.pieces[piece][0])
+            self._known[piece] = made[0] if len(made) == 1 else None
+        return self._known[piece]
+
     def _may_follow(self, left, right):
-        """Whether merging the characters of both pieces never merges across their border."""
-        a, b = self.pieces[left][0], self.pieces[right][0]
-        symbols, border, scores = list(a + b), len(a), self._scores
+        """Whether merging both texts together never merges across their border.
+
+        The symbols beside the border climb the left text's right spine and the right text's left
+        spine, the better score first. They merge with each other if that scores best at some point.
+        """
+        a, b, scores = self._spines(left), self._spines(right), self._scores
+        if a is None or b is None:
+            return False
+        ups, downs = a[1], b[0]
+        i, j = len(ups) - 1, len(downs) - 1
+        if self._level & {*ups[:-1], *downs[:-1]}:
+            return [s[0][0] for s in self._merged(ups[0] + downs[0])] == [ups[0], downs[0]]
         while True:
-            best, at = -INFINITE, -1
-            for k in range(len(symbols) - 1):
-                score = scores.get(symbols[k] + symbols[k + 1])
-                if score is not None and score > best:
-                    best, at = score, k
-            if at < 0:
-                return len(symbols) == 2
-            if at == border - 1:
+            across = scores.get(ups[i] + downs[j], -INFINITE)
+            up = scores[ups[i - 1]] if i else -INFINITE
+            down = scores[downs[j - 1]] if j else -INFINITE
+            if across > up and across >= down and across > -INFINITE:
                 return False
-            border -= at < border
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-
-    def _reachable(self, piece):
-        """Whether merging makes this piece at all."""
-        text = self.pieces[piece][0]
-        return self._merged(list(text)) == [text]
+            if not i and not j:
+                return True
+            if i and up >= down:
+                i -= 1
+            else:
+                j -= 1
 
     def _fallback(self, character):
         if self._byte_ids:
@@ -168,50 +197,100 @@ class Transducer:
         return [self._unknown]
 
     def shortest(self, chunk):
-        """Ids on the shortest path of a normalised chunk.
+        """Ids on the shortest path of a normalised chunk."""
+        text = chunk.replace(" ", META)
+        steps = self._only_path(text) if self._merges else self._best_path(text)
+        out = []
+        for piece, character in steps:
+            if piece >= 0:
+                out.append(piece)
+            else:
+                out += self._fallback(character)
+        return out
+
+    def _arcs_at(self, text, at):
+        """(end, piece, weight) of the pieces that begin at a position, the longest last."""
+        out, node = [], self._arcs
+        for to in range(at, len(text)):
+            node = node.get(text[to])
+            if node is None:
+                break
+            if None in node:
+                out.append((to + 1, *node[None]))
+        return out
+
+    def _only_path(self, text):
+        """The path of a model of merges, whose states are (position, last piece).
 
-        One path per position is enough: without merges there is one state, and with them only one
-        sequence of pieces merges to a prefix, whatever follows.
+        Exactly one path is accepted, so the first that reaches the end is the shortest. Arcs are
+        tried from the longest, and states that lead nowhere are remembered.
         """
-        text = chunk.replace(" ", META)
-        size, merges, arcs, follows = len(text), self._merges, self._arcs, self._follows
-        # by position: the total weight, the last piece (-1: the start, or bytes) and where it begins
-        total, last, begin = [INFINITE] * (size + 1), [-1] * (size + 1), [-1] * (size + 1)
-        total[0] = 0.0
-        for at in range(size):
-            weight, state, to, node = total[at], last[at] << 32, at, arcs
-            while to < size:
-                node = node.get(text[to])
-                if node is None:
-                    break
-                to += 1
-                arc = node.get(None)
-                if arc is None:
+        size, follows = len(text), self._follows
+        if len(follows) > MOST_PAIRS:
+            follows.clear()
+        arcs, dead, path = {}, set(), []
+        at, last, left = 0, -1, None
+        while at < size:
+            if left is None:
+                if at not in arcs:
+                    arcs[at] = self._arcs_at(text, at) or [(at + 1, -1, 0.0)]
+                left = len(arcs[at])
+            here = arcs[at]
+            while left:
+                left -= 1
+                to, piece, _ = here[left]
+                if dead and (to, piece) in dead:
                     continue
-                piece, cost = arc
-                if merges:
-                    if begin[to] >= 0:
-                        continue
-                    fits = follows.get(state | piece)
+                if piece >= 0:
+                    key = last << 32 | piece if last >= 0 else ~piece
+                    fits = follows.get(key)
                     if fits is None:
-                        fits = follows[state | piece] = self._reachable(piece) and (state < 0 or self._may_follow(state >> 32, piece))
+                        fits = follows[key] = self._spines(piece) is not None if last < 0 else self._may_follow(last, piece)
                     if not fits:
                         continue
-                elif weight + cost >= total[to]:
-                    continue
-                total[to], last[to], begin[to] = weight + cost, piece, at
-            if begin[at + 1] < 0:
-                # no piece reaches the next position, so the character falls back
-                total[at + 1], last[at + 1], begin[at + 1] = weight, -1, at
+                path.append((at, last, left, piece))
+                at, last, left = to, piece, None
+                break
+            else:
+                dead.add((at, last))
+                at, last, left, _ = path.pop()
+        return [(piece, text[start]) for start, _, _, piece in path]
+
+    def _best_path(self, text):
+        """The path of a model of unigrams, which has one state: the smallest total at each position."""
+        size = len(text)
+        total, step = [0.0] + [INFINITE] * size, [None] * (size + 1)
+        for at in range(size):
+            arcs = self._arcs_at(text, at)
+            if not arcs or arcs[0][0] > at + 1:
+                arcs.append((at + 1, -1, UNKNOWN_WEIGHT))
+            for to, piece, weight in arcs:
+                if total[at] + weight < total[to]:
+                    total[to], step[to] = total[at] + weight, (at, piece)
         out, at = [], size
         while at:
-            out.append([last[at]] if last[at] >= 0 else self._fallback(text[begin[at]]))
-            at = begin[at]
-        return [i for ids in reversed(out) for i in ids]
+            at, piece = step[at]
+            out.append((piece, text[at]))
+        return out[::-1]
+
+    def normalise(self, column):
+        """The normaliser's output for an Arrow column, with spaces for meta symbols."""
+        column = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), META, " ")
+        if self._squeeze:
+            column = pc.utf8_trim(pc.replace_substring_regex(column, " +", " "), " ")
+        if self._prefix:
+            column = pc.if_else(pc.equal(column, ""), column, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), column, pa.scalar("", pa.large_string())))
+        return column
+
+    def parts(self, column):
+        """(first row, ids, number of ids of each row) of consecutive rows of an Arrow column."""
+        return self.encoder.parts(self.normalise(column))
 
     def encode(self, texts):
-        """(ids of all texts, number of ids of each)."""
-        return self.encoder.encode(texts)
+        """(ids of all texts, number of ids of each) of a list."""
+        parts = list(self.parts(pa.array(texts, pa.string())))
+        none = (0, np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        return tuple(np.concatenate([p[k] for p in [none, *parts]]) for k in (1, 2))
 
     def _inverse(self):
         """What each id writes: its bytes, one after the other, and their bounds."""
@@ -235,8 +314,17 @@ class Transducer:
         ends = np.concatenate(([0], np.cumsum(lengths)))
         flat = data[np.arange(ends[-1]) + np.repeat(bounds[ids] - ends[:-1], lengths)].tobytes()
         cuts = ends[np.concatenate(([0], np.cumsum(counts)))]
-        texts = [flat[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        return [t[1:] if self._prefix and t.startswith(" ") else t for t in texts]
+        texts = [flat[a:b].decode("utf-8", "each_byte") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if self._prefix:
+            unknown = np.array([kind == UNKNOWN for _, _, kind in self.pieces])
+            places = np.concatenate(([0], np.cumsum(counts)))
+            for k, text in enumerate(texts):
+                if text.startswith(" "):
+                    own = ids[places[k] : places[k + 1]]
+                    written = lengths[places[k] : places[k + 1]] > 0
+                    # the prefix is the space of a piece, not the one that an unknown id writes
+                    texts[k] = text if unknown[own[written.argmax()]] else text[1:]
+        return texts
 
 
 _compiled: dict[int, Transducer] = {}
@@ -253,6 +341,7 @@ def transducer(shared):
 
 
 def _share(df, model):
+    bounded_batches(df.sparkSession)
     with open(model, "rb") as file:
         return df.sparkSession.sparkContext.broadcast(file.read())
 
@@ -263,8 +352,7 @@ def encode(df, model, text_col="text", name="ids"):
 
     def run(texts):
         flat, counts = [], []
-        for part in text_slices(texts.to_pylist()):
-            ids, sizes = transducer(shared).encode(part)
+        for _, ids, sizes in transducer(shared).parts(texts):
             flat.append(ids.astype(np.int32))
             counts.append(sizes)
         ends = np.concatenate(([0], np.cumsum(np.concatenate([*counts, np.zeros(0, np.int64)]))))

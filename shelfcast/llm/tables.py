@@ -18,6 +18,18 @@ def written(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark):
+    """Limits the bytes of the batches that go to Python: rows alone do not bound them, texts can be long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    units = {"b": 0, "k": 10, "m": 20, "g": 30}
+    if (int(now[:-1]) << units[now[-1]] if now[-1] in units else int(now)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def own_name(df, name):
     """``name``, or a variant of it that the table does not have."""
     taken = {c.lower() for c in df.columns}
@@ -34,3 +46,11 @@ def without(df, *names):
     """The table without columns that an operator is about to add (case is ignored, as in Spark)."""
     lower = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in lower])
+
+
+def set_aside(df, names):
+    """The table with its columns of these names renamed, and a function that names them back."""
+    lower = {n.lower() for n in names}
+    moved = {c: own_name(df, f"{c}_input") for c in df.columns if c.lower() in lower}
+    back = [(moved.get(c, c), c) for c in df.columns]
+    return df.withColumnsRenamed(moved), lambda out: out.select(*[out[a].alias(b) for a, b in back])

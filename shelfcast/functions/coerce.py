@@ -30,6 +30,16 @@ def as_int(df, name):
     return as_double(col).try_cast("int")
 
 
+def as_id(df, name):
+    """Store or item number, 64 bits wide, or null; decimals are cut."""
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, (*_INTEGERS, T.LongType)):
+        return col.cast("bigint")
+    # Text is read as a whole number first: a double would round ids of 16 digits and more.
+    whole = F.trim(col.cast("string")).try_cast("decimal(38,6)")
+    return F.coalesce(whole.try_cast("bigint"), as_double(col).try_cast("bigint"))
+
+
 def as_date(df, name):
     """Calendar day or null. Typed columns use a plain cast so that date filters still
     reach the file scan."""

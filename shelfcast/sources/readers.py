@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.coerce import (
     as_date,
     as_double,
+    as_id,
     as_int,
     as_text,
     keep_existing,
@@ -57,14 +58,18 @@ def _int_or(df, name, default):
     return lambda: F.coalesce(as_int(df, name), F.lit(default))
 
 
+def _id(df, name):
+    return lambda: F.coalesce(as_id(df, name), F.lit(0).cast("bigint"))
+
+
 def coerce_sales(df):
     """Undated rows are dropped; missing ids and units become 0, missing promotion false."""
     require_columns(df, ["date"])
     out = _with(
         df,
         date=lambda: as_date(df, "date"),
-        store_nbr=_int_or(df, "store_nbr", 0),
-        item_nbr=_int_or(df, "item_nbr", 0),
+        store_nbr=_id(df, "store_nbr"),
+        item_nbr=_id(df, "item_nbr"),
         unit_sales=lambda: F.coalesce(as_double(F.col("unit_sales")), F.lit(0.0)),
         onpromotion=lambda: parse_flag(df, "onpromotion"),
     )
@@ -101,7 +106,7 @@ def coerce_items(df):
     require_columns(df, ["item_nbr", "family"])
     out = _with(
         df,
-        item_nbr=_int_or(df, "item_nbr", 0),
+        item_nbr=_id(df, "item_nbr"),
         family=lambda: as_text(F.col("family"), "UNKNOWN"),
         perishable=_int_or(df, "perishable", 0),
         **{"class": _int_or(df, "class", -1)},
@@ -114,7 +119,7 @@ def coerce_stores(df):
     require_columns(df, ["store_nbr"])
     out = _with(
         df,
-        store_nbr=_int_or(df, "store_nbr", 0),
+        store_nbr=_id(df, "store_nbr"),
         city=lambda: as_text(F.col("city"), "UNKNOWN"),
         state=lambda: as_text(F.col("state"), "UNKNOWN"),
         type=lambda: as_text(F.col("type"), "UNKNOWN"),
@@ -136,7 +141,7 @@ def coerce_transactions(df):
     return _with(
         df,
         date=lambda: as_date(df, "date"),
-        store_nbr=_int_or(df, "store_nbr", 0),
+        store_nbr=_id(df, "store_nbr"),
         transactions=lambda: F.coalesce(as_double(F.col("transactions")), F.lit(0.0)),
     )
 
@@ -188,12 +193,3 @@ def read_tables(spark, folder):
         oil=read_oil(spark, f"{folder}/oil.csv"),
         holidays=read_holidays(spark, f"{folder}/holidays_events.csv"),
     )
-
-
-# Names used by dashboard pages.
-load_train_recent = read_sales
-load_items = read_items
-load_stores = read_stores
-load_oil = read_oil
-load_transactions = read_transactions
-load_holidays = read_holidays

@@ -35,6 +35,13 @@ def test_sales_bad_values(rows):
     assert got == [(day, 0, 7, 0.0, False), (day, 4, 0, -2.0, True)]
 
 
+def test_ids_beyond_32_bits_stay_apart(rows):
+    for kind, values in (("bigint", [3_000_000_000, 4_000_000_000]), ("string", ["3000000000", " 9007199254740993 "]), ("double", [3e9, 4e9])):
+        raw = rows([(dt.date(2020, 1, 1), v) for v in values], f"date date, item_nbr {kind}")
+        got = sorted(r["item_nbr"] for r in readers.coerce_sales(raw).collect())
+        assert got == sorted(int(v) for v in values)
+
+
 def test_nan_counts_as_missing(rows):
     raw = rows([(dt.date(2020, 1, 1), float("nan"))], "date date, unit_sales double")
     assert listed(readers.coerce_sales(raw)) == [(dt.date(2020, 1, 1), 0.0)]

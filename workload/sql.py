@@ -7,26 +7,26 @@ feature set with self joins instead of the window frames the Spark code uses.
 from __future__ import annotations
 
 VIEWS = {
-    "v_sales": """SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey AS INT) AS store_nbr,
-        CAST(l_partkey AS INT) AS item_nbr, l_discount > 0.05 AS onpromotion,
+    "v_sales": """SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey AS BIGINT) AS store_nbr,
+        CAST(l_partkey AS BIGINT) AS item_nbr, l_discount > 0.05 AS onpromotion,
         CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS unit_sales,
         l_orderkey, l_linenumber, l_linestatus FROM lineitem""",
     "v_pos": "SELECT *, greatest(unit_sales, 0) AS unit_sales_pos FROM v_sales",
-    "v_items": """SELECT CAST(p_partkey AS INT) AS item_nbr, p_type AS family,
+    "v_items": """SELECT CAST(p_partkey AS BIGINT) AS item_nbr, p_type AS family,
         CAST(substr(p_brand, 7) AS INT) AS class,
         CASE WHEN p_size <= 10 THEN 1 ELSE 0 END AS perishable FROM part""",
-    "v_stores": """SELECT CAST(s_suppkey AS INT) AS store_nbr, n_name AS city, r_name AS state,
+    "v_stores": """SELECT CAST(s_suppkey AS BIGINT) AS store_nbr, n_name AS city, r_name AS state,
         chr(CAST(65 + s_suppkey % 5 AS INT)) AS type, CAST(s_suppkey % 17 AS INT) AS cluster
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
-    "d_sales": """SELECT s.date, s_nationkey AS store_nbr, p_size AS item_nbr, s.onpromotion,
+    "d_sales": """SELECT s.date, CAST(s_nationkey AS BIGINT) AS store_nbr, CAST(p_size AS BIGINT) AS item_nbr, s.onpromotion,
         s.unit_sales, s.l_orderkey, s.l_linenumber, s.l_linestatus
         FROM v_sales s JOIN supplier ON s_suppkey = s.store_nbr JOIN part ON p_partkey = s.item_nbr""",
     "d_pos": "SELECT *, greatest(unit_sales, 0) AS unit_sales_pos FROM d_sales",
-    "d_items": """SELECT p_size AS item_nbr, min(p_type) AS family,
+    "d_items": """SELECT CAST(p_size AS BIGINT) AS item_nbr, min(p_type) AS family,
         min(CAST(substr(p_brand, 7) AS INT)) AS class,
         max(CASE WHEN p_size <= 10 THEN 1 ELSE 0 END) AS perishable FROM part GROUP BY p_size""",
-    "d_stores": """SELECT n_nationkey AS store_nbr, n_name AS city, r_name AS state,
+    "d_stores": """SELECT CAST(n_nationkey AS BIGINT) AS store_nbr, n_name AS city, r_name AS state,
         chr(65 + n_nationkey % 5) AS type, n_nationkey % 17 AS cluster
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "d_transactions": """SELECT date, store_nbr,

@@ -38,8 +38,8 @@ def natural_sales(spark, sf_dir):
     units = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_suppkey").cast("int").alias("store_nbr"),
-        F.col("l_partkey").cast("int").alias("item_nbr"),
+        F.col("l_suppkey").cast("bigint").alias("store_nbr"),
+        F.col("l_partkey").cast("bigint").alias("item_nbr"),
         (F.col("l_discount") > 0.05).alias("onpromotion"),
         units.alias("unit_sales"),
         "l_orderkey",
@@ -58,7 +58,7 @@ def _perishable():
 
 def natural_items(spark, sf_dir):
     return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("item_nbr"),
+        F.col("p_partkey").cast("bigint").alias("item_nbr"),
         F.col("p_type").alias("family"),
         _part_class().alias("class"),
         _perishable().alias("perishable"),
@@ -76,7 +76,7 @@ def natural_stores(spark, sf_dir):
         _table(spark, sf_dir, "supplier")
         .join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            key.cast("int").alias("store_nbr"),
+            key.cast("bigint").alias("store_nbr"),
             F.col("n_name").alias("city"),
             F.col("r_name").alias("state"),
             F.char(F.lit(65) + key % 5).alias("type"),
@@ -88,18 +88,18 @@ def natural_stores(spark, sf_dir):
 def dense_sales(spark, sf_dir):
     sales = natural_sales(spark, sf_dir)
     nation_of = _table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("int").alias("store_nbr"), "s_nationkey"
+        F.col("s_suppkey").cast("bigint").alias("store_nbr"), "s_nationkey"
     )
     size_of = _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("item_nbr"), "p_size"
+        F.col("p_partkey").cast("bigint").alias("item_nbr"), "p_size"
     )
     return (
         sales.join(nation_of, "store_nbr")
         .join(size_of, "item_nbr")
         .select(
             "date",
-            F.col("s_nationkey").alias("store_nbr"),
-            F.col("p_size").alias("item_nbr"),
+            F.col("s_nationkey").cast("bigint").alias("store_nbr"),
+            F.col("p_size").cast("bigint").alias("item_nbr"),
             "onpromotion",
             "unit_sales",
             "l_orderkey",
@@ -112,7 +112,7 @@ def dense_sales(spark, sf_dir):
 def dense_items(spark, sf_dir):
     return (
         _table(spark, sf_dir, "part")
-        .groupBy(F.col("p_size").alias("item_nbr"))
+        .groupBy(F.col("p_size").cast("bigint").alias("item_nbr"))
         .agg(
             F.min("p_type").alias("family"),
             F.min(_part_class()).alias("class"),
@@ -124,7 +124,7 @@ def dense_items(spark, sf_dir):
 def dense_stores(spark, sf_dir):
     key = F.col("n_nationkey")
     return _places(spark, sf_dir).select(
-        key.alias("store_nbr"),
+        key.cast("bigint").alias("store_nbr"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("state"),
         F.char(F.lit(65) + key % 5).alias("type"),

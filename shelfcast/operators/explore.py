@@ -22,8 +22,6 @@ SERIES_KEYS = {
     "item": ["item_nbr"],
     "store": ["store_nbr"],
 }
-# Widest pivot built without an explicit series list.
-MAX_WIDE_SERIES = 1000
 
 
 def _measure(df, mode, y_col, clip=True):
@@ -92,13 +90,21 @@ def kpi(df, mode="count", date_col="date", sales_col="unit_sales_pos"):
 
 
 def daily_sales(df, mode="count", y_col="unit_sales", date_col="date", clip=True):
-    """Rows or units per day. ``clip=False`` sums the column as it is."""
+    """Rows or units per day, in order. ``clip=False`` sums the column as it is."""
+    return _per_day(df, mode, y_col, date_col, clip).orderBy(date_col)
+
+
+def _per_day(df, mode, y_col, date_col, clip=True):
     return _grouped(df, [date_col], mode, y_col, clip)[0]
 
 
 def daily_by_series(df, key_mode="pair", y_col="unit_sales_pos"):
-    """Long table date, series, value. Grouped on the ids; the label is built afterwards,
-    on the reduced rows."""
+    """Long table date, series, value, in order. Grouped on the ids; the label is built
+    afterwards, on the reduced rows."""
+    return _by_series(df, key_mode, y_col).orderBy("date", "series")
+
+
+def _by_series(df, key_mode, y_col):
     keys = SERIES_KEYS[key_mode]
     totals, name = _grouped(df, ["date", *keys], "units", y_col, clip=False)
     return totals.select(
@@ -106,19 +112,14 @@ def daily_by_series(df, key_mode="pair", y_col="unit_sales_pos"):
     )
 
 
-def daily_wide(df, key_mode="pair", y_col="unit_sales_pos", series=None):
-    """One column per series, null where a series has no sales that day.
+def daily_wide(df, key_mode="pair", y_col="unit_sales_pos", *, series):
+    """One column per series, in order of days; null where a series has no sales that day.
 
-    The column list comes from the caller's selection, or is read from the data when that
-    stays within ``MAX_WIDE_SERIES``; beyond it use the long table.
+    The columns are the caller's selection: a table's columns are not read from its data. Spark
+    limits their number (``spark.sql.pivotMaxValues``); ``daily_by_series`` has no limit.
     """
-    long = daily_by_series(df, key_mode, y_col)
-    if series is None:
-        found = long.select("series").distinct().limit(MAX_WIDE_SERIES + 1).collect()
-        if len(found) > MAX_WIDE_SERIES:
-            raise ValueError("too many series for a wide table: select some, or use daily_by_series")
-        series = sorted(r[0] for r in found)
-    return long.groupBy("date").pivot("series", list(series)).agg(F.sum("value"))
+    long = _by_series(df, key_mode, y_col)
+    return long.groupBy("date").pivot("series", list(series)).agg(F.sum("value")).orderBy("date")
 
 
 def daily_by_group(df, group_col, y_col="unit_sales_pos", date_col="date"):
@@ -133,8 +134,9 @@ def top_groups(df, group_col, n=10, mode="count", y_col="unit_sales", ascending=
 
 
 def _leaders(df, group_col, n, y_col):
-    """The ``n`` largest groups by summed units: at most ``n`` rows, so safe to broadcast."""
-    return F.broadcast(top_groups(df, group_col, n, "units", y_col, clip=False).select(group_col))
+    """The ``n`` largest groups by summed units. How they are joined is left to adaptive execution,
+    which knows their size."""
+    return top_groups(df, group_col, n, "units", y_col, clip=False).select(group_col)
 
 
 def rows_of_top_groups(df, group_col, n=8, y_col="unit_sales_pos"):
@@ -184,14 +186,15 @@ def promo_split(df, mode="count", promo_col="onpromotion", y_col="unit_sales"):
 
 
 def week_heatmap(df, mode="count", y_col="unit_sales", date_col="date"):
-    """ISO week by weekday, empty cells 0."""
+    """ISO week by weekday, in order of weeks, empty cells 0."""
     name, _ = _measure(df, mode, y_col)
     day = F.col(date_col)
-    per_day = daily_sales(df, mode, y_col, date_col)
+    per_day = _per_day(df, mode, y_col, date_col)
     empty = F.lit(0).cast(per_day.schema[name].dataType)
     cells = [
         F.sum(F.when(S.weekday(day) == i, F.col(name)).otherwise(empty)).alias(label)
         for i, label in enumerate(WEEKDAY_LABELS)
     ]
     weeks = per_day.groupBy(S.iso_year(day).alias("iso_year"), S.iso_week(day).alias("iso_week")).agg(*cells)
-    return weeks.withColumn("week_label", S.week_label(F.col("iso_year"), F.col("iso_week")))
+    weeks = weeks.withColumn("week_label", S.week_label(F.col("iso_year"), F.col("iso_week")))
+    return weeks.orderBy("iso_year", "iso_week")

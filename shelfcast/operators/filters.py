@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.coerce import positive
 
-ITEM_PICKER_LIMIT = 5000
 PREVIEW_ROWS = 50
 # Longest id list written into the plan as a literal; longer ones become a semi join.
 INLINE_IDS = 1000
@@ -81,16 +80,22 @@ def select_sales(df, start, end, stores=None, items=None):
 
 
 def distinct_ids(df, column):
+    """The ids that occur, in order: a picker's list."""
+    return _ids(df, column).orderBy(column)
+
+
+def _ids(df, column):
     return df.filter(F.col(column).isNotNull()).select(column).distinct()
 
 
-def search_ids(df, column, text="", limit=ITEM_PICKER_LIMIT):
-    """Ids containing ``text``, smallest first, at most ``limit`` (the picker's page size)."""
-    ids = distinct_ids(df, column)
+def search_ids(df, column, text="", limit=None):
+    """Ids containing ``text``, smallest first; a page of ``limit`` of them if one is asked for."""
+    ids = _ids(df, column)
     text = text.strip()
     if text:
         ids = ids.filter(F.col(column).cast("string").contains(text))
-    return ids.orderBy(column).limit(int(limit))
+    ids = ids.orderBy(column)
+    return ids if limit is None else ids.limit(int(limit))
 
 
 def preview(df, order, rows=PREVIEW_ROWS):

@@ -18,6 +18,11 @@ from shelfcast.sources.readers import SALES_COLUMNS, evaluation_columns
 REQUEST = ["date", "store_nbr", "item_nbr", "onpromotion"]
 
 
+def _written(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass
 class Evaluation:
     scored: DataFrame
@@ -25,27 +30,33 @@ class Evaluation:
     worst: DataFrame
 
 
-def validation_rows(sales, eval_days=14, max_rows=300_000, seed=42):
-    """The latest ``eval_days`` with known sales (returns as 0), sampled down to exactly
-    ``max_rows`` when there are more."""
+def validation_rows(sales, eval_days=14, max_rows=None, seed=42):
+    """The latest ``eval_days`` with known sales (returns as 0): all rows, or a sample of exactly
+    ``max_rows`` when there are more and a sample is asked for."""
     require_columns(sales, SALES_COLUMNS)
     rows = evaluation_columns(sales)
     rows = rows.withColumns(
         {"onpromotion": parse_flag(rows, "onpromotion"), "unit_sales": as_double(F.col("unit_sales"))}
     ).filter(F.col("unit_sales").isNotNull())
     rows = rows.withColumn("unit_sales", F.greatest(F.col("unit_sales"), F.lit(0.0)))
-    return exact_sample(trailing_days(rows, eval_days), max_rows, seed)
+    latest = trailing_days(rows, eval_days)
+    return latest if max_rows is None else exact_sample(latest, max_rows, seed)
+
 
+def evaluate(sales, run, eval_days=14, max_rows=None, seed=42):
+    """Scores the validation rows, then measures them.
 
-def evaluate(sales, run, eval_days=14, max_rows=300_000, seed=42):
-    """Scores the validation rows once (written, at most ``max_rows``), then measures them."""
-    rows = validation_rows(sales, eval_days, max_rows, seed)
+    The rows are written before they are enriched, because enriching reads them twice (as rows and
+    as keys) and a sample is not worth drawing twice; so are the scored rows.
+    """
+    spark = sales.sparkSession
+    rows = _written(validation_rows(sales, eval_days, max_rows, seed), shared_dir(spark, "validation"))
     enriched = run.features.enrich(rows)
-    path = shared_dir(sales.sparkSession, "evaluation")
+    path = shared_dir(spark, "evaluation")
     score(enriched, run.model, run.feature_cols, [*REQUEST, "unit_sales"]).withColumns(
         {"y": F.col("unit_sales"), "y_log": F.log1p("unit_sales")}
     ).drop("unit_sales").write.parquet(path)
-    scored = sales.sparkSession.read.parquet(path)
+    scored = spark.read.parquet(path)
     report = scored.select(
         *REQUEST, F.col("y").alias("y_true_unit_sales"), F.col("y_pred").alias("y_pred_unit_sales")
     )

@@ -53,18 +53,31 @@ def test_daily(sales):
 def test_series_and_wide(sales):
     long = X.daily_by_series(sales, "pair", "unit_sales")
     assert listed(long, "date") == [(D(2021, 1, 3), "1 · 10", 3.0), (D(2021, 1, 4), "2 · 20", 3.0)]
-    wide = X.daily_wide(sales, "store", "unit_sales")
+    wide = X.daily_wide(sales, "store", "unit_sales", series=["1", "2"])
     assert wide.columns == ["date", "1", "2"]
     assert listed(wide, "date")[:2] == [(D(2021, 1, 3), 3.0, None), (D(2021, 1, 4), None, 3.0)]
     assert X.daily_wide(sales, "store", "unit_sales", series=["2"]).columns == ["date", "2"]
 
 
-def test_wide_refuses_too_many_series(spark):
-    many = spark.range(X.MAX_WIDE_SERIES + 1).select(
-        F.lit(D(2020, 1, 1)).alias("date"), F.col("id").cast("int").alias("item_nbr"), F.lit(1.0).alias("y")
-    )
-    with pytest.raises(ValueError, match="too many series"):
-        X.daily_wide(many, "item", "y")
+def test_wide_asks_for_its_series(sales):
+    with pytest.raises(TypeError, match="series"):
+        X.daily_wide(sales, "store", "unit_sales")
+
+
+def test_outputs_come_in_order(spark):
+    df = spark.range(500).selectExpr(
+        "date_add(DATE'2021-01-01', cast(id * 37 % 90 as int)) AS date", "id * 7 % 50 AS store_nbr",
+        "id * 11 % 80 AS item_nbr", "cast(id as double) AS unit_sales_pos", "cast(id as double) AS unit_sales",
+    ).repartition(7)
+
+    def ordered(out, *keys):
+        found = [tuple(r[k] for k in keys) for r in out.collect()]
+        return found == sorted(found) and len(found) > 10
+
+    assert ordered(X.daily_sales(df), "date") and ordered(X.daily_by_series(df, "item"), "date", "series")
+    assert ordered(X.daily_wide(df, "store", series=["1", "2"]), "date")
+    assert ordered(X.week_heatmap(df), "iso_year", "iso_week")
+    assert ordered(P.distinct_ids(df, "store_nbr"), "store_nbr") and ordered(P.search_ids(df, "item_nbr"), "item_nbr")
 
 
 def test_top_groups_ties_and_direction(rows):

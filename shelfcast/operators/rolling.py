@@ -88,18 +88,16 @@ def sales_history(history, target, days=None, order=()):
 def sales_lag_roll(history, requests, gap=0):
     """Lag 28 and 14-day mean for every distinct (store, item, date) in ``requests``.
 
-    History (already one row per key) and request keys are stacked, reduced to one row per
-    key, and one window holds both calendar frames. Reducing first matters: a (store, item)
-    pair then contributes at most one row per day, so no window partition can outgrow the
-    calendar even when one key fills a third of the requests.
+    History (already one row per key) and the distinct request keys are stacked, and one window
+    holds both calendar frames; the history moves once, for that window. Equal requests are reduced
+    first: a (store, item) pair then contributes at most two rows per day, so no window partition
+    can outgrow the calendar even when one key fills a third of the requests. A request has no
+    value of its own, so it counts in no maximum, mean or count.
     """
     known = history.select(*KEY, F.col("y").cast("double").alias("y"), F.lit(0).alias("asked"))
-    asked = requests.select(*KEY, F.lit(None).cast("double").alias("y"), F.lit(1).alias("asked"))
-    days = (
-        known.unionByName(asked)
-        .groupBy(*KEY)
-        .agg(F.max("y").alias("y"), F.max("asked").alias("asked"))
-    )
+    asked = requests.select(*KEY).distinct()
+    asked = asked.select(*KEY, F.lit(None).cast("double").alias("y"), F.lit(1).alias("asked"))
+    days = known.unionByName(asked)
     pair = Window.partitionBy("store_nbr", "item_nbr").orderBy(day_number(F.col("date")))
     lag = F.max("y").over(pair.rangeBetween(-(LAG + gap), -(LAG + gap)))
     recent = pair.rangeBetween(-(ROLL + gap), -(1 + gap))

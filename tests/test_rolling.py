@@ -67,7 +67,14 @@ def test_a_hot_key_stays_small(spark, rows):
     out = R.sales_lag_roll(rows([(1, 1, day(9), 7.0)], HIST), hot, gap=3)
     assert listed(out.select("sales_lag28")) == [(7.0,)]
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Window") < plan.index("partial_max")
+    assert plan.index("Window") < plan.index("HashAggregate")
+
+
+def test_the_history_moves_once(rows):
+    out = R.sales_lag_roll(rows([(1, 1, day(9), 7.0)], HIST), rows([(1, 1, day(40))], KEYS), gap=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # One exchange for the window of the series, one for the distinct requests.
+    assert plan.count("Exchange hashpartitioning(") == 2
 
 
 def test_keep_last_and_first(rows):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import scalars as S
-from shelfcast.functions.coerce import as_date, as_int, not_null, parse_flag, require_columns
+from shelfcast.functions.coerce import as_date, as_id, not_null, parse_flag, require_columns
 from shelfcast.operators import frequency, holidays, rolling
 from shelfcast.operators.filters import INLINE_IDS
 from shelfcast.operators.lookup import BROADCAST_BYTES, lookup, merge, small_enough
@@ -119,15 +119,18 @@ def clustered(sales_hist):
     return sales_hist.repartitionByRange(*series).sortWithinPartitions(*KEY)
 
 
-def only_series(sales_hist, rows):
-    """The history of the series in ``rows``. When these are few, their ids are also pushed
-    into the file scan as literals; the semi join alone decides what is kept."""
-    series = rows.select("store_nbr", "item_nbr").distinct()
+def only_series(sales_hist, series):
+    """The history of a few ``series``, whose ids are pushed into the file scan as literals.
+
+    With more of them it stays whole: rows of other series change no result, and a join with the
+    history would cost more than it saves.
+    """
     few = series.limit(INLINE_IDS + 1).collect()
-    if len(few) <= INLINE_IDS:
-        for name in series.columns:
-            sales_hist = sales_hist.filter(F.col(name).isin(sorted({r[name] for r in few})))
-    return sales_hist.join(series, series.columns, "left_semi")
+    if len(few) > INLINE_IDS:
+        return sales_hist
+    for name in ("store_nbr", "item_nbr"):
+        sales_hist = sales_hist.filter(F.col(name).isin(sorted({r[name] for r in few})))
+    return sales_hist
 
 
 def _until(df, day):
@@ -169,8 +172,8 @@ class FeatureEstimator(Estimator, _GapParams):
         typed = history.withColumns(
             {
                 "date": as_date(history, "date"),
-                "store_nbr": not_null(as_int(history, "store_nbr"), "store_nbr"),
-                "item_nbr": not_null(as_int(history, "item_nbr"), "item_nbr"),
+                "store_nbr": not_null(as_id(history, "store_nbr"), "store_nbr"),
+                "item_nbr": not_null(as_id(history, "item_nbr"), "item_nbr"),
             }
         )
         t, gap = self.tables, self.gap
@@ -273,18 +276,18 @@ class FeatureModel(Model, _GapParams):
                 n = table.count()
         return lookup(out, table, keys, n, self.broadcast_bytes)
 
-    def sales_features(self, rows, few_series=False):
-        """Lag and mean per distinct key of ``rows``. ``few_series`` first cuts the history to
-        the series asked for, which pays off when they are a small part of it."""
+    def sales_features(self, rows, series=None):
+        """Lag and mean per distinct key of ``rows``. ``series`` holds the (store_nbr, item_nbr)
+        of ``rows``, where the caller has them at hand; the history is cut to them if they are few."""
         past = self.tables["sales_hist"]
-        if few_series:
-            past = only_series(past, rows)
+        if series is not None:
+            past = only_series(past, series)
         return rolling.sales_lag_roll(past, rows, self.gap)
 
     def _transform(self, dataset):
         return self.enrich(dataset)
 
-    def enrich(self, rows, few_series=False):
+    def enrich(self, rows, series=None):
         require_columns(rows, KEY)
         clash = sorted({*FEATURES, *STATE_ONLY} & set(rows.columns))
         if clash:
@@ -293,14 +296,14 @@ class FeatureModel(Model, _GapParams):
         typed = rows.withColumns(
             {
                 "date": not_null(as_date(rows, "date"), "date"),
-                "store_nbr": not_null(as_int(rows, "store_nbr"), "store_nbr"),
-                "item_nbr": not_null(as_int(rows, "item_nbr"), "item_nbr"),
+                "store_nbr": not_null(as_id(rows, "store_nbr"), "store_nbr"),
+                "item_nbr": not_null(as_id(rows, "item_nbr"), "item_nbr"),
             }
         )
         # The one shuffle of the rows comes first, while they are narrow; the rest is
         # broadcast lookups for as long as the state tables stay small.
         out = typed.withColumn("onpromo", promo.cast("int"))
-        out = out.join(self.sales_features(typed, few_series), KEY, "left")
+        out = out.join(self.sales_features(typed, series), KEY, "left")
         for name in LOOKUPS:
             out = self._lookup(out, name, typed)
 

@@ -13,27 +13,36 @@ from shelfcast.plans.model import score
 ROWS_PER_TASK = 1_000_000
 
 
+def forecast_series(items, stores):
+    """Every selected item in every selected store.
+
+    The selected stores are one array value (a scalar subquery), in which each item expands in
+    place, so nothing is joined and the series stay distributed by item.
+    """
+    if not hasattr(stores, "columns"):
+        wanted = sorted({int(s) for s in stores})
+        stores = items.sparkSession.createDataFrame([(s,) for s in wanted], "store_nbr bigint")
+    ids = F.array_sort(F.collect_set(F.col("store_nbr").cast("bigint")))
+    picked = items.filter(F.col("item_nbr").isNotNull()).select(F.col("item_nbr").cast("bigint")).distinct()
+    return picked.select(F.explode(stores.agg(ids.alias("ids")).scalar()).alias("store_nbr"), "item_nbr")
+
+
 def forecast_grid(items, stores, start, end, onpromotion=False, promotions=None):
     """One request per day of the period, selected store and selected item.
 
-    ``items`` is a table with ``item_nbr``; ``stores`` the selected store numbers. Items stay
-    distributed and each expands in place, so the grid is never built in one task. A
-    promotion table with (date, store_nbr, item_nbr, onpromotion) replaces the single
-    ``onpromotion`` value where it has a row.
+    ``items`` is a table with ``item_nbr``; ``stores`` a table with ``store_nbr`` or a list of
+    numbers. The series (items by stores) are dealt out before each expands into its days, so few
+    items with many stores and days still make many tasks. A promotion table with (date,
+    store_nbr, item_nbr, onpromotion) replaces the single ``onpromotion`` value where it has a row.
     """
-    stores = sorted({int(s) for s in stores})
+    series = forecast_series(items, stores)
     first, last = sorted([as_day(start), as_day(end)])
-    wanted = items.select("item_nbr").distinct()
-    if not stores:
-        raise ValueError("select at least one store")
-    total = wanted.count() * len(stores) * ((last - first).days + 1)
-    days = F.sequence(F.lit(first), F.lit(last))
-    # One literal, however many stores.
-    store_ids = F.split(F.lit(",".join(map(str, stores))), ",").cast("array<int>")
+    total = series.count() * ((last - first).days + 1)
+    if not total:
+        raise ValueError("select at least one store and one item")
     grid = (
-        wanted.repartition(max(1, -(-total // ROWS_PER_TASK)), "item_nbr")
-        .withColumn("store_nbr", F.explode(store_ids))
-        .withColumn("date", F.explode(days))
+        series.repartition(-(-total // ROWS_PER_TASK), "store_nbr", "item_nbr")
+        .withColumn("date", F.explode(F.sequence(F.lit(first), F.lit(last))))
         .select("date", "store_nbr", "item_nbr")
     )
     if promotions is None:
@@ -45,17 +54,23 @@ def forecast_grid(items, stores, start, end, onpromotion=False, promotions=None)
     )
 
 
-def forecast(requests, run):
-    """``requests`` plus ``y_pred_log`` and ``y_pred``."""
-    enriched = run.features.enrich(requests, few_series=True)
+def forecast(requests, run, series=None):
+    """``requests`` plus ``y_pred_log`` and ``y_pred``.
+
+    ``series`` are the (store_nbr, item_nbr) that are asked for; when they are few, only their
+    history is read.
+    """
+    enriched = run.features.enrich(requests, series)
     return score(enriched, run.model, run.feature_cols, requests.columns)
 
 
 def forecast_point(spark, run, date, store_nbr, item_nbr, onpromotion=False):
     row = [(as_day(date), int(store_nbr), int(item_nbr), bool(onpromotion))]
-    schema = "date date, store_nbr int, item_nbr int, onpromotion boolean"
-    return forecast(spark.createDataFrame(row, schema), run)
+    schema = "date date, store_nbr bigint, item_nbr bigint, onpromotion boolean"
+    request = spark.createDataFrame(row, schema)
+    return forecast(request, run, request.select("store_nbr", "item_nbr"))
 
 
 def forecast_period(run, items, stores, start, end, onpromotion=False, promotions=None):
-    return forecast(forecast_grid(items, stores, start, end, onpromotion, promotions), run)
+    grid = forecast_grid(items, stores, start, end, onpromotion, promotions)
+    return forecast(grid, run, forecast_series(items, stores))

@@ -88,7 +88,7 @@ def test_dated_tables_are_cut_before_broadcast(spark, dense, model):
 
 def test_cut_history_gives_the_same(dense, model):
     few = dense.filter("store_nbr = 3")
-    cut = model.enrich(few, few_series=True)
+    cut = model.enrich(few, few.select("store_nbr", "item_nbr"))
     assert table(cut) == table(model.enrich(few))
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(store_nbr,3)" in plan
@@ -96,7 +96,7 @@ def test_cut_history_gives_the_same(dense, model):
 
 def test_many_series_are_joined(dense, model, monkeypatch):
     monkeypatch.setattr(features, "INLINE_IDS", 2)
-    assert table(model.enrich(dense, few_series=True)) == table(model.enrich(dense))
+    assert table(model.enrich(dense, dense.select("store_nbr", "item_nbr").distinct())) == table(model.enrich(dense))
 
 
 def test_no_leakage(spark, dense, model):

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import dataclasses
 
+from shelfcast.functions.coerce import keep_existing
 from shelfcast.plans.model import TrainConfig, train
-from shelfcast.sources.artifacts import write_json
+from shelfcast.sources.artifacts import read_json, write_json
 from shelfcast.sources.fingerprint import content_fingerprint, file_signature
-from shelfcast.sources.readers import read_sales
+from shelfcast.sources.readers import SALES_COLUMNS, read_sales
 from shelfcast.sources.registry import RunRegistry
 
 # The scheduled job asks for 70 days, because the 10-week file holds 71.
@@ -25,20 +26,33 @@ def train_and_publish(spark, sales_path, tables, root, config=TrainConfig(), ord
     return registry.publish(run_id, metadata)
 
 
+def _trained_on(spark, sales_path, config, order, rename, columns):
+    """What a training reads of the source: the window's rows and the columns that it uses."""
+    sales = read_sales(spark, sales_path, config.weeks_window, columns, rename)
+    return keep_existing(sales, list(dict.fromkeys([*SALES_COLUMNS, *order])))
+
+
 def run_if_new(spark, sales_path, tables, root, config=SCHEDULED, order=(), rename=None,
                columns=None):
     """Returns the new run, or ``None`` when the sales are those of the latest run.
 
-    An unchanged file listing settles it without reading data. Otherwise the content
-    fingerprint decides, so rewritten but equal files do not cause a new training.
+    An unchanged file listing settles it without reading data. Otherwise the content fingerprint
+    of what training reads decides, so files that were rewritten with equal rows, or changed
+    outside the window, do not cause a new training; their listing is noted beside the runs, so
+    that they are not read again either.
     """
     last = RunRegistry(spark, root).latest()
     seen = last["metadata"].get("data_signature", {}) if last else {}
+    noted = read_json(spark, f"{root}/listing.json", {}) if last else {}
     files = file_signature(spark, sales_path)
-    if seen.get("file_signature") == files:
+    known = [seen.get("file_signature")]
+    if noted.get("run_id") == (last or {}).get("run_id"):
+        known.append(noted.get("file_signature"))
+    if files in known:
         return None
-    content = content_fingerprint(spark.read.parquet(sales_path))
+    content = content_fingerprint(_trained_on(spark, sales_path, config, order, rename, columns))
     if seen.get("fingerprint") == content:
+        write_json(spark, f"{root}/listing.json", {"run_id": last["run_id"], "file_signature": files})
         return None
     signature = {"file_signature": files, "fingerprint": content}
     return train_and_publish(

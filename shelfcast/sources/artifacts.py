@@ -8,9 +8,13 @@ from pyspark.errors import AnalysisException
 
 
 def exists(spark, path):
+    """Whether there is something at ``path``. Only its absence counts as absence: any other
+    failure (no permission, a broken store) is raised, so that it is not taken for "no runs"."""
     try:
         spark.read.text(path)
-    except AnalysisException:
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 

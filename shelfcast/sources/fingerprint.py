@@ -33,7 +33,7 @@ def row_hash_sum(df):
     content = [c for n in names for c in (F.col(n), F.col(n).isNull())]
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.xxhash64(*content).cast("decimal(20,0)")).cast("string"), F.lit("0")).alias(
+        F.coalesce(F.sum(F.xxhash64(*content).cast("decimal(38,0)")).cast("string"), F.lit("0")).alias(
             "hash_sum"
         ),
     )

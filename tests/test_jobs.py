@@ -4,12 +4,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.plans import jobs
 from shelfcast.plans.evaluate import evaluate, validation_rows
 from shelfcast.plans.forecast import forecast, forecast_grid, forecast_period, forecast_point
 from shelfcast.plans.jobs import build_now, run_if_new
 from shelfcast.plans.model import TrainConfig, train
-from shelfcast.sources.artifacts import export_csv, load_metadata, load_metrics, read_json
-from shelfcast.sources.fingerprint import content_fingerprint
+from shelfcast.sources.artifacts import exists, export_csv, load_metadata, load_metrics, read_json
+from shelfcast.sources.fingerprint import content_fingerprint, file_signature
 from shelfcast.sources.registry import RUNS_SCHEMA, RunRegistry
 from workload import views as V
 
@@ -52,12 +53,23 @@ def test_published_run(spark, root, published):
     assert RunRegistry(spark, root).runs().count() == 1
 
 
-def test_unchanged_source_is_skipped(spark, root, tables, published):
+def test_unchanged_source_is_skipped(spark, root, tables, published, monkeypatch):
     assert run_if_new(spark, f"{root}/sales", tables, root, CONFIG, V.ORDER) is None
     # Rewritten files with the same rows do not count as a change either.
     copy = f"{root}/sales_copy"
     spark.read.parquet(f"{root}/sales").repartition(3).write.parquet(copy)
     assert run_if_new(spark, copy, tables, root, CONFIG, V.ORDER) is None
+    # Their listing is noted, so a third call reads no rows.
+    noted = read_json(spark, f"{root}/listing.json")
+    assert noted == {"run_id": published["run_id"], "file_signature": file_signature(spark, copy)}
+    monkeypatch.setattr(jobs, "content_fingerprint", lambda df: pytest.fail("the content was read again"))
+    assert run_if_new(spark, copy, tables, root, CONFIG, V.ORDER) is None
+
+
+def test_a_broken_path_is_not_an_absent_one(spark, tmp_path):
+    assert exists(spark, str(tmp_path)) and not exists(spark, str(tmp_path / "none"))
+    with pytest.raises(Exception, match="nosuchscheme"):
+        exists(spark, "nosuchscheme://bucket/runs_table")
 
 
 def test_same_seed_same_scores(spark, root, tables, run, published, tmp_path):
@@ -91,6 +103,8 @@ def test_forecasts(spark, run, tables, tmp_path):
     assert row["onpromotion"] is True
     assert row["y_pred"] == pytest.approx(pow(2.718281828459045, row["y_pred_log"]) - 1)
     items = tables.items.filter("item_nbr <= 3")
+    as_table = forecast_grid(items, tables.stores.filter("store_nbr IN (1, 2)"), "2001-12-07", "2001-12-01")
+    assert as_table.count() == 42
     period = forecast_period(run, items, [1, 2], "2001-12-07", "2001-12-01")
     assert period.count() == 3 * 2 * 7
     export_csv(period, str(tmp_path / "out"))

@@ -22,22 +22,40 @@ class SplitSizes:
         return self.total - self.test - self.gap
 
 
-def fit_sizes(days_available, total=84, test=14, gap=3):
-    """Shrinks the requested sizes to the days there are, keeping at least one train day."""
-    total = min(total, days_available)
-    test = min(test, max(7, total // 6))
-    gap = min(gap, max(0, (total - test) // 10))
-    if total <= test:
-        test, gap = max(1, total - 1), 0
-    return SplitSizes(total, test, gap)
+# The smallest test part aimed at, the share of the window that a test part may
+# take at most beyond it, and the share of the rest that a gap may take.
+LEAST_TEST_DAYS = 7
+TEST_SHARE = 6
+GAP_SHARE = 10
+
+
+def fitted_sizes(df, total=84, test=14, gap=3, date_col="date"):
+    """One row: the requested sizes shrunk to the days there are, and the latest day.
+
+    At least one day is left to train on; nulls where no row is dated.
+    """
+
+    def whole(dividend, divisor):
+        return F.floor(dividend / F.lit(divisor)).cast("int")
+
+    row = bounds(df, date_col).withColumn("total", F.least(F.lit(int(total)), F.col("n_days")))
+    row = row.withColumn("test", F.least(F.lit(int(test)), F.greatest(F.lit(LEAST_TEST_DAYS), whole(F.col("total"), TEST_SHARE))))
+    room = whole(F.col("total") - F.col("test"), GAP_SHARE)
+    row = row.withColumn("gap", F.least(F.lit(int(gap)), F.greatest(F.lit(0), room)))
+    short, dated = F.col("total") <= F.col("test"), F.col("total").isNotNull()
+    sizes = {
+        "test": F.when(short, F.greatest(F.lit(1), F.col("total") - 1)).otherwise(F.col("test")),
+        "gap": F.when(short, F.lit(0)).otherwise(F.col("gap")),
+    }
+    return row.select("total", *[F.when(dated, c).alias(n) for n, c in sizes.items()], F.col("max_date").alias("latest"))
 
 
 def fit_sizes_to(df, total=84, test=14, gap=3, date_col="date"):
     """(sizes, latest day), from one aggregate over the dates."""
-    row = bounds(df, date_col).first()
-    if row["n_days"] is None:
+    row = fitted_sizes(df, total, test, gap, date_col).first()
+    if row["total"] is None:
         raise ValueError("no dated rows to split")
-    return fit_sizes(row["n_days"], total, test, gap), row["max_date"]
+    return SplitSizes(row["total"], row["test"], row["gap"]), row["latest"]
 
 
 def _edges(latest, sizes):

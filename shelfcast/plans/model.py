@@ -131,10 +131,8 @@ def train(sales, tables, run_dir, config=TrainConfig(), order=(), data_signature
     sizes, latest = fit_sizes_to(data, config.total_days, config.test_days, config.gap_days)
     report = _split_report(label_split(data, sizes, latest=latest), sizes, latest)
     if not report["n_train_fit"] or not report["n_test"]:
-        raise ValueError(
-            f"empty train or test part: {config.weeks_window} weeks do not hold "
-            f"{config.total_days} days"
-        )
+        counts = {part: report[f"n_{part}"] for part in ("train_fit", "gap", "test")}
+        raise ValueError(f"a part has no rows: {counts} of the days up to {report['max_date']}")
     train_rows, _, test_rows = time_split(data, sizes, latest=latest)
 
     features = FeatureEstimator(

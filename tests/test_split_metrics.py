@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.metrics import regression_metrics, worst_errors
 from shelfcast.operators.sampling import exact_sample
-from shelfcast.operators.split import SplitSizes, fit_sizes, label_split, split_info, time_split
+from shelfcast.operators.split import SplitSizes, fit_sizes_to, label_split, split_info, time_split
 from tests.conftest import listed
 
 
@@ -14,8 +14,9 @@ from tests.conftest import listed
     "days, total, expected",
     [(71, 84, (71, 11, 3, 57)), (71, 70, (70, 11, 3, 56)), (200, 84, (84, 14, 3, 67)), (5, 84, (5, 4, 0, 1))],
 )
-def test_sizes(days, total, expected):
-    s = fit_sizes(days, total)
+def test_sizes(spark, days, total, expected):
+    s, latest = fit_sizes_to(dated(spark, days), total)
+    assert latest == dt.date(2020, 1, 1) + dt.timedelta(days=days - 1)
     assert (s.total, s.test, s.gap, s.train) == expected
 
 
@@ -41,6 +42,8 @@ def test_no_rows(spark):
     assert label_split(empty).count() == 0
     with pytest.raises(ValueError):
         time_split(empty)
+    with pytest.raises(ValueError):
+        fit_sizes_to(empty)
 
 
 def metrics_of(rows, pairs):

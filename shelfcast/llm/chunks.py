@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from shelfcast.llm.textops import slices
 
-MOST_CHUNKS = 700_000
+MOST_CHUNKS = 1_200_000
 LEARNT_AT_ONCE = 10_000
 SLICE_BYTES = 8 << 20
 

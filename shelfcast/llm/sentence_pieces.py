@@ -130,7 +130,7 @@ class Transducer:
             raw = text.replace(META, " ").encode()
             beside[list(raw[:-1]), list(raw[1:])] = True
         self._beside = beside.ravel()
-        self.encoder = ChunkEncoder(self._begins, lambda chunks: [self.shortest(c) for c in chunks])
+        self.encoder = ChunkEncoder(self._begins, lambda chunks: [self.shortest(c) for c in chunks], most=700_000)
 
     def _begins(self, data, offsets):
         """Where chunks begin: between bytes that no piece holds side by side."""

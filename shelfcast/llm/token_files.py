@@ -18,8 +18,8 @@ ids, tokens by document, zeros by plane, then for each plane the block ends, the
 block, and the blocks. The last byte is the writer's line feed.
 
 Tokenising uses the tokenizers library. The byte-level pre-tokeniser always cuts where white space
-follows a character that is none, so texts are cut there and each distinct chunk is encoded once
-per task; texts with unusual white space are encoded whole.
+follows a character that is none, and where a mark follows a letter, so texts are cut there and a
+worker encodes each distinct chunk once; texts with unusual white space are encoded whole.
 
 Defined cases: a null text is empty and holds the end id only; rows with equal ids stay, ordered by
 text; null ids come first; an empty table gives no files and no rows.
@@ -36,16 +36,20 @@ import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.chunks import ChunkEncoder, text_slices
-from shelfcast.llm.tables import documents, written
+from shelfcast.llm.chunks import ChunkEncoder
+from shelfcast.llm.tables import bounded_batches, documents, written
 from shelfcast.session import shared_dir
 
 MOST_TOKENS = 4 << 20
 BLOCK_BITS = 1 << 16
 END_ID = 2
 MAGIC = b"WAVELET1"
-CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 ODD_SPACE = re.compile(r"[^\S \t\n\r]")
+OTHER, BLANK, LETTER, MARK = range(4)
+KIND = np.zeros(256, np.uint8)
+KIND[list(b" \t\n\r")] = BLANK
+KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+KIND[list(b".,;:!?")] = MARK
 
 
 def plane_count(ids):
@@ -54,12 +58,13 @@ def plane_count(ids):
 
 def build_planes(ids, planes):
     """The wavelet matrix: for each plane its bits in the order that the planes above leave."""
-    out, zeros, now = [], [], np.asarray(ids, np.uint32)
+    kind = np.uint16 if planes <= 16 else np.uint32
+    out, zeros, now = [], [], np.asarray(ids).astype(kind)
     for level in range(planes - 1, -1, -1):
-        bits = (now >> np.uint32(level)) & np.uint32(1) != 0
+        bits = now & kind(1 << level) != 0
         out.append(np.packbits(bits, bitorder="little"))
         zeros.append(int(len(now) - np.count_nonzero(bits)))
-        now = np.concatenate((now[~bits], now[bits]))
+        now = np.concatenate((np.compress(~bits, now), np.compress(bits, now)))
     return out, zeros
 
 
@@ -69,7 +74,7 @@ def _section(data):
 
 def encode_file(ids, doc_ids, nulls, lengths, part=0, number=0, end_id=END_ID):
     """The bytes of a shard's file."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     count = plane_count(ids)
     planes, zeros = build_planes(ids, count)
     body = [
@@ -191,17 +196,29 @@ class WaveletFile:
 
     def decode(self):
         """All ids: planes are undone from the lowest."""
-        now = np.zeros(self.tokens, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        now = np.zeros(self.tokens, kind)
         for level in range(self.planes - 1, -1, -1):
-            ends = self._levels[level][0]
-            packed = np.concatenate([self._bits(level, b) for b in range(len(ends))] or [np.zeros(0, np.uint8)])
-            bits = np.unpackbits(packed, count=self.tokens, bitorder="little").astype(bool)
-            zeros = int(self.zeros[level])
+            zero, one = 0, int(self.zeros[level])
+            now[one:] |= kind(1 << (self.planes - 1 - level))
             out = np.empty_like(now)
-            out[~bits] = now[:zeros]
-            out[bits] = now[zeros:] | np.uint32(1 << (self.planes - 1 - level))
+            for block in range(len(self._levels[level][0])):
+                part = out[block * BLOCK_BITS : (block + 1) * BLOCK_BITS]
+                bits = np.unpackbits(self._bits(level, block), count=len(part), bitorder="little").view(bool)
+                ones = np.flatnonzero(bits)
+                part[np.flatnonzero(~bits)] = now[zero : zero + len(part) - len(ones)]
+                part[ones] = now[one : one + len(ones)]
+                zero, one = zero + len(part) - len(ones), one + len(ones)
             now = out
-        return now
+        return now.astype(np.uint32)
+
+
+def chunk_begins(data, offsets):
+    """Where chunks begin: white space after none, and marks after letters."""
+    kind, out = KIND[data], np.zeros(len(data), bool)
+    now, earlier = kind[1:], kind[:-1]
+    out[1:] = (now == BLANK) & (earlier != BLANK) | (now == MARK) & (earlier == LETTER)
+    return out
 
 
 def chunk_encoder(definition):
@@ -216,7 +233,7 @@ def chunk_encoder(definition):
     def whole(text):
         return tokenizer.encode(text, add_special_tokens=False).ids
 
-    return ChunkEncoder(CHUNK.findall, learn, lambda c: ODD_SPACE.search(c) is not None, whole)
+    return ChunkEncoder(chunk_begins, learn, lambda c: ODD_SPACE.search(c) is not None, whole)
 
 
 _encoders: dict[int, ChunkEncoder] = {}
@@ -257,9 +274,9 @@ def _shards(definition, end_id, most_tokens):
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["content"])
 
         for batch in batches:
-            names, at = batch.column(0).to_pylist(), 0
-            for texts in text_slices(batch.column(1).to_pylist()):
-                flat, counts = _with_ends(*_encoder(definition.value).encode(texts), end_id)
+            names = batch.column(0).to_pylist()
+            for at, flat, counts in _encoder(definition.value).parts(batch.column(1)):
+                flat, counts = _with_ends(flat, counts, end_id)
                 bounds = np.concatenate(([0], np.cumsum(counts)))
                 first = 0
                 while first < len(counts):
@@ -277,7 +294,6 @@ def _shards(definition, end_id, most_tokens):
                         yield close()
                         number += 1
                         ids, lengths, docs, size = [], [], [], 0
-                at += len(texts)
         if docs:
             yield close()
 
@@ -289,6 +305,7 @@ def write_tokens(df, path, tokenizer, id_col="doc_id", text_col="text", end_id=E
 
     ``tokenizer`` is the path of a tokenizers file with a byte-level pre-tokeniser; the driver reads it.
     """
+    bounded_batches(df.sparkSession)
     with open(tokenizer, encoding="utf-8") as file:
         definition = df.sparkSession.sparkContext.broadcast(file.read())
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

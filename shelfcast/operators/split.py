@@ -38,7 +38,8 @@ def fitted_sizes(df, total=84, test=14, gap=3, date_col="date"):
     def whole(dividend, divisor):
         return F.floor(dividend / F.lit(divisor)).cast("int")
 
-    row = bounds(df, date_col).withColumn("total", F.least(F.lit(int(total)), F.col("n_days")))
+    days = F.col("n_days")
+    row = bounds(df, date_col).withColumn("total", F.when(days.isNotNull(), F.least(F.lit(int(total)), days)))
     row = row.withColumn("test", F.least(F.lit(int(test)), F.greatest(F.lit(LEAST_TEST_DAYS), whole(F.col("total"), TEST_SHARE))))
     room = whole(F.col("total") - F.col("test"), GAP_SHARE)
     row = row.withColumn("gap", F.least(F.lit(int(gap)), F.greatest(F.lit(0), room)))

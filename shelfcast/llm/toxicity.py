@@ -11,7 +11,7 @@ Training. The fit sees at most MOST_DOCS labelled documents of each class (by ha
 and WINDOWS_PER_DOC windows of each, evenly spaced; these bounds are parameters. Windows inherit
 their document's label at first; then the windows of a positive document that score low beside
 its best one are left out. Classes are drawn evenly and the true share of positives, counted over
-all labelled rows, is put back into the bias.
+all labelled rows, is put back into the bias. N-grams of fewer than LEAST_MET windows have no weight.
 
 Defined cases: null, empty and white space texts score the share of positives; labels other than
 0 and 1 are ignored, of several labels of a document the highest counts; without examples of
@@ -20,6 +20,7 @@ both classes every text scores the share of positives (0 where nothing is labell
 
 from __future__ import annotations
 
+import ctypes
 import math
 from typing import NamedTuple
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType
 
-from shelfcast.llm.tables import documents, without
+from shelfcast.llm.tables import bounded_batches, documents, without
 from shelfcast.llm.textops import LOWER, SPACE, crc_mod, hash_spans, mix64, slices, stream64, word_bounds
 
 BUCKET_BITS = 17
@@ -39,6 +40,11 @@ FEWEST = 25  # words that a window counts as at least: few words are weak eviden
 MOST_DOCS = 3_000
 WINDOWS_PER_DOC = 8
 WINDOW_BYTES = 4_000
+CALIBRATION = 5  # every fifth of them is kept for the calibration
+LEAST_CALIBRATION = 8  # of each class; with fewer the scores stay as trained
+LEAST_MET = 4  # windows with an n-gram's bucket; others keep no weight
+LEAST_STEPS = 250  # of gradient, in each turn: few windows are seen more often, up to MOST_EPOCHS times
+MOST_EPOCHS = 10
 HELD_OUT = 2
 THRESHOLD = 0.3
 _FACTORS = (stream64(max(SIZES), 7) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -119,11 +125,9 @@ def first_in_window(hashes, starts, ends):
     return out
 
 
-def score_texts(column, model):
-    """The scores of an Arrow column of texts."""
-    out = np.full(len(column), model.share)
-    if model.weights is None:
-        return out
+def best_logits(column, model):
+    """The logit of each text's highest window; none (nan) without words."""
+    out = np.full(len(column), np.nan)
     for at, to, data, offsets in slices(column):
         scores, hashes, first = word_scores(data, offsets, model.weights)
         starts, ends, begin = window_bounds(first)
@@ -132,11 +136,18 @@ def score_texts(column, model):
             kinds = np.add.reduceat(new, starts, dtype=np.int64)
             logit = np.add.reduceat(scores * new, starts) / np.maximum(kinds, FEWEST) + model.bias
             rows = np.flatnonzero(np.diff(begin))
-            best = np.maximum.reduceat(logit, begin[:-1][rows])
-            out[at + rows] = 1 / (1 + np.exp(-np.clip(best, -60, 60)))
+            out[at + rows] = np.maximum.reduceat(logit, begin[:-1][rows])
     return out
 
 
+def score_texts(column, model):
+    """The scores of an Arrow column of texts."""
+    if model.weights is None:
+        return np.full(len(column), model.share)
+    logits = best_logits(column, model)
+    return np.where(np.isnan(logits), model.share, 1 / (1 + np.exp(-np.clip(logits, -60, 60))))
+
+
 def sample_windows(texts):
     """For each text the bytes of up to WINDOWS_PER_DOC evenly spaced windows."""
     out = [[] for _ in range(len(texts))]
@@ -151,8 +162,17 @@ def sample_windows(texts):
     return out
 
 
+def _narrow(values):
+    """The same numbers in the narrowest unsigned type."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
 class _Bags:
-    """Windows as a matrix in three layers: n-grams of the distinct words of windows."""
+    """Windows as a matrix in three layers: n-grams of the distinct words of windows.
+
+    Kept small, as all batches stay in memory: n-grams are numbers into the batch's distinct
+    buckets, by word for the forward pass; and words, by bucket, for the backward pass.
+    """
 
     def __init__(self, windows):
         windows = [b" ".join(dict.fromkeys(w.lower().split())) for w in windows]
@@ -164,13 +184,22 @@ class _Bags:
         found = [(b[v], np.flatnonzero(v)) for b, v in grams(stream)]
         buckets, places = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(places, kind="stable")
-        self.buckets, word = buckets[order].astype(np.int32), word_at[places[order]]
-        self.words = np.searchsorted(word, np.arange(len(starts) + 1))
-        self.windows = first
+        buckets, word = buckets[order], word_at[places[order]]
+        self.words = np.searchsorted(word, np.arange(len(starts) + 1)).astype(np.int32)
+        self.windows = first.astype(np.int32)
+        unique, slots = np.unique(buckets, return_inverse=True)
+        order = np.argsort(slots, kind="stable")
+        self.buckets, self.slots, self.word_by_bucket = unique.astype(np.int32), _narrow(slots), _narrow(word[order])
+        self.begin = np.searchsorted(slots[order], np.arange(len(unique))).astype(np.int32)
+        # in how many windows each distinct bucket occurs
+        window = np.searchsorted(first, word[order], "right")
+        new = np.ones(len(order), bool)
+        new[1:] = (window[1:] != window[:-1]) | (slots[order][1:] != slots[order][:-1])
+        self.met = np.add.reduceat(new, self.begin, dtype=np.int64)
 
 
 def _means(values, bounds):
-    return np.add.reduceat(values, bounds[:-1], axis=0) / np.diff(bounds)[:, None]
+    return np.add.reduceat(values, bounds[:-1], axis=0) / np.diff(bounds)[:, None].astype(np.float32)
 
 
 def fit_windows(windows, labels, documents_of, share, rounds=(2, 3, 4)):
@@ -191,9 +220,17 @@ def fit_windows(windows, labels, documents_of, share, rounds=(2, 3, 4)):
             kept = np.flatnonzero((labels == 0) | (scores >= least))
             use = kept if labels[kept].any() else use
         model = _train([windows[i] for i in use], labels[use], share, epochs)
+        _release_memory()
     return model
 
 
+def _release_memory():
+    """Gives what training has freed back to the system: the driver goes on with other work."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def _train(windows, labels, share, epochs, batch=256, rate=0.3, seed=1):
     """Embeddings and softmax, jointly, by Adagrad over shuffled batches."""
     rng = np.random.default_rng(seed)
@@ -202,27 +239,31 @@ def _train(windows, labels, share, epochs, batch=256, rate=0.3, seed=1):
     seen = [np.full(1 << BUCKET_BITS, 1e-8, np.float32), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)]
     positive = labels == 1
     weight = np.where(positive, 0.5 / positive.sum(), 0.5 / (~positive).sum()) * len(labels)
-    shuffled, parts = rng.permutation(len(windows)), []
+    shuffled, parts, met = rng.permutation(len(windows)), [], np.zeros(1 << BUCKET_BITS, np.int64)
     for at in range(0, len(windows), batch):
         rows = shuffled[at : at + batch]
         bag = _Bags([windows[i] for i in rows])
-        order = np.argsort(bag.buckets, kind="stable").astype(np.int32)
-        parts.append((bag, labels[rows], weight[rows], order, *np.unique(bag.buckets[order], return_index=True)))
-    for _ in range(epochs):
-        for bag, y, w, order, unique, where in parts:
-            hidden = _means(_means(table[bag.buckets], bag.words), bag.windows)
+        parts.append((bag, labels[rows], weight[rows]))
+        met[bag.buckets] += bag.met
+    rare = met < LEAST_MET  # they say more about single documents than about words
+    table[rare] = 0
+    for _ in range(max(epochs, min(MOST_EPOCHS, -(-LEAST_STEPS // len(parts))))):
+        for bag, y, w in parts:
+            vectors = table[bag.buckets]
+            hidden = _means(_means(vectors[bag.slots], bag.words), bag.windows)
             logits = hidden @ out + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(y)), y] -= 1
             p *= (w / len(y))[:, None]
             d_out, d_bias, d_hidden = hidden.T @ p, p.sum(axis=0), p @ out.T
-            in_window, in_word = np.diff(bag.windows), np.diff(bag.words)
-            d_word = np.repeat(d_hidden / in_window[:, None], in_window, axis=0)
-            d_gram = np.repeat(d_word / in_word[:, None], in_word, axis=0)
-            step = np.add.reduceat(d_gram[order], where, axis=0)
-            seen[0][unique] += (step * step).mean(axis=1)
-            table[unique] -= (rate * step / np.sqrt(seen[0][unique])[:, None]).astype(np.float32)
+            in_window, in_word = (np.diff(b).astype(np.float32) for b in (bag.windows, bag.words))
+            d_word = np.repeat(d_hidden / in_window[:, None], np.diff(bag.windows), axis=0)
+            step = np.add.reduceat((d_word / in_word[:, None])[bag.word_by_bucket], bag.begin, axis=0)
+            step[rare[bag.buckets]] = 0
+            past = seen[0][bag.buckets] + (step * step).mean(axis=1)
+            seen[0][bag.buckets] = past
+            table[bag.buckets] = vectors - (rate * step / np.sqrt(past)[:, None]).astype(np.float32)
             for value, step, past in ((out, d_out, seen[1]), (bias, d_bias, seen[2])):
                 past += step * step
                 value -= (rate * step / np.sqrt(past)).astype(np.float32)
@@ -243,10 +284,11 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", most_
     for y in (0, 1):
         some = known.filter(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most_docs)
         drawn = some if drawn is None else drawn.union(some)
+    bounded_batches(docs.sparkSession)
     # at most 2 * most_docs ids
-    texts = docs.select(id_col, text_col).join(F.broadcast(drawn), id_col)
+    texts = docs.select(id_col, text_col).join(F.broadcast(drawn), id_col).dropDuplicates([id_col])
     cut = F.arrow_udf(lambda t: pa.array(sample_windows(t), pa.list_(pa.binary())), ArrayType(BinaryType()))
-    rows = texts.select(id_col, "y", cut(F.col(text_col)).alias("w")).dropDuplicates([id_col]).orderBy(F.xxhash64(id_col), id_col).collect()
+    rows = texts.select(id_col, "y", cut(F.col(text_col)).alias("w")).orderBy(F.xxhash64(id_col), id_col).collect()
     windows, y, of = [], [], []
     for k, r in enumerate(rows):
         windows += [bytes(w) for w in r["w"]]
@@ -259,6 +301,7 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", most_
 
 def score(df, model, text_col="text", name="score"):
     """The table with a column ``name``: how likely each whole text is to be labelled 1."""
+    bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     scores = F.arrow_udf(lambda t: pa.array(score_texts(t, shared.value), pa.float64()), "double")
     return without(df, name).withColumn(name, scores(F.col(text_col)))

@@ -12,7 +12,8 @@ shared folder and reads it back, so a lost executor costs a re-read.
 
 Defined cases: what the operators define; documents without an id are never near-duplicates, and of
 rows with equal ids the near-duplicate stage keeps one, with the smallest text; documents without
-words do not pass the quality rules. Empty tables stay empty.
+words do not pass the quality rules; further columns are passed on, except by the last stage. Empty
+tables stay empty.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm import mixing, near_dups, robust_rules, sentence_pieces, toxicity
-from shelfcast.llm.tables import documents, own_name, written
+from shelfcast.llm.tables import documents, own_name, set_aside, written
 
 
 def tokenizer_path():
@@ -38,8 +39,9 @@ def reject_toxic(spark, docs, sf_dir):
 
 
 def reject_outliers(spark, docs, sf_dir):
+    docs, back = set_aside(docs, [*robust_rules.STATISTICS, "base_failed", "distance", "kept"])
     rows = written(robust_rules.with_statistics(docs), "statistics")
-    return robust_rules.judge(rows, robust_rules.fit(rows)).filter("kept").select(*docs.columns)
+    return back(robust_rules.judge(rows, robust_rules.fit(rows)).filter("kept"))
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
@@ -52,8 +54,9 @@ def drop_near_duplicates(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
+    docs, back = set_aside(docs, mixing.ADDED)
     mixed = mixing.materialise(mixing.mix(docs))
-    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return back(mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)))
 
 
 def to_sentence_pieces(spark, docs, sf_dir):

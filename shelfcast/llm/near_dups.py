@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
-from shelfcast.llm.tables import documents, written
-from shelfcast.llm.textops import LOWER, hash_spans, mix64, slices, stream64, word_bounds
+from shelfcast.llm.tables import bounded_batches, documents, written
+from shelfcast.llm.textops import LOWER, hash_spans, mix64, release_memory, slices, stream64, word_bounds
 
 WIDTH = 5
 PERCENT = 80
@@ -110,6 +110,7 @@ def _signatures(column, width):
         samples = minhashes(shingles) if len(shingles) else None
         keys.append(band_keys(samples) if len(shingles) else none[0])
         sketches.append(odd_sketch(samples) if len(shingles) else none[1])
+    release_memory()
     parts = [pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), _lists(keys, pa.int64()), _lists(sketches, pa.int64())]
     return pa.StructArray.from_arrays(parts, ["n", "print", "keys", "sketch"])
 
@@ -164,44 +165,45 @@ def _block_pairs(left, right, same, key, percent):
 
 def _compare_blocks(percent):
     """For rows sorted by (key, x, y): the pairs of each block pair, as (a, b)."""
-    names = ["a", "b"]
 
-    def of(table, kind):
-        ids = table["id"].combine_chunks()
-        key = table["key"][0].as_py()
-        x, y, block = (table[c][0].as_py() if c != "block" else table[c].to_numpy() for c in ("x", "y", "block"))
-        part = {
+    def pairs_of(table):
+        key, x, y = (table[c][0].as_py() for c in ("key", "x", "y"))
+        block = table["block"].to_numpy()
+        first, second = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        columns = {
             "n": table["n"].to_numpy(),
             "root": table["place"].to_numpy(),
             "keys": table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS),
             "sketch": table["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, SKETCH_BITS // 64),
         }
-        first, second = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        i, j = _block_pairs({k: v[first] for k, v in part.items()}, {k: v[second] for k, v in part.items()}, x == y, key, percent)
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(first[i])), ids.take(pa.array(second[j]))], names)
+        left, right = ({name: c[rows] for name, c in columns.items()} for rows in (first, second))
+        i, j = _block_pairs(left, right, x == y, key, percent)
+        ids = table["id"].combine_chunks()
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(first[i])), ids.take(pa.array(second[j]))], ["a", "b"])
 
     def run(batches):
-        waiting, kind = None, None
+        waiting = None  # rows of the last block pair, which may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            kind = table.schema.field("id").type
             if waiting is not None:
                 table = pa.concat_tables([waiting, table])
             marks = np.stack([table[c].to_numpy() for c in ("key", "x", "y")])
-            starts = np.concatenate(([0], np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1, [table.num_rows]))
-            for at, to in zip(starts[:-2], starts[1:-1], strict=True):
-                yield of(table.slice(at, to - at), kind)
-            waiting = table.slice(starts[-2])
+            changes = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+            starts = np.concatenate(([0], changes))
+            for at, to in zip(starts[:-1], starts[1:], strict=True):
+                yield pairs_of(table.slice(at, to - at))
+            waiting = table.slice(starts[-1])
         if waiting is not None:
-            yield of(waiting, kind)
+            yield pairs_of(waiting)
 
     return run
 
 
 def signatures(df, id_col="doc_id", text_col="text", width=WIDTH):
     """(id, n, print, keys, sketch) of every row."""
+    bounded_batches(df.sparkSession)
     kind = "struct<n: bigint, print: binary, keys: array<bigint>, sketch: array<bigint>>"
     sign = F.arrow_udf(lambda t: _signatures(t, width), kind)
     rows = df.select(F.col(id_col).alias("id"), sign(F.col(text_col)).alias("s"))
@@ -250,7 +252,7 @@ def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
     return placed.select(
         "id",
         F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
         F.when(alone, F.col("id")).when(F.col("id").isNotNull(), F.coalesce("root", "class_id")).alias("component_id"),
     )
 

@@ -23,7 +23,8 @@ class ChunkEncoder:
     do not depend on it.
     """
 
-    def __init__(self, begins, learn, odd=None, whole=None, most=MOST_CHUNKS):
+    def __init__(self, begins, learn, odd=None, whole=None, most=MOST_CHUNKS, slice_bytes=SLICE_BYTES):
+        self._slice_bytes = slice_bytes
         self._begins, self._learn_ids, self._odd, self._whole, self._most = begins, learn, odd, whole, most
         self._clear()
 
@@ -84,7 +85,7 @@ class ChunkEncoder:
 
     def parts(self, column):
         """(first row, ids, number of ids of each row) of consecutive rows of an Arrow column; null is empty."""
-        for at, _, data, offsets in slices(column, SLICE_BYTES):
+        for at, _, data, offsets in slices(column, self._slice_bytes):
             yield at, *self._slice(data, offsets)
 
     def encode(self, texts):

@@ -28,8 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfcast.llm.tables import documents, own_name, without, written
-from shelfcast.llm.textops import SPACE, hash_spans, mix64, per_row, repeat_rows, slices, word_bounds
+from shelfcast.llm.tables import bounded_batches, documents, own_name, without, written
+from shelfcast.llm.textops import SPACE, hash_spans, mix64, per_row, release_memory, repeat_rows, slices, word_bounds
 
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent
@@ -98,11 +98,13 @@ def text_statistics(column):
 
 def _struct(column):
     counts = text_statistics(column)
+    release_memory()
     return pa.StructArray.from_arrays([pa.array(counts[n]) for n in STATISTICS], list(STATISTICS))
 
 
 def with_statistics(df, text_col="text"):
     """The table with the five counts and ``base_failed``."""
+    bounded_batches(df.sparkSession)
     df = without(df, *STATISTICS, "base_failed")
     name = own_name(df, "statistics")
     kind = ", ".join(f"{n}: bigint" for n in STATISTICS)
@@ -154,22 +156,26 @@ def _sums(table, *keys):
     return table.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in table.columns if c not in ("g_lang", "g_source")])
 
 
-def _blend(table, above, keys):
-    """Adds the moments of the level above, scaled to PRIOR documents."""
+def _blend(table, above, keys=()):
+    """Adds the moments of the level above, scaled to PRIOR documents; without keys ``above`` is one row."""
     names = [c for c in table.columns if c not in ("g_lang", "g_source")]
-    above = above.select(*[F.col(k).alias(f"{k}_a") for k in keys], *[F.col(c).alias(f"{c}_a") for c in names])
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"{k}_a"))
-    both = table.join(above, on) if keys else table.crossJoin(F.broadcast(above))  # one row
-    rest = [c for c in ("g_lang", "g_source") if c in table.columns]
-    return both.select(*rest, *[(F.col(c) + F.lit(float(PRIOR)) * F.col(f"{c}_a") / F.col("n_a")).alias(c) for c in names])
+    groups = [c for c in table.columns if c not in names]
+    if keys:
+        above = above.select(*[F.col(c).alias(f"{c}_above") for c in above.columns])
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"{k}_above"))
+        table, upper = table.join(above, on), {c: F.col(f"{c}_above") for c in names}
+    else:
+        upper = {c: F.lit(above[c]).cast("double") for c in names}
+    return table.select(*groups, *[(F.col(c) + F.lit(float(PRIOR)) * upper[c] / upper["n"]).alias(c) for c in names])
 
 
 def _estimate(moments, factor):
     """Center and precision of each group from the moments of its kept documents."""
+    moments = written(moments, "mcd-moments")
     languages = _sums(moments, "g_lang")
-    table = _blend(moments, _blend(languages, _sums(languages), []), ["g_lang"])
+    table = _blend(moments, _blend(languages, _sums(languages).first()), ["g_lang"])
     center = [F.col(f"s{i}") / F.col("n") for i in range(DIMENSIONS)]
     cell = []
     for i in range(DIMENSIONS):

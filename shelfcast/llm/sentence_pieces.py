@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.chunks import ChunkEncoder
 from shelfcast.llm.tables import bounded_batches, documents, without
+from shelfcast.llm.textops import release_memory
 
 META = "▁"
 #: Kinds of pieces and of models in the file format.
@@ -43,7 +44,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
 UNKNOWN_WEIGHT = 100.0  # of a character without a piece, in a model of unigrams
-MOST_PAIRS = 1_000_000  # that a worker keeps in mind
+MOST_PAIRS = 250_000  # that a worker keeps in mind
+MOST_CHUNKS = 200_000
+SLICE_BYTES = 1 << 19
+SLICE_IDS = 1 << 16  # that are decoded at once
 codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 
@@ -130,7 +134,8 @@ class Transducer:
             raw = text.replace(META, " ").encode()
             beside[list(raw[:-1]), list(raw[1:])] = True
         self._beside = beside.ravel()
-        self.encoder = ChunkEncoder(self._begins, lambda chunks: [self.shortest(c) for c in chunks], most=700_000)
+        learn = lambda chunks: [self.shortest(c) for c in chunks]
+        self.encoder = ChunkEncoder(self._begins, learn, most=MOST_CHUNKS, slice_bytes=SLICE_BYTES)
 
     def _begins(self, data, offsets):
         """Where chunks begin: between bytes that no piece holds side by side."""
@@ -308,20 +313,26 @@ class Transducer:
 
     def decode(self, ids, counts):
         """The texts of ids, ``counts`` of them each."""
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        texts, at = [], 0
+        while at < len(counts):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_IDS, "right")) - 1)
+            texts += self._decode(np.asarray(ids[ends[at] : ends[to]], np.int64), ends[at : to + 1] - ends[at])
+            at = to
+        return texts
+
+    def _decode(self, ids, places):
         data, bounds = self._inverse()
-        ids = np.asarray(ids, np.int64)
         lengths = bounds[ids + 1] - bounds[ids]
         ends = np.concatenate(([0], np.cumsum(lengths)))
         flat = data[np.arange(ends[-1]) + np.repeat(bounds[ids] - ends[:-1], lengths)].tobytes()
-        cuts = ends[np.concatenate(([0], np.cumsum(counts)))]
+        cuts = ends[places]
         texts = [flat[a:b].decode("utf-8", "each_byte") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         if self._prefix:
             unknown = np.array([kind == UNKNOWN for _, _, kind in self.pieces])
-            places = np.concatenate(([0], np.cumsum(counts)))
             for k, text in enumerate(texts):
                 if text.startswith(" "):
-                    own = ids[places[k] : places[k + 1]]
-                    written = lengths[places[k] : places[k + 1]] > 0
+                    own, written = ids[places[k] : places[k + 1]], lengths[places[k] : places[k + 1]] > 0
                     # the prefix is the space of a piece, not the one that an unknown id writes
                     texts[k] = text if unknown[own[written.argmax()]] else text[1:]
         return texts
@@ -355,6 +366,7 @@ def encode(df, model, text_col="text", name="ids"):
         for _, ids, sizes in transducer(shared).parts(texts):
             flat.append(ids.astype(np.int32))
             counts.append(sizes)
+        release_memory()
         ends = np.concatenate(([0], np.cumsum(np.concatenate([*counts, np.zeros(0, np.int64)]))))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*flat, np.zeros(0, np.int32)])))
 
@@ -368,7 +380,9 @@ def decode(df, model, ids_col="ids", name="decoded"):
     def run(ids):
         ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
         counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        return pa.array(transducer(shared).decode(ids.flatten().to_numpy(zero_copy_only=False), counts), pa.string())
+        out = pa.array(transducer(shared).decode(ids.flatten().to_numpy(zero_copy_only=False), counts), pa.string())
+        release_memory()
+        return out
 
     return without(df, name).withColumn(name, F.arrow_udf(run, "string")(F.col(ids_col)))
 

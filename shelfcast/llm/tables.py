@@ -18,7 +18,7 @@ def written(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark):

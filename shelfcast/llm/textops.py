@@ -7,6 +7,8 @@ is cutting at characters.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -15,7 +17,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WORD_RE = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def mix64(x):
@@ -128,6 +130,13 @@ def repeat_rows(first):
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
+def release_memory():
+    """Gives freed memory back to the system: a worker, or the driver, goes on with other work."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def crc_mod(column, modulus):
     """crc32 of the column as text, modulo ``modulus``; null counts as empty text."""
     from pyspark.sql import functions as F

@@ -258,6 +258,19 @@ def _with_ends(ids, counts, end_id):
     return out, counts + 1
 
 
+def _gathered(batches, least=8 << 20):
+    """The batches, joined to tables of at least so many bytes: more of their chunks are the same."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield pa.Table.from_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
 def _shards(definition, end_id, most_tokens):
     """Files of the sorted documents of a partition."""
 
@@ -273,7 +286,7 @@ def _shards(definition, end_id, most_tokens):
             data = encode_file(np.concatenate(ids), flat, doc_ids.is_null().to_numpy(False), lengths, part, number, end_id)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["content"])
 
-        for batch in batches:
+        for batch in _gathered(batches):
             names = batch.column(0).to_pylist()
             for at, flat, counts in _encoder(definition.value).parts(batch.column(1)):
                 flat, counts = _with_ends(flat, counts, end_id)

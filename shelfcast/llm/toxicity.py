@@ -20,7 +20,6 @@ both classes every text scores the share of positives (0 where nothing is labell
 
 from __future__ import annotations
 
-import ctypes
 import math
 from typing import NamedTuple
 
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType
 
 from shelfcast.llm.tables import bounded_batches, documents, without
-from shelfcast.llm.textops import LOWER, SPACE, crc_mod, hash_spans, mix64, slices, stream64, word_bounds
+from shelfcast.llm.textops import LOWER, SPACE, crc_mod, hash_spans, mix64, release_memory, slices, stream64, word_bounds
 
 BUCKET_BITS = 17
 SIZES = (3, 4, 5, 6)
@@ -220,17 +219,10 @@ def fit_windows(windows, labels, documents_of, share, rounds=(2, 3, 4)):
             kept = np.flatnonzero((labels == 0) | (scores >= least))
             use = kept if labels[kept].any() else use
         model = _train([windows[i] for i in use], labels[use], share, epochs)
-        _release_memory()
+        release_memory()
     return model
 
 
-def _release_memory():
-    """Gives what training has freed back to the system: the driver goes on with other work."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-    if trim is not None:
-        trim(0)
-
-
 def _train(windows, labels, share, epochs, batch=256, rate=0.3, seed=1):
     """Embeddings and softmax, jointly, by Adagrad over shuffled batches."""
     rng = np.random.default_rng(seed)
@@ -303,7 +295,13 @@ def score(df, model, text_col="text", name="score"):
     """The table with a column ``name``: how likely each whole text is to be labelled 1."""
     bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    scores = F.arrow_udf(lambda t: pa.array(score_texts(t, shared.value), pa.float64()), "double")
+
+    def run(texts):
+        out = pa.array(score_texts(texts, shared.value), pa.float64())
+        release_memory()
+        return out
+
+    scores = F.arrow_udf(run, "double")
     return without(df, name).withColumn(name, scores(F.col(text_col)))
 
 

@@ -15,9 +15,15 @@ group's moments are joined by those of its language with the weight of PRIOR doc
 language's by those of all; every variance gets the square of a fixed least spread, as most clean
 texts have no symbols at all.
 
+A group of fewer than SMALLEST documents is too small for an estimate of its own: medians and
+limits are then those of its language, or of all if the language is as small, and its own moments
+are left out of its estimate, so that a document alone in its source is not measured by itself. A
+group of which no document is kept has the estimate of the level above.
+
 Defined cases: a null or empty text has no words and fails the base rules; null languages and
 sources are groups of their own; copies count as often as they occur; an empty table gives an
-empty result; columns of the input with names of added ones are replaced.
+empty result; columns of the input with names of added ones are replaced; judging a group without
+an estimate is an error.
 """
 
 from __future__ import annotations
@@ -36,9 +42,11 @@ MOST_REPEATED = 50  # per cent
 HALF = 0.75
 STEPS = 3
 PRIOR = 30
+SMALLEST = 20  # five documents for each statistic
 TAIL = 1e-6
 LEAST_SPREAD = (0.08, 0.5, 0.5, 0.8)
 DIMENSIONS = len(LEAST_SPREAD)
+KEYS = ["g_lang", "g_source"]
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -152,10 +160,6 @@ def _moments(rows, *keys):
     return rows.groupBy(*keys).agg(F.count("*").cast("double").alias("n"), *sums, *products)
 
 
-def _sums(table, *keys):
-    return table.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in table.columns if c not in ("g_lang", "g_source")])
-
-
 def _blend(table, above, keys=()):
     """Adds the moments of the level above, scaled to PRIOR documents; without keys ``above`` is one row."""
     names = [c for c in table.columns if c not in ("g_lang", "g_source")]
@@ -171,11 +175,40 @@ def _blend(table, above, keys=()):
     return table.select(*groups, *[(F.col(c) + F.lit(float(PRIOR)) * upper[c] / upper["n"]).alias(c) for c in names])
 
 
-def _estimate(moments, factor):
-    """Center and precision of each group from the moments of its kept documents."""
-    moments = written(moments, "mcd-moments")
-    languages = _sums(moments, "g_lang")
-    table = _blend(moments, _blend(languages, _sums(languages).first()), ["g_lang"])
+def _levels(good):
+    """(g_lang, g_source, level): 0 for groups with an estimate of their own, 1 for their language's, 2 for that of all."""
+    sizes = good.groupBy(*KEYS).agg(F.count("*").alias("n"))
+    languages = sizes.groupBy("g_lang").agg(F.sum("n").alias("m")).withColumnRenamed("g_lang", "l_lang")
+    level = F.when(F.col("n") >= SMALLEST, 0).when(F.col("m") >= SMALLEST, 1).otherwise(2)
+    return sizes.join(languages, F.col("g_lang").eqNullSafe(F.col("l_lang"))).select(*KEYS, level.alias("level"))
+
+
+def _by_level(rows, groups, aggregate):
+    """(g_lang, g_source, value) for each group: the aggregate over the group, its language or all, as its level says."""
+    own = rows.groupBy(*KEYS).agg(aggregate.alias("own")).withColumnsRenamed({"g_lang": "o_lang", "g_source": "o_source"})
+    language = rows.groupBy("g_lang").agg(aggregate.alias("of_lang")).withColumnRenamed("g_lang", "l_lang")
+    table = groups.join(own, F.col("g_lang").eqNullSafe(F.col("o_lang")) & F.col("g_source").eqNullSafe(F.col("o_source")))
+    table = table.join(language, F.col("g_lang").eqNullSafe(F.col("l_lang"))).crossJoin(F.broadcast(rows.agg(aggregate.alias("of_all"))))
+    value = F.when(F.col("level") == 0, F.col("own")).when(F.col("level") == 1, F.col("of_lang")).otherwise(F.col("of_all"))
+    return table.select(*KEYS, value.alias("value"))
+
+
+def _estimate(moments, groups, factor):
+    """Center and precision of every group from the moments of its kept documents; None if none is kept at all."""
+    names = [c for c in moments.columns if c not in KEYS]
+    named = moments.withColumnsRenamed({"g_lang": "m_lang", "g_source": "m_source"})
+    on = F.col("g_lang").eqNullSafe(F.col("m_lang")) & F.col("g_source").eqNullSafe(F.col("m_source"))
+    kept = groups.join(named, on, "left").select(*KEYS, "level", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in names])
+    kept = written(kept, "mcd-moments")
+    languages = kept.groupBy("g_lang").agg(F.max("level").alias("level"), *[F.sum(c).alias(c) for c in names])
+    whole = languages.agg(*[F.sum(c).alias(c) for c in names]).first()
+    if not whole["n"]:
+        return None
+
+    def own(table, least):
+        return table.select(*[k for k in KEYS if k in table.columns], *[F.when(F.col("level") < least, F.col(c)).otherwise(0.0).alias(c) for c in names])
+
+    table = _blend(own(kept, 1), _blend(own(languages, 2), whole), ["g_lang"])
     center = [F.col(f"s{i}") / F.col("n") for i in range(DIMENSIONS)]
     cell = []
     for i in range(DIMENSIONS):
@@ -196,36 +229,32 @@ def _at(rows, estimates):
 
 def fit(rows, lang_col="lang", source_col="source"):
     """Estimates for each language and source, from a table with the statistics and ``base_failed``."""
-    keys = ["g_lang", "g_source"]
     xs = [f"x{i}" for i in range(DIMENSIONS)]
     good = rows.filter(~F.col("base_failed"))
     good = good.select(F.col(lang_col).alias("g_lang"), F.col(source_col).alias("g_source"), *[v.alias(x) for x, v in zip(xs, vector(), strict=True)])
     good = written(good, "mcd-vectors")
-    middle = good.groupBy(*keys).agg(F.array(*[F.percentile_approx(x, 0.5) for x in xs]).alias("center"))
+    groups = written(_levels(good), "mcd-groups")
+    middle = _by_level(good, groups, F.array(*[F.percentile_approx(x, 0.5) for x in xs])).withColumnRenamed("value", "center")
+    middle = written(middle, "mcd-middle")
     off = [F.abs(F.col(x) - F.col("center")[i]) for i, x in enumerate(xs)]
-    spread = _at(good, middle).groupBy(*keys).agg(*[F.percentile_approx(o, 0.5).alias(f"d{i}") for i, o in enumerate(off)])
-    start = middle.withColumnsRenamed({"g_lang": "m_lang", "g_source": "m_source"}).join(
-        spread, F.col("m_lang").eqNullSafe(F.col("g_lang")) & F.col("m_source").eqNullSafe(F.col("g_source"))
-    )
+    spread = _by_level(_at(good, middle), groups, F.array(*[F.percentile_approx(o, 0.5) for o in off]))
     cells = [
-        1 / ((F.col(f"d{i}") * 1.4826) ** 2 + LEAST_SPREAD[i] ** 2) if i == j else F.lit(0.0)
+        1 / ((F.col("value")[i] * 1.4826) ** 2 + LEAST_SPREAD[i] ** 2) if i == j else F.lit(0.0)
         for i in range(DIMENSIONS)
         for j in range(DIMENSIONS)
     ]
-    estimates = written(start.select(*keys, "center", F.array(*cells).alias("precision")), "mcd")
+    estimates = written(_at(spread, middle).select(*KEYS, "center", F.array(*cells).alias("precision")), "mcd")
     nearest = chi_square_quantile(1 - HALF)
     for step in range(STEPS + 1):
         measured = _at(good, estimates).withColumn("distance", _distance()).drop("center", "precision")
         if step < STEPS:
-            limit = measured.groupBy(*keys).agg(F.percentile_approx("distance", HALF).alias("limit"))
-            limit = limit.withColumnsRenamed({"g_lang": "e_lang", "g_source": "e_source"})
-            on = F.col("g_lang").eqNullSafe(F.col("e_lang")) & F.col("g_source").eqNullSafe(F.col("e_source"))
-            near = measured.join(limit, on).filter("distance <= limit")
+            limit = _by_level(measured, groups, F.percentile_approx("distance", HALF)).withColumnRenamed("value", "limit")
+            near = _at(measured, limit).filter("distance <= limit")
             factor = HALF / (1 - _upper_tail(nearest, DIMENSIONS + 2))
         else:
             near = measured.filter(F.col("distance") <= chi_square_quantile(0.025))
             factor = 0.975 / (1 - _upper_tail(chi_square_quantile(0.025), DIMENSIONS + 2))
-        estimates = _estimate(_moments(near, *keys), factor)
+        estimates = _estimate(_moments(near, *KEYS), groups, factor) or estimates
     return estimates
 
 
@@ -239,7 +268,8 @@ def judge(rows, estimates, lang_col="lang", source_col="source", tail=TAIL):
     pairs = [(i, j) for i in range(DIMENSIONS) for j in range(DIMENSIONS)]
     distance = sum(((x[i] - center[i]) * (x[j] - center[j]) * precision[i * DIMENSIONS + j] for i, j in pairs), F.lit(0.0))
     measured = rows.join(named, on, "left").select(*rows.columns, F.when(~F.col("base_failed"), distance).alias("distance"))
-    return measured.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi_square_quantile(tail)))
+    near = F.coalesce(F.col("distance") <= chi_square_quantile(tail), F.raise_error(F.lit("no estimate for a document's language and source")).cast("boolean"))
+    return measured.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(near))
 
 
 def op9_robust_rules(spark, sf_dir):

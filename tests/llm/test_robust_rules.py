@@ -98,3 +98,24 @@ def test_groups_with_nulls_and_single_documents(rows):
     df = rows([(i, text + f" {i}", lang, source, 0) for i, (lang, source) in enumerate([(None, None), (None, "a"), ("en", None), ("en", "a")] * 3)], DOC)
     stats = R.with_statistics(df)
     assert R.judge(stats, R.fit(stats)).filter("kept").count() == 12
+
+
+def test_junk_alone_in_its_source_is_rejected(spark):
+    """A group too small for an estimate of its own is measured by its language's, or that of all."""
+    rows = scattered(spark, 600).filter("not bad")
+    extra = [(10_000 + i, lang, f"alone{i}", 200, 990, symbols, 0, 0, False, symbols > 0) for i, (lang, symbols) in enumerate(
+        [("en", 600), ("en", 0), ("de", 600), ("fr", 0), (None, 600), ("en", 600), ("en", 0)]
+    )]
+    rows = rows.union(spark.createDataFrame(extra, rows.schema))
+    estimates = R.fit(rows)
+    assert estimates.count() == rows.select("lang", "source").distinct().count()
+    judged = R.judge(rows, estimates)
+    assert judged.filter("distance is null").count() == 0
+    assert judged.filter(F.col("kept") == F.col("bad")).count() == 0
+
+
+def test_a_group_without_an_estimate_is_an_error(spark):
+    rows = scattered(spark, 300)
+    estimates = R.fit(rows.filter("source <> 's0'"))
+    with pytest.raises(Exception, match="no estimate"):
+        R.judge(rows, estimates).collect()

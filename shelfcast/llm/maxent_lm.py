@@ -2,17 +2,25 @@
 
 P(word | before) = P(class | before) * P(word | class). The first factor is a softmax over CLASSES
 classes with n-gram and skip features of the three words before (the last, the second last, the
-third last, and the last two together), hashed into ROWS weight rows. The second is closed form:
-(c + 1) over the class's sum of (c + 1), with one share for words never seen. The HEAD most
+third last, and the last two together), hashed into ROWS weight rows. The second starts from a
+closed form: (c + 1) over the class's sum of (c + 1), with one share for words never seen. The HEAD most
 frequent words and the end are classes of their own; other words go by the hash of their last
 three bytes into BUCKETS buckets, which are grouped into the remaining classes by the frequent
 words that precede them, counted over all training documents.
 
+Within a class the words seen are told apart by the digits (of four bits) of their hashes: P(word |
+class, before) is a product of softmaxes over the next digit, each with the closed form's sums as
+its offset and the same four features of whole words (by hash) as its weights, so that without
+weights it is the closed form. Digits follow the distinct words (a cell for each word, up to
+MOST_DIGITS digits; words that share a cell share it by their counts), and weight rows follow the
+tokens, up to MOST_ROWS.
+
 Training. Counts are one grouped aggregate over words (64-bit hashes), combined in the tasks first.
 The softmax is trained in ROUNDS rounds over disjoint parts of all training documents: each task
 takes gradient steps (Adagrad) on its part from the shared weights, and a grouped sum averages the
-rows that tasks have changed, by how often they used them. What the driver receives has a fixed
-size: the weights, bucket statistics and the KNOWN most frequent words.
+rows that tasks have changed, by how often they used them. The second factor is trained likewise.
+What the driver receives is bounded: the weights, bucket statistics, the sums of cells and the
+KNOWN most frequent words.
 
 Scoring. One pass works out the class factor and looks up frequent words; the rest of a text's
 words, with their numbers, are joined with the counts and summed by document. So no vocabulary is
@@ -43,6 +51,9 @@ KNOWN = 100_000
 BATCH = 2_048
 RATE = 0.1
 HELD_OUT = 2
+DIGIT = 16
+MOST_DIGITS = 4
+MOST_ROWS = 1 << 18
 END = np.uint64(0x9D39247E33776D41)
 LOG10 = np.log(10.0)
 
@@ -110,9 +121,10 @@ def features(codes, bounds, start):
 
 
 def _softmax(weights, bias, rows):
-    logits = weights[rows[0]] + bias
+    logits = weights.take(rows[0], axis=0)
+    logits += bias
     for r in rows[1:]:
-        logits += weights[r]
+        logits += weights.take(r, axis=0)
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
@@ -124,27 +136,43 @@ class Learner:
 
     def __init__(self, weights, bias, rate=RATE):
         self.weights, self.bias, self.rate = weights.copy(), bias.copy(), rate
-        self.used = np.zeros(ROWS + 1, np.int64)
+        self.used = np.zeros(len(weights) + 1, np.int64)
         self._past, self._past_bias = np.full_like(weights, 1e-4), np.full_like(bias, 1e-4)
 
     def step(self, rows, classes):
         n = len(classes)
         p = _softmax(self.weights, self.bias, rows)
         p[np.arange(n), classes] -= 1
+        self._descend(rows, p)
+        whole = p.sum(axis=0) / np.float32(np.sqrt(n))
+        self._past_bias += whole * whole
+        self.bias -= self.rate * whole / np.sqrt(self._past_bias)
+        self.used[-1] += n
+
+    def _descend(self, rows, p):
+        """A step of the weight rows against ``p``, the gradient of each token's logits."""
+        n = len(p)
         flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat, kind="stable" if flat.itemsize == 2 else None)
         ranked = flat[order]
         first = np.concatenate(([0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1))
         touched, times = ranked[first], np.diff(np.append(first, len(ranked)))
-        gradient = np.add.reduceat(p[order % n], first, axis=0) / np.sqrt(times)[:, None].astype(np.float32)
-        past = self._past[touched] + gradient * gradient
+        order %= n
+        gradient = p.take(order[first], axis=0)
+        many = np.flatnonzero(times > 1)
+        if len(many):
+            # the rows used more than once, side by side
+            inside = np.repeat(times > 1, times)
+            starts = np.concatenate(([0], np.cumsum(times[many])[:-1]))
+            gradient[many] = np.add.reduceat(p.take(order[inside], axis=0), starts, axis=0)
+        gradient /= np.sqrt(times)[:, None].astype(np.float32)
+        past = self._past.take(touched, axis=0)
+        past += gradient * gradient
         self._past[touched] = past
-        self.weights[touched] -= self.rate * gradient / np.sqrt(past)
+        gradient *= np.float32(self.rate)
+        gradient /= np.sqrt(past, out=past)
+        self.weights[touched] = self.weights.take(touched, axis=0) - gradient
         self.used[touched] += times
-        whole = p.sum(axis=0) / np.float32(np.sqrt(n))
-        self._past_bias += whole * whole
-        self.bias -= self.rate * whole / np.sqrt(self._past_bias)
-        self.used[ROWS] += n
 
     def learn(self, column, codes):
         for _, hashes, buckets, bounds in tokens(column):
@@ -154,6 +182,71 @@ class Learner:
                 self.step(rows[:, at : at + BATCH], classes[at : at + BATCH])
 
 
+class Within(NamedTuple):
+    """The second factor: softmaxes over the digits of a word's hash, below its class."""
+
+    digits: int
+    offsets: np.ndarray  # by node, the logs of its children's sums of (c + 1)
+    cells: np.ndarray  # the sums of (c + 1) of the last digits' children
+    weights: np.ndarray
+
+    def places(self, hashes, groups):
+        """(nodes, digits) by depth of words of infrequent classes, and their cells."""
+        code = (mix64(hashes) >> np.uint64(64 - 4 * MOST_DIGITS)).astype(np.int64)
+        nodes, taken, first = [], [], 0
+        for d in range(self.digits):
+            rest = 4 * (MOST_DIGITS - d)
+            nodes.append(first + (groups << (4 * d)) + (code >> rest))
+            taken.append((code >> (rest - 4)) & (DIGIT - 1))
+            first += (CLASSES - HEAD - 1) << (4 * d)
+        return np.stack(nodes), np.stack(taken), (groups << (4 * self.digits)) + (code >> (4 * (MOST_DIGITS - self.digits)))
+
+    def rows(self, keys, nodes):
+        """Weight rows of the four features at the nodes, by depth within each feature."""
+        at = mix64(nodes.astype(np.uint64) + np.uint64(1))
+        return np.stack([(mix64(k[None] ^ at) & np.uint64(len(self.weights) - 1)).astype(np.int64).ravel() for k in keys])
+
+    def log10(self, hashes, classes, keys, mass):
+        """log10 of what the trained factor of each seen word is to the closed form, which has the word's count over its class's mass."""
+        out = np.zeros(len(hashes))
+        inside = np.flatnonzero(classes > HEAD)
+        for a in range(0, len(inside), BATCH):
+            here = inside[a : a + BATCH]
+            nodes, taken, cells = self.places(hashes[here], classes[here] - HEAD - 1)
+            p = _softmax(self.weights, self.offsets.take(nodes.ravel(), axis=0), self.rows(keys[:, here], nodes))
+            p = np.maximum(p[np.arange(len(p)), taken.ravel()], 1e-30).reshape(nodes.shape)
+            out[here] = np.log10(p).sum(axis=0) + np.log10(np.maximum(mass[classes[here]] - 1, 1) / np.maximum(self.cells[cells], 1))
+        return out
+
+
+def contexts(hashes, bounds):
+    """Keys of the four features of each token, by the hashes of the words before."""
+    one, two, three = (before(hashes, bounds, np.uint64(0), k) for k in (1, 2, 3))
+    with np.errstate(over="ignore"):
+        both = mix64(one + np.uint64(4)) + two
+        return np.stack([mix64(one + np.uint64(1)), mix64(two ^ np.uint64(2 << 40)), mix64(three ^ np.uint64(3 << 40)), mix64(both)])
+
+
+class WithinLearner(Learner):
+    """Gradient steps of the second factor."""
+
+    def __init__(self, within, rate=RATE):
+        super().__init__(within.weights, np.zeros(DIGIT, np.float32), rate)
+        self.within = within
+
+    def learn(self, column, codes):
+        for _, hashes, buckets, bounds in tokens(column):
+            classes, keys = codes.classes[codes.of(hashes, buckets)], contexts(hashes, bounds)
+            inside = np.flatnonzero(classes > HEAD)
+            for a in range(0, len(inside), BATCH):
+                here = inside[a : a + BATCH]
+                nodes, taken, _ = self.within.places(hashes[here], classes[here] - HEAD - 1)
+                rows = self.within.rows(keys[:, here], nodes)
+                p = _softmax(self.weights, self.within.offsets.take(nodes.ravel(), axis=0), rows)
+                p[np.arange(len(p)), taken.ravel()] -= 1
+                self._descend(rows, p)
+
+
 def group_buckets(together, groups, rounds=12):
     """Groups rows of counts by their profile (weighted k-means of square roots); a group for each row."""
     sizes = together.sum(axis=1)
@@ -228,23 +321,43 @@ def _preceded(head):
 
 
 def _learned(shared):
-    """The weight rows that a task has changed: (row, times used, change)."""
+    """The weight rows that a task has changed: (row, times used, scale, change in steps of the scale)."""
 
     def run(batches):
-        codes, weights, bias = shared.value
-        learner = Learner(weights, bias)
+        codes, kind, *given = shared.value
+        learner = kind(*given)
+        weights, bias, width = given[0].weights if kind is WithinLearner else given[0], learner.bias.copy(), learner.weights.shape[1]
         for b in batches:
             learner.learn(b.column(0), codes)
-        rows = np.flatnonzero(learner.used)
-        if not len(rows):
-            return
-        change = np.concatenate((learner.weights - weights, (learner.bias - bias)[None]))[rows]
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, CLASSES * len(rows) + 1, CLASSES), pa.int32()), pa.array(change.ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(learner.used[rows]), lists], ["row", "used", "change"])
+        touched = np.flatnonzero(learner.used)
+        for a in range(0, len(touched), 1 << 15):
+            rows = touched[a : a + (1 << 15)]
+            inside = rows[rows < len(weights)]
+            change = learner.weights[inside] - weights[inside]
+            if len(inside) < len(rows):
+                change = np.concatenate((change, (learner.bias - bias)[None]))
+            # in steps of a 32,767th of the row's largest change, as each task sends most rows
+            scale = np.maximum(np.abs(change).max(axis=1), np.float32(1e-30)) / np.float32(32_767)
+            steps = np.rint(change / scale[:, None]).astype(np.int16)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32()), pa.array(steps.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(learner.used[rows]), pa.array(scale), lists], ["row", "used", "scale", "change"])
 
     return run
 
 
+def _round(texts, given):
+    """(rows, change) of one round: the mean change of each weight row over the tasks, by how often they used it."""
+    shared = texts.sparkSession.sparkContext.broadcast(given)
+    width = (given[2].weights if given[1] is WithinLearner else given[2]).shape[1]
+    learned = texts.mapInArrow(_learned(shared), "row bigint, used bigint, scale float, change array<smallint>")
+    learned = learned.repartition("row")  # before the sums, which are wider
+    weight = F.col("used") * F.col("scale").cast("double")
+    change = [(F.sum(weight * F.col("change")[k]) / F.sum("used")).cast("float").alias(f"d{k}") for k in range(width)]
+    moved = learned.groupBy("row").agg(*change).toArrow()
+    rows = moved["row"].to_numpy()
+    return rows, np.stack([moved[f"d{k}"].to_numpy() for k in range(width)], axis=1) if len(rows) else np.zeros((0, width), np.float32)
+
+
 class Model(NamedTuple):
     """What scoring needs on every task; its size is fixed."""
 
@@ -260,7 +373,6 @@ class Model(NamedTuple):
 
 def fit(docs, counts, text_col="text", rounds=ROUNDS):
     """A model from all ``docs``; ``counts`` is their written table of word counts."""
-    spark = docs.sparkSession
     top = counts.orderBy(F.desc("c"), "h").limit(KNOWN).toArrow()
     hashes, frequency = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
     head = np.sort(hashes[hashes != END][:HEAD])
@@ -285,13 +397,8 @@ def fit(docs, counts, text_col="text", rounds=ROUNDS):
     weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
     part = F.pmod(F.xxhash64(text_col), F.lit(rounds))
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast((codes, weights, bias))
-        learned = docs.select(text_col).filter(part == number) if rounds > 1 else docs.select(text_col)
-        learned = learned.mapInArrow(_learned(shared), "row bigint, used bigint, change array<float>")
-        change = [(F.sum(F.col("used") * F.col("change")[k].cast("double")) / F.sum("used")).alias(f"d{k}") for k in range(CLASSES)]
-        moved = learned.groupBy("row").agg(*change).toArrow()
-        rows = moved["row"].to_numpy()
-        change = np.stack([moved[f"d{k}"].to_numpy() for k in range(CLASSES)], axis=1).astype(np.float32) if len(rows) else np.zeros((0, CLASSES))
+        texts = docs.select(text_col).filter(part == number) if rounds > 1 else docs.select(text_col)
+        rows, change = _round(texts, (codes, Learner, weights, bias))
         weights, bias = weights.copy(), bias.copy()
         inside = rows < ROWS
         weights[rows[inside]] += change[inside]
@@ -300,13 +407,55 @@ def fit(docs, counts, text_col="text", rounds=ROUNDS):
     return Model(codes, weights, bias, mass, hashes[order], frequency[order], int(sums["n"] or 0), int(sums["v"]))
 
 
+def _cells(codes, digits):
+    """(cell, n): the sums of (c + 1) of infrequent words by their cells, from a table of word counts."""
+    empty = Within(digits, None, None, None)
+
+    def run(batches):
+        for b in batches:
+            hashes, buckets, c = (b.column(k).to_numpy() for k in range(3))
+            classes = codes.classes[codes.of(hashes.view(np.uint64), buckets.copy())]
+            inside = classes > HEAD
+            cells = empty.places(hashes.view(np.uint64)[inside], classes[inside] - HEAD - 1)[2]
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(c[inside] + 1)], ["cell", "n"])
+
+    return run
+
+
+def fit_within(docs, model, counts, text_col="text", rounds=ROUNDS):
+    """The second factor of a model, trained on the same ``docs``."""
+    groups, digits = CLASSES - HEAD - 1, 1
+    while digits < MOST_DIGITS and groups * DIGIT**digits < model.distinct:
+        digits += 1
+    found = counts.select("h", "bucket", "c").mapInArrow(_cells(model.codes, digits), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = np.zeros(groups * DIGIT**digits)
+    cells[found["cell"].to_numpy()] = found["n"].to_numpy()
+    sums, offsets = cells, []
+    for _ in range(digits):
+        sums = sums.reshape(-1, DIGIT)
+        offsets.insert(0, np.where(sums > 0, np.log(np.maximum(sums, 1)), -1e4).astype(np.float32))
+        sums = sums.sum(axis=1)
+    size = 1
+    while size < min(MOST_ROWS, digits * model.tokens):
+        size *= 2
+    within = Within(digits, np.concatenate(offsets), cells, np.zeros((size, DIGIT), np.float32))
+    part = F.pmod(F.xxhash64(text_col), F.lit(rounds))
+    for number in range(rounds):
+        texts = docs.select(text_col).filter(part == number) if rounds > 1 else docs.select(text_col)
+        rows, change = _round(texts, (model.codes, WithinLearner, within))
+        weights = within.weights.copy()
+        weights[rows] += change
+        within = within._replace(weights=weights)
+    return within
+
+
 def _scored(shared, names):
     """Rows with what a task can tell of each text, and the words whose counts it lacks."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        model = shared.value
+        model, within = shared.value
         row = TaskContext.get().partitionId() << 36
         codes = model.codes
         for batch in batches:
@@ -319,12 +468,14 @@ def _scored(shared, names):
                     p = _softmax(model.weights, model.bias, rows[:, a : a + BATCH])
                     factor[a : a + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), classes[a : a + BATCH]], 1e-30))
                 factor -= np.log10(model.mass[classes])
+                trained = within.log10(hashes, classes, contexts(hashes, bounds), model.mass) if within else np.zeros(len(code))
                 if len(model.known):
                     place = np.minimum(np.searchsorted(model.known, hashes), len(model.known) - 1)
                     found = model.known[place] == hashes
                     seen = np.where(found, model.known_counts[place], 0)
                 else:
                     found, seen = np.zeros(len(hashes), bool), np.zeros(len(hashes))
+                factor[found] += trained[found]
                 of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 # the others: each distinct word of a text once, with its number
                 rest = np.flatnonzero(~found)
@@ -333,6 +484,7 @@ def _scored(shared, names):
                 new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (of[order][1:] != of[order][:-1])
                 start = np.flatnonzero(new)
                 words, times = hashes[order[start]], np.diff(np.append(start, len(order)))
+                paths = np.add.reduceat(trained[order], start) if len(start) else np.zeros(0)
                 cuts = np.searchsorted(of[order[start]], np.arange(len(bounds)))
                 cuts = pa.array(cuts, pa.int32())
                 n = len(bounds) - 1
@@ -340,23 +492,27 @@ def _scored(shared, names):
                 columns = [batch.column(1 + i).slice(first, n) for i in range(len(names))]
                 columns += [pa.array(row + at + np.arange(n)), pa.array(np.diff(bounds)), *map(pa.array, (sums[0], sums[1], sums[2].astype(np.int64)))]
                 columns += [pa.ListArray.from_arrays(cuts, pa.array(words.view(np.int64))), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))]
+                columns.append(pa.ListArray.from_arrays(cuts, pa.array(paths)))
                 at += n
-                yield pa.RecordBatch.from_arrays(columns, [*names, "lm_row", "n_tokens", "lm_factor", "lm_log", "lm_known", "lm_words", "lm_times"])
+                yield pa.RecordBatch.from_arrays(columns, [*names, "lm_row", "n_tokens", "lm_factor", "lm_log", "lm_known", "lm_words", "lm_times", "lm_paths"])
             row += at
 
     return run
 
 
-def score(df, model, counts, keep, text_col="text"):
-    """The columns ``keep`` with n_tokens, n_known, train_tokens, base_score and score of each text."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def score(df, model, counts, keep, text_col="text", within=None):
+    """The columns ``keep`` with n_tokens, n_known, train_tokens, base_score and score of each text.
+
+    Without ``within`` the second factor is the closed form.
+    """
+    shared = df.sparkSession.sparkContext.broadcast((model, within))
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    kinds += ", lm_row bigint, n_tokens bigint, lm_factor double, lm_log double, lm_known bigint, lm_words array<bigint>, lm_times array<bigint>"
+    kinds += ", lm_row bigint, n_tokens bigint, lm_factor double, lm_log double, lm_known bigint, lm_words array<bigint>, lm_times array<bigint>, lm_paths array<double>"
     rows = written(df.select(F.col(text_col), *keep).mapInArrow(_scored(shared, list(keep)), kinds), "lm-rows")
-    rare = rows.select("lm_row", F.explode(F.arrays_zip("lm_words", "lm_times")).alias("w"))
-    rare = rare.select("lm_row", F.col("w.lm_words").alias("h"), F.col("w.lm_times").alias("times")).join(counts, "h")
-    rare = rare.groupBy("lm_row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_log"), F.sum("times").alias("rare_known"))
-    rows = rows.drop("lm_words", "lm_times").join(rare, "lm_row", "left")
+    rare = rows.select("lm_row", F.explode(F.arrays_zip("lm_words", "lm_times", "lm_paths")).alias("w"))
+    rare = rare.select("lm_row", F.col("w.lm_words").alias("h"), F.col("w.lm_times").alias("times"), F.col("w.lm_paths").alias("path")).join(counts, "h")
+    rare = rare.groupBy("lm_row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_log"), F.sum("path").alias("rare_path"), F.sum("times").alias("rare_known"))
+    rows = rows.drop("lm_words", "lm_times", "lm_paths").join(rare, "lm_row", "left")
     log = F.col("lm_log") + F.coalesce("rare_log", F.lit(0.0))
     uniform = float(np.log10(model.tokens + model.distinct + 1))
     return rows.select(
@@ -365,7 +521,7 @@ def score(df, model, counts, keep, text_col="text"):
         (F.col("lm_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (log - F.col("n_tokens") * F.lit(uniform)).alias("base_score"),
-        (log + F.col("lm_factor")).alias("score"),
+        (log + F.col("lm_factor") + F.coalesce("rare_path", F.lit(0.0))).alias("score"),
     )
 
 
@@ -374,5 +530,6 @@ def op6_maxent_lm(spark, sf_dir):
     held_out = crc_mod(F.col("doc_id"), 7) == HELD_OUT
     training = docs.filter(~held_out)
     counts = written(word_counts(training), "lm-counts")
-    scored = score(docs, fit(training, counts), counts, ["doc_id"])
+    model = fit(training, counts)
+    scored = score(docs, model, counts, ["doc_id"], within=fit_within(training, model, counts))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

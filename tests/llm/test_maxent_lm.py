@@ -99,3 +99,33 @@ def test_odd_rows(odd_docs, no_docs, docs):
     assert M.score(no_docs, blank, nothing, ["doc_id"]).collect() == []
     alone = M.score(docs, blank, nothing, ["doc_id"]).agg(F.min("base_score"), F.max("n_known"), F.max("train_tokens")).first()
     assert tuple(alone) == (0.0, 0, 0)
+
+
+def test_words_of_one_class_are_told_apart_by_the_words_before(spark, tmp_path):
+    """Equally frequent words with equal last bytes are likelier after the word that they follow in training."""
+    rng = np.random.default_rng(5)
+    rare = [(f"first{a}{b}ing", f"then{a}{b}ing") for a in "abcdef" for b in "abcdef"]
+    texts = [" ".join(w for k in rng.permutation(len(rare)) for w in (*rare[k], *(f"often{j}" for j in rng.integers(0, 20, 2)))) for _ in range(800)]
+    swapped = list(zip([a for a, _ in rare], [b for _, b in rare[1:] + rare[:1]], strict=True))
+    rows = [(7 * i + 1, t) for i, t in enumerate(texts)]
+    rows += [(-1, " often1 ".join(" ".join(p) for p in rare)), (-2, " often1 ".join(" ".join(p) for p in swapped))]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    by = {r["doc_id"]: r for r in M.op6_maxent_lm(spark, str(tmp_path)).collect()}
+    assert by[-1]["base_score"] == pytest.approx(by[-2]["base_score"])
+    assert by[-1]["score"] > by[-2]["score"] + len(rare) / 2
+
+
+def test_the_second_factor_adds_up(docs):
+    """After any words, the words of a class and its unseen share add up to 1; without weights it is the closed form."""
+    counts = written(M.word_counts(docs), "counts")
+    model = M.fit(docs, counts)
+    within = M.fit_within(docs, model, counts)
+    table = counts.toArrow()
+    hashes, buckets, c = table["h"].to_numpy().view(np.uint64), table["bucket"].to_numpy(), table["c"].to_numpy()
+    classes = model.codes.classes[model.codes.of(hashes, buckets.copy())]
+    keys = np.repeat(np.random.default_rng(0).integers(0, 1 << 60, (4, 1)).astype(np.uint64), len(hashes), axis=1)
+    for w, changes in ((within, True), (within._replace(weights=np.zeros_like(within.weights)), False)):
+        ratio = w.log10(hashes, classes, keys, model.mass)
+        total = np.bincount(classes, 10**ratio * (c + 1) / model.mass[classes], minlength=M.CLASSES) + (np.arange(M.CLASSES) > M.HEAD) / model.mass
+        assert np.allclose(total[model.mass > 1], 1, atol=1e-4)
+        assert (np.abs(ratio).max() > 1e-3) == changes

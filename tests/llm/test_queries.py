@@ -16,6 +16,9 @@ COLUMNS = {
     "op8_": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op9_": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op10_": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op11_": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"},
+    "op12_": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
+    "op13_": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
 }
 
 
@@ -27,7 +30,7 @@ def test_columns_rows_and_sql(spark, name):
     assert {k: types.get(k) for k in want} == want
     rows = df.collect()
     if name not in ORACLES:
-        assert len(rows) == (50 if name.startswith("op3_") else 200)
+        assert len(rows) == {"op3_url_filter": 50, "op11_whitening": 500 * 16}.get(name, 200)
         return
     con = duckdb.connect()
     for table in ("documents", "embeddings", "labels", "pages"):

@@ -24,6 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -164,7 +165,7 @@ def _whiten(spark, rows, size, components):
     fit = indexed(rows.groupBy("key").agg(F.any_value("v").alias("v")))
     n, sums = column_sums(fit, size)
     centred = written(fit.select("index", _centred(n, sums)("v").alias("y")), "centred")
-    blocks = block_matrix(centred, n, size)
+    blocks = block_matrix(centred, n, size).persist(StorageLevel.MEMORY_AND_DISK)  # each product lists and reads them
     splits = max(1, math.ceil(n / blocks.rowsPerBlock / SPLIT_BLOCKS))
     vectors, values, trace = eigen(gram(blocks, splits), n, components)
     real = values > max(values[0], 0.0) * size * np.finfo(float).eps if len(values) else np.zeros(0, bool)
@@ -176,10 +177,13 @@ def _whiten(spark, rows, size, components):
         projected = blocks.multiply(whitening)
         table = callMLlibFunc("getIndexedRows", projected.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
         table = written(table.select("index", vector_to_array("vector").alias("z")), "projected")
-        error = float(np.abs(gram(block_matrix(table.select("index", F.col("z").alias("y")), n, width), splits) / n - np.eye(width)).max())
+        white = block_matrix(table.select("index", F.col("z").alias("y")), n, width).persist(StorageLevel.MEMORY_AND_DISK)
+        error = float(np.abs(gram(white, splits) / n - np.eye(width)).max())
+        white._java_matrix_wrapper._java_model.blocks().unpersist(False)
         out = out.join(table, "index")
     else:
         out = out.withColumn("z", F.array().cast("array<double>"))
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
     explained = [max(float(v), 0.0) / trace if trace > 0 else None for v in values]
     shares = F.array(*[F.lit(v).cast("double") for v in explained])
     out = written(out.select("key", "deviation", "z"), "classes")

@@ -1,15 +1,18 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key. Within a source, documents are range-sorted by that key:
-the key range is cut into equal slices (the keys are uniform, so the slices are even, also within
-a source that holds most rows), each slice is summed on its own, the slice totals become
-distributed prefix sums, and the source is cut at its exact budget. A budget above the source's
-size takes the source whole, as often as it fits, and cuts the next epoch.
+Every document gets a hash-random key, made of its id and its text. Within a source, documents are
+range-sorted by that key: the key range is cut into equal slices (the keys are uniform, so the
+slices are even, also within a source or under an id that holds most rows), each slice is summed on
+its own, the slice totals become distributed prefix sums, and the source is cut at its exact budget.
+A budget above the source's size takes the source whole, as often as it fits, and cuts the next
+epoch. Whole rows move once: the prefix sums and the join of the slices' totals share a partitioning.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null source is a source of
-its own, after all others; equal keys (repeated rows) are ordered by size, and rows that tie in
-that, too, are interchangeable; an empty table gives an empty mix; a column of the input with the
-name of an added one is replaced. Sources are ranked and given targets on one row per source.
+its own, after all others; rows equal in id and text have one key and are ordered by a hash of their
+other columns (but for maps, which have no hash), so a mix of the same rows is the same rows however
+they are partitioned; rows that tie in that, too, are interchangeable, and lie in one slice; an empty
+table gives an empty mix; a column of the input with the name of an added one is replaced. Sources
+are ranked and given targets on one row per source.
 """
 
 from __future__ import annotations
@@ -64,18 +67,21 @@ def mix(df, id_col="doc_id", text_col="text", source_col="source", weights=WEIGH
     The words taken of a source add up to its target, rounded down.
     """
     df = without(df, *ADDED)
-    key, part, run, of, base = (own_name(df, n) for n in ("mix_key", "mix_slice", "mix_run", "mix_source", "mix_base"))
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    rows = df.withColumn("size", word_count(F.col(text_col))).withColumn(key, digest)
-    rows = rows.withColumn(part, F.substring(key, 1, _slice_digits(df)))
-    totals = rows.groupBy(F.col(source_col).alias(of), F.col(part).alias("part")).agg(F.sum("size").alias("size"))
-    targets = source_targets(totals.select(F.col(of).alias("to"), "size"), "to", weights, share, most)
-    earlier = Window.partitionBy(of).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    plan = totals.withColumn(base, F.coalesce(F.sum("size").over(earlier), F.lit(0))).drop("size")
-    plan = plan.join(targets, F.col(of).eqNullSafe(F.col("to"))).withColumnRenamed("part", f"{part}_of").drop("to")
-    within = Window.partitionBy(source_col, part).orderBy(key, "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn(run, F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = rows.join(plan, F.col(source_col).eqNullSafe(F.col(of)) & (F.col(part) == F.col(f"{part}_of")))
+    key, part, run, of, base, tie = (own_name(df, n) for n in ("mix_key", "mix_slice", "mix_run", "mix_source", "mix_base", "mix_tie"))
+    text, source = F.col(text_col), F.col(source_col).cast("string")
+    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
+    rows = df.withColumn("size", word_count(text)).withColumn(key, digest).withColumn(part, F.substring(key, 1, _slice_digits(df)))
+    rows = rows.withColumn(of, F.when(source.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), source)))  # never null, so that it joins as it partitions
+    totals = rows.groupBy(of, part).agg(F.sum("size").alias("size"))
+    named = F.when(F.col(of) != "", F.substring(of, 2, 2**31 - 1)).alias("to")
+    targets = source_targets(totals.select(named, "size"), "to", weights, share, most)
+    targets = targets.withColumn("to", F.when(F.col("to").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), "to"))).withColumnRenamed("to", of)
+    earlier = Window.partitionBy(of).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    plan = totals.withColumn(base, F.coalesce(F.sum("size").over(earlier), F.lit(0))).drop("size").join(targets, of)
+    others = [c for c, kind in df.dtypes if c not in (id_col, text_col, source_col) and "map<" not in kind and kind != "variant"]
+    rows = rows.withColumn(tie, F.xxhash64(*others) if others else F.lit(0).cast("long"))
+    within = Window.partitionBy(of, part).orderBy(key, "size", tie).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn(run, F.coalesce(F.sum("size").over(within), F.lit(0))).join(plan, [of, part])
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size") - F.col(base) - F.col(run)
@@ -106,7 +112,7 @@ def op10_source_mix(spark, sf_dir):
 
 #: The same, level by level: the level is the largest that fits when the k lowest caps are taken.
 OP10_SQL = """
-WITH d AS (SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS k,
+WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || md5(coalesce(text, ''))) AS k,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM s),

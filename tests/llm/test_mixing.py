@@ -83,3 +83,33 @@ def test_a_hot_source_is_cut_into_slices(spark):
     assert "Python" not in plan and "Arrow" not in plan
     hot = mixed.filter("source = 'hot'")
     assert hot.agg(F.sum("taken")).first()[0] == int(hot.first()["target"])
+
+
+def test_reruns_agree_for_repeated_and_null_ids(spark):
+    """A third of the rows under one id and a third without, in ten orders."""
+    rows = [(i if i % 3 == 0 else 7 if i % 3 == 1 else None, " ".join(["w"] * (1 + i % 5) + [str(i % 40)]), "en", "s" if i % 2 else None, i) for i in range(300)]
+    mixes = set()
+    for seed in range(10):
+        df = spark.createDataFrame(rows, DOC).orderBy(F.rand(seed)).repartition(1 + seed)
+        mixes.add(tuple(sorted((tuple(r) for r in M.materialise(M.mix(df)).collect()), key=str)))
+    assert len(mixes) == 1
+
+
+def test_rows_of_one_id_spread_over_slices(spark, monkeypatch):
+    monkeypatch.setattr(M, "_slice_digits", lambda df: 2)
+    rows = spark.range(4_000).selectExpr("if(id % 3 = 0, 7, id) AS doc_id", "concat('text ', id) AS text", "'s' AS source")
+    plan = M.mix(rows)._jdf.queryExecution().optimizedPlan().toString()
+    digest = F.substring(F.md5(F.concat(F.lit("7 "), F.md5(F.col("text").cast("binary"))).cast("binary")), 1, 2)
+    assert rows.filter("doc_id = 7").groupBy(digest).count().agg(F.max("count")).first()[0] < 30 and "mix_key" in plan
+
+
+def test_texts_move_once(docs, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        mixed = M.mix(docs)
+        mixed.collect()
+        lines = mixed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [below for line, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in line]
+    assert sum(", text#" in below for below in moved) == 1 and len(moved) > 3

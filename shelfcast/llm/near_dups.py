@@ -1,7 +1,7 @@
 """MinHash near-duplicate detection with odd sketches.
 
-1. A text's shingles become a set of 64-bit hashes. Equal sets are one class, represented by its
-   smallest id; only representatives go on.
+1. A text's shingles become a set of 64-bit hashes. Equal sets are one class, named by a 128-bit
+   digest of the set; the graph's nodes are these classes, ids come in at the end.
 2. SAMPLES MinHash values of a set; the first BANDS * ROWS are banded into bucket keys, and all of
    them are folded into an odd sketch: sample j with value v flips one of SKETCH_BITS bits. The
    population count of two sketches' XOR estimates how many samples differ, most precisely where
@@ -21,7 +21,9 @@ many documents share buckets and yet stay apart (below the threshold), sketches
 only there does the work grow with the square, as numpy operations on blocks, not as rows.
 
 Defined cases: texts without words have an empty set and are linked with nothing; rows with equal
-ids are one node; null ids stay alone, with a null component; an empty table has no rows.
+ids and different texts are different nodes, each with its own links (two components may then have
+the same smallest id; ``group`` tells them apart); null ids stay alone, with a null component; an
+empty table has no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
@@ -43,6 +46,7 @@ SAMPLES = 320
 SKETCH_BITS = 1024
 MOST_DIFFERENT = 172  # sketch bits; at 80 % similarity 113 are expected, with a deviation of 12
 BLOCK = 1_024
+SORTED_AT_ONCE = 1 << 15  # hashes of pairs that are compared together
 _SCALE = (stream64(SAMPLES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (stream64(SAMPLES, 22) >> np.uint64(32)).astype(np.uint32)
 _PLACE = stream64(SAMPLES, 23)
@@ -117,33 +121,40 @@ def _signatures(column, width):
 
 def _common(a, b):
     """Sizes of the intersections of two Arrow columns of sets."""
-    out = np.zeros(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        both = np.concatenate((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
-        both.sort()
-        out[i] = np.count_nonzero(both[1:] == both[:-1])
+    out, size = np.zeros(len(a), np.int64), pc.add(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False) // 8
+    at = 0
+    while at < len(a):  # some pairs at once, sorted together by pair
+        to = max(at + 1, at + int(np.searchsorted(np.cumsum(size[at:]), SORTED_AT_ONCE, "right")))
+        both = np.frombuffer(b"".join(x.as_buffer() for i in range(at, to) for x in (a[i], b[i])), np.uint64)
+        pair = np.repeat(np.arange(to - at), size[at:to])
+        order = np.lexsort((both, pair)) if to > at + 1 else np.argsort(both)
+        both, pair = both[order], pair[order]
+        same = (both[1:] == both[:-1]) & (pair[1:] == pair[:-1])
+        out[at:to] = np.bincount(pair[1:][same], minlength=to - at)
+        at = to
     return pa.array(out)
 
 
+def _with_nodes(pairs, nodes, column):
+    """Pairs (a, b) of prints with the nodes' n and another column, as n_a, n_b and x_a, x_b."""
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("print").alias(end), F.col("n").alias(f"n_{end}"), F.col(column).alias(f"x_{end}")), end)
+    return pairs
+
+
 def _linked(pairs, nodes, percent):
     """Those of the pairs (a, b) whose full sets reach the similarity."""
-    for end in ("a", "b"):
-        side = nodes.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("shingles").alias(f"s_{end}"))
-        pairs = pairs.join(side, end)
-    both = F.arrow_udf(_common, "bigint")("s_a", "s_b")
-    met = pairs.select("a", "b", "n_a", "n_b", both.alias("met"))
+    both = F.arrow_udf(_common, "bigint")("x_a", "x_b")
+    met = _with_nodes(pairs, nodes, "shingles").select("a", "b", "n_a", "n_b", both.alias("met"))
     return met.filter(F.lit(100) * F.col("met") >= percent * (F.col("n_a") + F.col("n_b") - F.col("met"))).select("a", "b")
 
 
 def _possible(pairs, nodes, percent):
     """Those of the pairs whose sizes and sketches allow the similarity."""
-    for end in ("a", "b"):
-        side = nodes.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"o_{end}"))
-        pairs = pairs.join(side, end)
     sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    bits = F.zip_with("o_a", "o_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    bits = F.zip_with("x_a", "x_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     different = F.aggregate(bits, F.lit(0), lambda x, y: x + y)
-    return pairs.filter(sized).filter(different <= MOST_DIFFERENT).select("a", "b")
+    return _with_nodes(pairs, nodes, "sketch").filter(sized).filter(different <= MOST_DIFFERENT).select("a", "b")
 
 
 def _block_pairs(left, right, same, key, percent):
@@ -174,12 +185,13 @@ def _compare_blocks(percent):
             "n": table["n"].to_numpy(),
             "root": table["place"].to_numpy(),
             "keys": table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS),
-            "sketch": table["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, SKETCH_BITS // 64),
+            # unsigned: numpy counts the bits of a negative number's absolute value
+            "sketch": table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_BITS // 64),
         }
         left, right = ({name: c[rows] for name, c in columns.items()} for rows in (first, second))
         i, j = _block_pairs(left, right, x == y, key, percent)
-        ids = table["id"].combine_chunks()
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(first[i])), ids.take(pa.array(second[j]))], ["a", "b"])
+        prints = table["print"].combine_chunks()
+        return pa.RecordBatch.from_arrays([prints.take(pa.array(first[i])), prints.take(pa.array(second[j]))], ["a", "b"])
 
     def run(batches):
         waiting = None  # rows of the last block pair, which may go on in the next batch
@@ -202,58 +214,79 @@ def _compare_blocks(percent):
 
 
 def signatures(df, id_col="doc_id", text_col="text", width=WIDTH):
-    """(id, n, print, keys, sketch) of every row."""
+    """(id, digest, n, print, keys, sketch) of every row; the digest is of the text as it is."""
     bounded_batches(df.sparkSession)
     kind = "struct<n: bigint, print: binary, keys: array<bigint>, sketch: array<bigint>>"
     sign = F.arrow_udf(lambda t: _signatures(t, width), kind)
-    rows = df.select(F.col(id_col).alias("id"), sign(F.col(text_col)).alias("s"))
-    return rows.select("id", "s.n", "s.print", "s.keys", "s.sketch")
+    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), sign(F.col(text_col)).alias("s"))
+    return rows.select("id", "digest", "s.n", "s.print", "s.keys", "s.sketch")
+
+
+def _prints_and_sets(width):
+    def run(column):
+        prints, sets = [], []
+        for shingles in shingle_sets(column, width):
+            sets.append(shingles.tobytes())
+            prints.append(hashlib.blake2b(sets[-1], digest_size=16).digest())
+        release_memory()
+        return pa.StructArray.from_arrays([pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], ["print", "shingles"])
+
+    return F.arrow_udf(run, "struct<print: binary, shingles: binary>")
 
 
 def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
-    """For each row its id, n_shingles, class_id (smallest id with an equal set) and component_id."""
+    """For each row its id, digest, n_shingles, class_id (smallest id with an equal set), component_id and group.
+
+    ``group`` names the component (null: linked with nothing); ``digest`` is xxhash64 of the text.
+    """
     signed = written(signatures(df, id_col, text_col, width), "signatures")
-    filled = signed.filter("n > 0 AND id IS NOT NULL")
-    classes = filled.groupBy("print").agg(F.min("id").alias("class_id"))
-    heads = filled.join(classes, (filled["print"] == classes["print"]) & (filled["id"] == classes["class_id"]))
-    heads = heads.select("id", "n", "keys", "sketch").dropDuplicates(["id"])
+    values = [F.any_value(c).alias(c) for c in ("n", "keys", "sketch")]  # equal in all rows of a print
+    heads = written(signed.filter("n > 0 AND id IS NOT NULL").groupBy("print").agg(F.min("id").alias("class_id"), *values), "heads")
     # buckets of two and more
-    all_keys = written(heads.select("id", F.explode("keys").alias("key")), "buckets")
+    all_keys = written(heads.select("print", F.explode("keys").alias("key")), "buckets")
     counted = all_keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     members = written(all_keys.join(counted, "key"), "members")
-    mates = written(members.groupBy("id").agg(F.sum("m").alias("mates")), "mates")
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(mates.select("id"), "id", "left_semi")
-    sets = F.arrow_udf(lambda t: pa.array([s.tobytes() for s in shingle_sets(t, width)], pa.binary()), "binary")
-    sets = texts.dropDuplicates(["id"]).select("id", sets("text").alias("shingles"))
-    nodes = written(heads.join(sets, "id"), "nodes")
+    mates = written(members.groupBy("print").agg(F.sum("m").alias("mates")), "mates")
+    some = heads.join(mates, "print").select("class_id").distinct()
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = texts.join(some, F.col("id") == F.col("class_id"), "left_semi")
+    sets = texts.select(_prints_and_sets(width)("text").alias("s")).select("s.*")
+    sets = sets.groupBy("print").agg(F.any_value("shingles").alias("shingles"))
+    nodes = written(heads.select("print", "n", "keys", "sketch").join(sets, "print"), "nodes")
     # stars
-    ranked = members.join(mates, "id")
-    pivots = ranked.groupBy("key").agg(F.min(F.struct((-F.col("mates")).alias("few"), "id"))["id"].alias("pivot"))
-    stars = members.join(pivots, "key").filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    ranked = members.join(mates, "print")
+    pivots = ranked.groupBy("key").agg(F.min(F.struct((-F.col("mates")).alias("few"), "print"))["print"].alias("pivot"))
+    stars = members.join(pivots, "key").filter("print <> pivot").select(F.col("pivot").alias("a"), F.col("print").alias("b"))
     links = written(_linked(_possible(stars.distinct(), nodes, percent), nodes, percent), "links")
     roots = components(links)
     # what is left: buckets with several components
-    named = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = members.join(roots.withColumnRenamed("id", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    named = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    named = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("print"), blocks).cast("int"))
     others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    units = named.select("key", "id", F.xxhash64("root").alias("place"), "block", others)
-    units = units.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "place", "id")
-    units = units.join(nodes.select("id", "n", "keys", "sketch"), "id").select("key", "x", "y", "block", "place", "id", "n", "keys", "sketch")
+    units = named.select("key", "print", F.xxhash64("root").alias("place"), "block", others)
+    units = units.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "place", "print")
+    units = units.join(nodes.select("print", "n", "keys", "sketch"), "print").select("key", "x", "y", "block", "place", "print", "n", "keys", "sketch")
     units = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    kind = df.select(F.col(id_col).alias("a")).schema["a"].dataType.simpleString()
-    rest = units.mapInArrow(_compare_blocks(percent), f"a {kind}, b {kind}")
+    rest = units.mapInArrow(_compare_blocks(percent), "a binary, b binary")
     more = written(_linked(rest, nodes, percent), "links")
     if not more.isEmpty():
         roots = components(links.union(more))
-    placed = signed.join(classes, "print", "left").join(roots.withColumnRenamed("id", "class_id"), "class_id", "left")
-    alone = F.col("n") == 0
-    return placed.select(
+    # ids: the smallest of a component, by way of one row for each class
+    placed = heads.select("print", "class_id").join(roots.withColumnRenamed("id", "print"), "print", "left")
+    placed = placed.withColumn("group", F.coalesce("root", "print")).select("print", "class_id", "group")
+    firsts = placed.groupBy("group").agg(F.min("class_id").alias("component_id"))
+    placed = written(placed.join(firsts, "group"), "components")
+    found = signed.select("id", "digest", "n", "print").join(placed, "print", "left")
+    alone, named = F.col("n") == 0, F.col("id").isNotNull()
+    return found.select(
         "id",
+        "digest",
         F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("id")).when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("id")).when(F.col("id").isNotNull(), F.coalesce("root", "class_id")).alias("component_id"),
+        F.when(alone, F.col("id")).when(named, F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).when(named, F.col("component_id")).alias("component_id"),
+        F.when(named, F.col("group")).alias("group"),
     )
 
 

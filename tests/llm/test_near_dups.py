@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.llm import near_dups as N
 from shelfcast.llm.components import components
@@ -23,7 +24,7 @@ def brute(rows, width, percent=80):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and sets[b]:
+            if a < b and sets[a] and sets[b] and 100 * min(len(sets[a]), len(sets[b])) >= percent * max(len(sets[a]), len(sets[b])):
                 both = len(sets[a] & sets[b])
                 if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     x, y = find(a), find(b)
@@ -80,6 +81,18 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_block_pairs_are_all_that_sketches_allow(seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    base = rng.integers(-(2**63), 2**63, 16)
+    sketch = np.array([base ^ np.where(rng.random(16) < 0.5, np.int64(1) << rng.integers(0, 64, 16), 0) for _ in range(40)])
+    one = {"n": np.full(40, 9), "root": np.arange(40), "keys": np.full((40, N.BANDS), 5), "sketch": sketch.view(np.uint64)}
+    i, j = N._block_pairs(one, one, True, 5, 80)
+    assert len(i) == 40 * 39 // 2  # at most 32 bits differ in any pair
+
+
 def test_sketches_estimate_similarity():
     import numpy as np
 
@@ -90,3 +103,27 @@ def test_sketches_estimate_similarity():
         sides = [np.concatenate((both, rng.integers(0, 2**63, n // 2).astype(np.uint64))) for _ in range(2)]
         a, b = (N.odd_sketch(N.minhashes(s)) for s in sides)
         assert low <= np.bitwise_count((a ^ b).view(np.uint64)).sum() <= high
+
+
+def test_repeated_ids_with_different_texts_in_ten_orders(spark):
+    """Texts are the nodes: each text of an id keeps its own links, whatever the order of the rows."""
+    rng = random.Random(7)
+    base = [" ".join(f"b{k}w{rng.randrange(500)}" for _ in range(60)) for k in range(6)]
+    rows = [(i % 5, f"{base[i % 6]} tail{i}", "en", "s", i) for i in range(30)] + [(3, base[0], "en", "s", 0), (3, base[0], "en", "s", 0)]
+    want = {}
+    by_text = brute([((i, t), t) for i, t, *_ in rows], 2)  # nodes named by (id, text)
+    for key, (n, root) in by_text.items():
+        want.setdefault(root, set()).add(key)
+    smallest = {key: (by_text[key][0], min(i for i, _ in want[root])) for root, keys in want.items() for key in keys}
+    for seed in range(10):
+        df = spark.createDataFrame(rows, DOC).orderBy(F.rand(seed)).repartition(1 + seed % 4)
+        found = N.groups(df, width=2)
+        texts = {h: t for h, t in df.select(F.xxhash64("text"), "text").distinct().collect()}
+        got = {(r["id"], texts[r["digest"]]): (r["n_shingles"], r["component_id"]) for r in found.collect()}
+        assert got == smallest
+
+
+def test_recall_on_a_larger_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in N.groups(docs, width=2).collect()}
+    assert got == brute([(r["doc_id"], r["text"]) for r in docs.collect()], 2)

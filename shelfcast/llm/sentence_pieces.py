@@ -44,8 +44,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITE = float("inf")
 UNKNOWN_WEIGHT = 100.0  # of a character without a piece, in a model of unigrams
-MOST_PAIRS = 250_000  # that a worker keeps in mind
-MOST_CHUNKS = 200_000
+MOST_PAIRS = 500_000  # that a worker keeps in mind
+MOST_CHUNKS = 700_000  # likewise; an argument of encode, ids do not depend on it
 SLICE_BYTES = 1 << 19
 SLICE_IDS = 1 << 16  # that are decoded at once
 codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
@@ -107,7 +107,7 @@ def read_model(data):
 class Transducer:
     """The composed transducer of a model."""
 
-    def __init__(self, model):
+    def __init__(self, model, most_chunks=MOST_CHUNKS):
         self.pieces = model["pieces"]
         self._merges, self._prefix, self._squeeze, self._unknown = (model[k] for k in ("merges", "prefix", "squeeze", "unknown"))
         self._arcs = {}  # a trie of pieces; None holds (id, weight)
@@ -135,7 +135,7 @@ class Transducer:
             beside[list(raw[:-1]), list(raw[1:])] = True
         self._beside = beside.ravel()
         learn = lambda chunks: [self.shortest(c) for c in chunks]
-        self.encoder = ChunkEncoder(self._begins, learn, most=MOST_CHUNKS, slice_bytes=SLICE_BYTES)
+        self.encoder = ChunkEncoder(self._begins, learn, most=most_chunks, slice_bytes=SLICE_BYTES)
 
     def _begins(self, data, offsets):
         """Where chunks begin: between bytes that no piece holds side by side."""
@@ -230,20 +230,29 @@ class Transducer:
         Exactly one path is accepted, so the first that reaches the end is the shortest. Arcs are
         tried from the longest, and states that lead nowhere are remembered.
         """
-        size, follows = len(text), self._follows
+        size, follows, trie = len(text), self._follows, self._arcs
         if len(follows) > MOST_PAIRS:
             follows.clear()
         arcs, dead, path = {}, set(), []
         at, last, left = 0, -1, None
         while at < size:
             if left is None:
-                if at not in arcs:
-                    arcs[at] = self._arcs_at(text, at) or [(at + 1, -1, 0.0)]
-                left = len(arcs[at])
-            here = arcs[at]
+                here = arcs.get(at)
+                if here is None:
+                    here, node = [], trie
+                    for to in range(at, size):
+                        node = node.get(text[to])
+                        if node is None:
+                            break
+                        if None in node:
+                            here.append((to + 1, node[None][0]))
+                    here = arcs[at] = here or [(at + 1, -1)]
+                left = len(here)
+            else:
+                here = arcs[at]
             while left:
                 left -= 1
-                to, piece, _ = here[left]
+                to, piece = here[left]
                 if dead and (to, piece) in dead:
                     continue
                 if piece >= 0:
@@ -338,16 +347,16 @@ class Transducer:
         return texts
 
 
-_compiled: dict[int, Transducer] = {}
+_compiled: dict[tuple, Transducer] = {}
 
 
-def transducer(shared):
+def transducer(shared, most_chunks=MOST_CHUNKS):
     """The worker's transducer of a broadcast model; compiled once, with what it has learnt."""
     model = shared.value
-    key = zlib.crc32(model)
+    key = zlib.crc32(model), most_chunks
     if key not in _compiled:
         _compiled.clear()
-        _compiled[key] = Transducer(read_model(model))
+        _compiled[key] = Transducer(read_model(model), most_chunks)
     return _compiled[key]
 
 
@@ -357,13 +366,16 @@ def _share(df, model):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(df, model, text_col="text", name="ids"):
-    """The table with a column ``name``: the ids of each whole text. ``model`` is a path; the driver reads it."""
+def encode(df, model, text_col="text", name="ids", most_chunks=MOST_CHUNKS):
+    """The table with a column ``name``: the ids of each whole text. ``model`` is a path; the driver reads it.
+
+    A worker keeps the ids of up to ``most_chunks`` chunks (about 200 bytes each).
+    """
     shared = _share(df, model)
 
     def run(texts):
         flat, counts = [], []
-        for _, ids, sizes in transducer(shared).parts(texts):
+        for _, ids, sizes in transducer(shared, most_chunks).parts(texts):
             flat.append(ids.astype(np.int32))
             counts.append(sizes)
         release_memory()
@@ -373,14 +385,17 @@ def encode(df, model, text_col="text", name="ids"):
     return without(df, name).withColumn(name, F.arrow_udf(run, "array<int>")(F.col(text_col)))
 
 
-def decode(df, model, ids_col="ids", name="decoded"):
-    """The table with a column ``name``: the text of each row's ids (null ids: empty)."""
+def decode(df, model, ids_col="ids", name="decoded", most_chunks=MOST_CHUNKS):
+    """The table with a column ``name``: the text of each row's ids (null ids: empty).
+
+    With the same ``most_chunks`` as encode a worker uses one compiled model for both.
+    """
     shared = _share(df, model)
 
     def run(ids):
         ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
         counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        out = pa.array(transducer(shared).decode(ids.flatten().to_numpy(zero_copy_only=False), counts), pa.string())
+        out = pa.array(transducer(shared, most_chunks).decode(ids.flatten().to_numpy(zero_copy_only=False), counts), pa.string())
         release_memory()
         return out
 

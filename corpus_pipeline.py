@@ -10,10 +10,11 @@ shared folder and reads it back, so a lost executor costs a re-read.
 4. source_mix: sources are repeated and cut to their targets; a document that is cut keeps its first words.
 5. sentence_pieces: texts become ids, and ids are decoded to see that they give the text back.
 
-Defined cases: what the operators define; documents without an id are never near-duplicates, and of
-rows with equal ids the near-duplicate stage keeps one, with the smallest text; documents without
-words do not pass the quality rules; further columns are passed on, except by the last stage. Empty
-tables stay empty.
+Defined cases: what the operators define; documents without an id are never near-duplicates; the
+near-duplicate stage keeps one row of each group of texts (the smallest id), so rows that share an
+id and differ in their texts stay, and rows that share both count once; documents without words do
+not pass the quality rules; further columns are passed on, except by the last stage. Empty tables
+stay empty.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from shelfcast.llm import mixing, near_dups, robust_rules, sentence_pieces, toxi
 from shelfcast.llm.tables import documents, own_name, set_aside, written
 
 
+WORKER_CHUNKS = 200_000  # that a Python worker keeps: after four other stages there is less memory left
+
+
 def tokenizer_path():
     """The SentencePiece model; a parameter of the last stage."""
     import public_tokenizers
@@ -45,12 +49,16 @@ def reject_outliers(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    found = near_dups.groups(docs)
-    first = found.filter("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    place = own_name(docs, "place")
-    one = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    kept = docs.join(first, "doc_id", "left_semi").withColumn(place, F.row_number().over(one)).filter(F.col(place) == 1)
-    return kept.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    found = near_dups.groups(docs).filter("id IS NOT NULL")
+    one = F.min(F.struct("id", "digest")).alias("one")
+    stay = found.filter("group IS NOT NULL").groupBy("group").agg(one).select("one.*")
+    stay = stay.union(found.filter("group IS NULL").select("id", "digest").distinct())  # without words: linked with nothing
+    digest, place = own_name(docs, "digest"), own_name(docs, "place")
+    rows = docs.withColumn(digest, F.xxhash64("text")).join(stay.toDF("doc_id", digest), ["doc_id", digest], "left_semi")
+    others = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    same = Window.partitionBy("doc_id", digest).orderBy(F.xxhash64(*others))  # rows that repeat
+    rows = rows.withColumn(place, F.row_number().over(same)).filter(F.col(place) == 1)
+    return rows.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
 def mix_sources(spark, docs, sf_dir):
@@ -61,7 +69,8 @@ def mix_sources(spark, docs, sf_dir):
 
 def to_sentence_pieces(spark, docs, sf_dir):
     model = tokenizer_path()
-    rows = sentence_pieces.decode(sentence_pieces.encode(docs, model), model)
+    size = {"most_chunks": WORKER_CHUNKS}
+    rows = sentence_pieces.decode(sentence_pieces.encode(docs, model, **size), model, **size)
     return rows.select(
         "doc_id",
         "lang",

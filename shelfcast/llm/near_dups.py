@@ -12,8 +12,11 @@
 4. A bucket whose members are then in one component is done. In the others, members of different
    components are compared in blocks: a block pair is one unit of work of at most 2 * BLOCK
    sketches, whatever the size of the bucket, and gives only pairs whose sketches and sizes allow
-   the similarity, in the first bucket they share. These are confirmed on full sets, too. So every
-   pair that shares a bucket is linked, or in one component, or known to be below the threshold.
+   the similarity, in the first bucket they share. Here a second odd sketch decides, of the set
+   itself, with 8 to 16 bits a shingle: the population count of two XORs never exceeds the size of
+   the symmetric difference, so it rejects no similar pair, and is close to it. What is left is
+   confirmed on full sets, too. So every pair that shares a bucket is linked, or in one component,
+   or known to be below the threshold.
 
 A pair at the threshold shares no bucket with a chance of 3e-6 and fails the sketch test with
 less; both shrink quickly above it. A group of copies takes work in proportion to its size. Where
@@ -46,6 +49,8 @@ SAMPLES = 320
 SKETCH_BITS = 1024
 MOST_DIFFERENT = 172  # sketch bits; at 80 % similarity 113 are expected, with a deviation of 12
 BLOCK = 1_024
+MOST_BITS = 1 << 20  # of the bitmap of one set
+PARITY_BYTES = 1 << 22  # of bitmaps that are compared together
 SORTED_AT_ONCE = 1 << 15  # hashes of pairs that are compared together
 _SCALE = (stream64(SAMPLES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (stream64(SAMPLES, 22) >> np.uint64(32)).astype(np.uint32)
@@ -157,6 +162,29 @@ def _possible(pairs, nodes, percent):
     return _with_nodes(pairs, nodes, "sketch").filter(sized).filter(different <= MOST_DIFFERENT).select("a", "b")
 
 
+def parity_bits(shingles):
+    """Parity bitmap of a set, of 8 to 16 bits a shingle (a power of two, from 64 up to MOST_BITS)."""
+    size = min(MOST_BITS, max(64, 1 << (8 * len(shingles) - 1).bit_length()))
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differences(a, b):
+    """Population counts of the XORs of parity bitmaps, pair by pair; the larger is folded to the smaller."""
+    out, sizes = np.zeros(len(a), np.int64), np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    for one, other in np.unique(sizes, axis=0):
+        pairs, least = np.flatnonzero((sizes == (one, other)).all(axis=1)), min(one, other)
+        step = max(1, PARITY_BYTES // int(max(one, other)))
+        for at in range(0, len(pairs), step):
+            part = pairs[at : at + step]
+            sides = [
+                np.bitwise_xor.reduce(np.frombuffer(b"".join(side[i] for i in part), np.uint64).reshape(len(part), -1, least // 8), axis=1)
+                for side in (a, b)
+            ]
+            out[part] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1)
+    return out
+
+
 def _block_pairs(left, right, same, key, percent):
     """Indices of the pairs of two blocks that are in different components and may be similar."""
     most = np.uint16(MOST_DIFFERENT)
@@ -171,7 +199,12 @@ def _block_pairs(left, right, same, key, percent):
     i, j = np.nonzero(may)
     shared = left["keys"][i] == right["keys"][j]
     first = left["keys"][i, shared.argmax(axis=1)] if len(i) else np.zeros(0, np.int64)
-    return i[first == key], j[first == key]
+    i, j = i[first == key], j[first == key]
+    if len(i):  # 100 * both >= percent * (both + different), and both = (n_i + n_j - different) / 2
+        different = _differences([left["parity"][k] for k in i], [right["parity"][k] for k in j])
+        near = (100 - percent) * (left["n"][i] + right["n"][j]) >= (100 + percent) * different
+        i, j = i[near], j[near]
+    return i, j
 
 
 def _compare_blocks(percent):
@@ -189,8 +222,10 @@ def _compare_blocks(percent):
             "sketch": table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_BITS // 64),
         }
         left, right = ({name: c[rows] for name, c in columns.items()} for rows in (first, second))
-        i, j = _block_pairs(left, right, x == y, key, percent)
+        parity = table["parity"].to_pylist()
         prints = table["print"].combine_chunks()
+        left, right = ({**c, "parity": [parity[k] for k in rows]} for c, rows in ((left, first), (right, second)))
+        i, j = _block_pairs(left, right, x == y, key, percent)
         return pa.RecordBatch.from_arrays([prints.take(pa.array(first[i])), prints.take(pa.array(second[j]))], ["a", "b"])
 
     def run(batches):
@@ -224,14 +259,15 @@ def signatures(df, id_col="doc_id", text_col="text", width=WIDTH):
 
 def _prints_and_sets(width):
     def run(column):
-        prints, sets = [], []
+        prints, sets, parity = [], [], []
         for shingles in shingle_sets(column, width):
             sets.append(shingles.tobytes())
+            parity.append(parity_bits(shingles))
             prints.append(hashlib.blake2b(sets[-1], digest_size=16).digest())
         release_memory()
-        return pa.StructArray.from_arrays([pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], ["print", "shingles"])
+        return pa.StructArray.from_arrays([pa.array(c, pa.binary()) for c in (prints, sets, parity)], ["print", "shingles", "parity"])
 
-    return F.arrow_udf(run, "struct<print: binary, shingles: binary>")
+    return F.arrow_udf(run, "struct<print: binary, shingles: binary, parity: binary>")
 
 
 def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
@@ -251,7 +287,7 @@ def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(some, F.col("id") == F.col("class_id"), "left_semi")
     sets = texts.select(_prints_and_sets(width)("text").alias("s")).select("s.*")
-    sets = sets.groupBy("print").agg(F.any_value("shingles").alias("shingles"))
+    sets = sets.groupBy("print").agg(F.any_value("shingles").alias("shingles"), F.any_value("parity").alias("parity"))
     nodes = written(heads.select("print", "n", "keys", "sketch").join(sets, "print"), "nodes")
     # stars
     ranked = members.join(mates, "print")
@@ -267,7 +303,8 @@ def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
     others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     units = named.select("key", "print", F.xxhash64("root").alias("place"), "block", others)
     units = units.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "place", "print")
-    units = units.join(nodes.select("print", "n", "keys", "sketch"), "print").select("key", "x", "y", "block", "place", "print", "n", "keys", "sketch")
+    units = units.join(nodes.select("print", "n", "keys", "sketch", "parity"), "print")
+    units = units.select("key", "x", "y", "block", "place", "print", "n", "keys", "sketch", "parity")
     units = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
     rest = units.mapInArrow(_compare_blocks(percent), "a binary, b binary")
     more = written(_linked(rest, nodes, percent), "links")

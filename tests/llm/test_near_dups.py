@@ -89,10 +89,29 @@ def test_block_pairs_are_all_that_sketches_allow(seed):
     base = rng.integers(-(2**63), 2**63, 16)
     sketch = np.array([base ^ np.where(rng.random(16) < 0.5, np.int64(1) << rng.integers(0, 64, 16), 0) for _ in range(40)])
     one = {"n": np.full(40, 9), "root": np.arange(40), "keys": np.full((40, N.BANDS), 5), "sketch": sketch.view(np.uint64)}
+    one["parity"] = [N.parity_bits(np.arange(9, dtype=np.uint64))] * 40
     i, j = N._block_pairs(one, one, True, 5, 80)
     assert len(i) == 40 * 39 // 2  # at most 32 bits differ in any pair
 
 
+def test_parity_bitmaps_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sets = []
+    for n in (1, 7, 60, 64, 65, 500, 3_000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        for share in (1.0, 0.9, 0.8, 0.5):
+            kept = base[: max(1, int(n * share))]
+            sets.append(np.unique(np.concatenate((kept, rng.integers(0, 2**63, n - len(kept)).astype(np.uint64)))))
+    pairs = [(a, b) for a in sets for b in sets]
+    true = np.array([len(np.setxor1d(a, b)) for a, b in pairs])
+    found = N._differences([N.parity_bits(a) for a, _ in pairs], [N.parity_bits(b) for _, b in pairs])
+    assert (found <= true).all()
+    alike = np.array([0.8 <= len(a) / len(b) <= 1.25 for a, b in pairs])
+    assert (found >= 0.6 * true)[alike].all()
+
+
 def test_sketches_estimate_similarity():
     import numpy as np
 

@@ -20,8 +20,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.llm.tables import documents, own_name, without, written
+from shelfcast.session import shared_dir
 
 LIMIT_BYTES = 64 << 20
+QUERY_LIMIT_BYTES = 1 << 20  # of the registered query: shards that are read in one request, and that also small tables have several of
 CELL_BITS = 12
 CELL_DIGITS = CELL_BITS // 4
 PART_DIGITS = 12
@@ -102,8 +104,20 @@ def write_shards(assigned, path, file_format="parquet"):
     named.repartition("shard").write.partitionBy("shard").format(file_format).save(path)
 
 
+def read_shards(spark, path, text_col="text", file_format="parquet"):
+    """The rows of written shards with n_bytes, shard, depth and shard_bytes, all from what is in the files."""
+    rows = spark.read.format(file_format).load(path)
+    rows = rows.withColumn("shard", F.expr("substring(shard, 2)")).withColumn("depth", F.length("shard"))
+    rows = rows.withColumn("n_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
+    sizes = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
+    return rows.join(sizes, "shard")
+
+
 def op7_hash_shards(spark, sf_dir):
-    return assign(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *ADDED)
+    """All documents are written in shards; the columns come from the shards as read back."""
+    path = shared_dir(spark, "shards")
+    write_shards(assign(documents(spark, sf_dir).select("doc_id", "text"), limit=QUERY_LIMIT_BYTES).select("doc_id", "text", "shard"), path)
+    return read_shards(spark, path).select("doc_id", *ADDED)
 
 
 OP7_SQL = f"""
@@ -112,7 +126,7 @@ WITH d AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
 e AS (SELECT doc_id, n_bytes, h, unnest(range(0, 49)) AS depth FROM d),
 b AS (SELECT depth, h >> CAST(48 - depth AS BIGINT) AS p, sum(n_bytes) AS bytes, count(*) AS n FROM e GROUP BY 1, 2),
 f AS (SELECT e.doc_id, min(e.depth) AS depth FROM e JOIN b ON e.depth = b.depth AND (e.h >> CAST(48 - e.depth AS BIGINT)) = b.p
-    WHERE b.bytes <= {LIMIT_BYTES} OR b.n = 1 GROUP BY e.doc_id)
+    WHERE b.bytes <= {QUERY_LIMIT_BYTES} OR b.n = 1 GROUP BY e.doc_id)
 SELECT d.doc_id, d.n_bytes, array_to_string(list_transform(range(0, f.depth), lambda i: CAST((d.h >> CAST(47 - i AS BIGINT)) & 1 AS VARCHAR)), '') AS shard,
     CAST(f.depth AS INT) AS depth, CAST(b.bytes AS BIGINT) AS shard_bytes
 FROM d JOIN f ON d.doc_id = f.doc_id JOIN b ON b.depth = f.depth AND b.p = (d.h >> CAST(48 - f.depth AS BIGINT))

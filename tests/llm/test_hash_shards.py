@@ -55,3 +55,13 @@ def test_odd_rows_and_writing(spark, odd_docs, no_docs, tmp_path):
 def test_native(docs):
     plan = H.assign(docs, limit=9_000).agg(F.max("depth"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_shards_hold_what_they_were_given(spark, docs, tmp_path):
+    path = str(tmp_path / "shards")
+    assigned = H.assign(docs, limit=60_000)
+    H.write_shards(assigned.drop("n_bytes", "depth", "shard_bytes"), path)
+    back = H.read_shards(spark, path)
+    columns = ["doc_id", "text", "lang", "source", "n_chars", *H.ADDED]
+    assert sorted(map(tuple, back.select(*columns).collect())) == sorted(map(tuple, assigned.select(*columns).collect()))
+    assert len({r["depth"] for r in back.select("depth").distinct().collect()}) > 1

@@ -79,12 +79,15 @@ def sales_history(history, target, days=None, order=()):
     ``days`` keeps the latest day and that many days before it; ``None`` keeps all.
     """
     rows = history.select(*KEY, *[c for c in order if c not in KEY], F.col(target).alias("y"))
-    rows = rows.filter(F.col("date").isNotNull())
-    if days is not None:
-        rows = trailing_days(rows, int(days) + 1)
+    rows = trailing_history(rows.filter(F.col("date").isNotNull()), days)
     return keep_last(rows, KEY, order).select(*KEY, "y")
 
 
+def trailing_history(rows, days):
+    """The latest day and ``days`` days before it; ``None`` keeps all."""
+    return rows if days is None else trailing_days(rows, int(days) + 1)
+
+
 def sales_lag_roll(history, requests, gap=0):
     """Lag 28 and 14-day mean for every distinct (store, item, date) in ``requests``.
 

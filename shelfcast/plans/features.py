@@ -176,16 +176,26 @@ class FeatureEstimator(Estimator, _GapParams):
                 "item_nbr": not_null(as_id(history, "item_nbr"), "item_nbr"),
             }
         )
+        days = self.getOrDefault(self.sales_history_days)
+        return self._fitted(spark, rolling.sales_history(typed, target, days, self.order), key_counts(typed), target)
+
+    def fit_daily(self, daily, first=None, last=None):
+        """The fit of the rows that ``daily`` (a ``DailyState``) has added up, of all days or from
+        ``first`` to ``last``, without reading the rows again."""
+        days = self.getOrDefault(self.sales_history_days)
+        past = rolling.trailing_history(daily.history(first, last), days)
+        return self._fitted(daily.spark, past, daily.counts(first, last), daily.target)
+
+    def _fitted(self, spark, sales_hist, counts, target):
         t, gap = self.tables, self.gap
         days = self.getOrDefault(self.sales_history_days)
         path = self.state_dir or shared_dir(spark, "features")
-        sales_hist = rolling.sales_history(typed, target, days, self.order)
         # First everything that reads large tables; the other state tables are then small
         # joins over these written results.
         parts = write_tables(
             path,
             sales_hist=clustered(sales_hist) if self.cluster_history else sales_hist,
-            counts=key_counts(typed),
+            counts=counts,
             rolls=rolling.transactions_roll(_until(t.transactions, self.as_of), gap),
             oil=rolling.oil_roll(_until(t.oil, self.as_of)),
             observed=holidays.observed(_until(t.holidays, self.as_of)),

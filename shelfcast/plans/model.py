@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
@@ -117,11 +117,22 @@ def _split_report(labelled, sizes, latest):
     return report
 
 
+def _kind(learner):
+    """What the metadata call a learner: the class of its last stage."""
+    stages = learner.getStages() if hasattr(learner, "getStages") else [learner]
+    return type(stages[-1]).__name__
+
+
 def train(sales, tables, run_dir, config=TrainConfig(), order=(), data_signature=None,
-          feature_cols=None):
+          feature_cols=None, learner=None, daily=None):
     """Fits features and model on the train part, measures on the test part, and writes model,
     feature state, feature list and metadata under ``run_dir``. Returns the metadata.
 
+    ``learner`` is an estimator over the model matrix that predicts ``y_pred_log`` from the
+    feature columns by name and fits a stage which can be saved in a pipeline (by default,
+    boosted trees). With ``daily`` (a ``DailyState`` that holds the days of the train part) the
+    features are fitted from its sums instead of the rows.
+
     The train matrix is written to the shared folder before boosting: each boosting round
     reads it again, and a written table survives the loss of executors without redoing the
     joins.
@@ -135,26 +146,32 @@ def train(sales, tables, run_dir, config=TrainConfig(), order=(), data_signature
         raise ValueError(f"a part has no rows: {counts} of the days up to {report['max_date']}")
     train_rows, _, test_rows = time_split(data, sizes, latest=latest)
 
-    features = FeatureEstimator(
+    estimator = FeatureEstimator(
         tables=tables,
         sales_history_days=config.sales_history_days,
         feature_gap_days=config.feature_gap_days,
         order=order,
         state_dir=f"{run_dir}/state",
         cluster_history=True,
-    ).fit(train_rows)
+    )
+    if daily is None:
+        features = estimator.fit(train_rows)
+    else:
+        days = [dt.date.fromisoformat(report[f"train_{end}_date"]) for end in ("min", "max")]
+        features = estimator.fit_daily(daily, *days)
     train_x = features.transform(train_rows)
     cols = list(feature_cols or MODEL_FEATURES)
 
     matrix_dir = shared_dir(spark, "train-matrix")
     align(train_x, cols, ["unit_sales_log"]).write.parquet(matrix_dir)
-    model = regressor(cols, config).fit(spark.read.parquet(matrix_dir))
+    fitted = (learner or regressor(cols, config)).fit(spark.read.parquet(matrix_dir))
+    model = fitted if isinstance(fitted, PipelineModel) else PipelineModel(stages=[fitted])
 
     scored = score(features.transform(test_rows), model, cols, ["unit_sales_log"])
     metrics = holdout_metrics(scored).drop("n_rows").first().asDict()
     metadata = {
         "trained_at": dt.datetime.now().isoformat(timespec="seconds"),
-        "model_type": MODEL_TYPE,
+        "model_type": MODEL_TYPE if learner is None else _kind(learner),
         "weeks_window": config.weeks_window,
         **report,
         "n_features": len(cols),

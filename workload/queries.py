@@ -21,14 +21,16 @@ from shelfcast.operators.metrics import regression_metrics, worst_errors
 from shelfcast.operators.sampling import exact_sample
 from shelfcast.operators.split import fit_sizes_to, fitted_sizes, label_split, split_info, time_split
 from shelfcast.plans import features as M
+from shelfcast.plans.daily import DailyState
 from shelfcast.plans.evaluate import evaluate
-from shelfcast.plans.forecast import forecast_grid, forecast_period
-from shelfcast.plans.jobs import run_if_new
+from shelfcast.plans.forecast import forecast_grid, forecast_period, forecast_point
+from shelfcast.plans.formula import formula
+from shelfcast.plans.jobs import build_now, run_if_new
 from shelfcast.plans.model import MODEL_FEATURES, TrainConfig, align, numeric_features, score, train
 from shelfcast.session import shared_dir
 from shelfcast.sources import readers
-from shelfcast.sources.artifacts import export_csv
-from shelfcast.sources.fingerprint import row_hash_sum
+from shelfcast.sources.artifacts import export_csv, load_metadata, read_json
+from shelfcast.sources.fingerprint import FileHashes, content_fingerprint, row_hash_sum, total_signature
 from shelfcast.sources.registry import RunRegistry
 from workload import sql as W
 from workload import views as V
@@ -1144,3 +1146,164 @@ def forecast_next_days(spark, sf_dir):
     return forecast_period(run, *_grid(spark, sf_dir)).select(
         "date", "store_nbr", "item_nbr", "onpromotion", _predicted()
     )
+
+
+# ---------------------------------------------------------------- a published formula
+# The same way from training to forecast with a model whose predictions SQL can work out.
+
+FORMULA = {"sales_roll14": 0.45, "sales_lag28": 0.2, "onpromo": 0.3, "store_freq": 4.0, "item_freq": -2.5, "is_weekend": 0.125,
+           "is_holiday_effective": 0.25, "oil_roll14": 0.01, "transactions_roll14": 0.002, "dow": -0.015}
+INTERCEPT = 0.75
+_LOG_SQL = " + ".join([f"CAST({INTERCEPT} AS DOUBLE)", *(f"CAST({w} AS DOUBLE) * coalesce({c}, 0)" for c, w in FORMULA.items())])
+_PREDICTED = f"{_LOG_SQL} AS y_pred_log, exp(least(greatest({_LOG_SQL}, -50), 50)) - 1 AS y_pred"
+# The published run is fitted on the days before the gap and the test part.
+_TRAIN_PART = f""",
+    f_train AS (SELECT * FROM d_sales WHERE date < {_TEST_DAYS} - 3),
+    f_test AS (SELECT * FROM d_pos WHERE date >= {_TEST_DAYS}),
+    f_grid AS (SELECT CAST(m.latest + k AS DATE) AS date, store_nbr, item_nbr, false AS onpromotion
+        FROM d_stores CROSS JOIN d_items CROSS JOIN (SELECT max(date) AS latest FROM d_sales) m
+        CROSS JOIN (SELECT CAST(unnest(range(1, {_GRID_DAYS + 1})) AS INT) AS k) d),
+    f_point AS (SELECT CAST(max(date) + 1 AS DATE) AS date, CAST(7 AS BIGINT) AS store_nbr, CAST(11 AS BIGINT) AS item_nbr, true AS onpromotion FROM d_sales)"""
+
+
+def _formula_sql(requests):
+    return _TRAIN_PART + W.features("f_train", requests, GAP, ALL_DAYS)
+
+
+def _published_formula(spark, sf_dir):
+    """The dense sales as a Parquet source, and the formula published by the scheduled job."""
+    root = shared_dir(spark, "registry")
+    V.dense_sales(spark, sf_dir).write.parquet(f"{root}/sales")
+    tables = V.dense_tables(spark, sf_dir)
+    run_if_new(spark, f"{root}/sales", tables, root, CONFIG, V.ORDER, learner=formula(FORMULA, INTERCEPT))
+    return RunRegistry(spark, root)
+
+
+@query(
+    "formula_scores",
+    f"SELECT {', '.join(ROW_ID)}, round(y_pred_log, 6) + 0.0 AS y_pred_log, round(y_pred, 6) + 0.0 AS y_pred FROM (SELECT *, {_PREDICTED} FROM enriched) q",
+    _formula_sql("f_test"),
+)
+def formula_scores(spark, sf_dir):
+    """Predictions of a published, loaded model for the last days."""
+    run = _published_formula(spark, sf_dir).load_latest()
+    last_days = P.trailing_days(V.dense_sales(spark, sf_dir), 14)
+    scored = score(run.features.enrich(last_days), run.model, run.feature_cols, ROW_ID)
+    return rounded(scored.select(*ROW_ID, "y_pred_log", "y_pred"))
+
+
+@query(
+    "formula_metrics",
+    f"""SELECT {_metric_sql('y_log', 'y_pred_log', 'log')}, {_metric_sql('y', 'y_pred', 'raw')},
+        round(avg(y), 4) AS Mean_y_true_raw, round(avg(y_pred), 4) AS Mean_y_pred_raw, count(*) AS n_rows
+        FROM scored CROSS JOIN (SELECT avg(y_log) AS mean_y_log, avg(y) AS mean_y FROM scored) m""",
+    _formula_sql("f_test") + f", scored AS (SELECT unit_sales_pos AS y, ln(1 + unit_sales_pos) AS y_log, {_PREDICTED} FROM enriched)",
+)
+def formula_metrics(spark, sf_dir):
+    """The evaluation of the latest run, all rows of the latest days, both spaces."""
+    run = _published_formula(spark, sf_dir).load_latest()
+    return rounded(evaluate(V.dense_sales(spark, sf_dir), run).metrics, 4)
+
+
+@query(
+    "formula_worst",
+    f"""SELECT date, store_nbr, item_nbr, onpromotion, round(y, 6) + 0.0 AS y_true_unit_sales, round(y_pred, 6) + 0.0 AS y_pred_unit_sales,
+        round(abs(y - y_pred), 6) + 0.0 AS abs_err FROM scored ORDER BY abs(y - y_pred) DESC, date, store_nbr, item_nbr, onpromotion LIMIT 200""",
+    _formula_sql("f_test") + f", scored AS (SELECT *, unit_sales_pos AS y, {_PREDICTED} FROM enriched)",
+)
+def formula_worst(spark, sf_dir):
+    """The evaluation's list of the rows with the largest errors."""
+    run = _published_formula(spark, sf_dir).load_latest()
+    return rounded(evaluate(V.dense_sales(spark, sf_dir), run).worst)
+
+
+@query(
+    "formula_period",
+    f"""SELECT date, store_nbr, item_nbr, onpromotion, round(y_pred_log, 6) + 0.0 AS y_pred_log, round(y_pred, 6) + 0.0 AS y_pred
+        FROM (SELECT *, {_PREDICTED} FROM enriched) q""",
+    _formula_sql("f_grid"),
+)
+def formula_period(spark, sf_dir):
+    run = _published_formula(spark, sf_dir).load_latest()
+    return rounded(forecast_period(run, *_grid(spark, sf_dir)).select("date", "store_nbr", "item_nbr", "onpromotion", "y_pred_log", "y_pred"))
+
+
+@query(
+    "forecast_point",
+    f"""SELECT date, store_nbr, item_nbr, onpromotion, round(y_pred_log, 6) + 0.0 AS y_pred_log, round(y_pred, 6) + 0.0 AS y_pred
+        FROM (SELECT *, {_PREDICTED} FROM enriched) q""",
+    _formula_sql("f_point"),
+)
+def point_forecast(spark, sf_dir):
+    """One request: a store, an item, the day after the latest, on promotion."""
+    run = _published_formula(spark, sf_dir).load_latest()
+    day = P.last_day(V.dense_sales(spark, sf_dir)) + dt.timedelta(days=1)
+    return rounded(forecast_point(spark, run, day, 7, 11, True).select("date", "store_nbr", "item_nbr", "onpromotion", "y_pred_log", "y_pred"))
+
+
+@query(
+    "build_summary",
+    f"""SELECT CAST({len(MODEL_FEATURES)} AS BIGINT) AS n_features, 'FormulaModel' AS model_type, true AS same_as_metadata,
+        true AS same_run, CAST(5200 AS BIGINT) AS weeks_window, {_metric_sql('y', 'y_pred', 'raw')}, count(*) AS n_test
+        FROM scored CROSS JOIN (SELECT avg(y) AS mean_y FROM scored) m""",
+    _formula_sql("f_test") + f", scored AS (SELECT unit_sales_pos AS y, {_PREDICTED} FROM enriched)",
+)
+def build_summary(spark, sf_dir):
+    """What the unconditional build writes, read back from its files: the summary and the run's metadata."""
+    root = shared_dir(spark, "registry")
+    V.dense_sales(spark, sf_dir).write.parquet(f"{root}/sales")
+    build_now(spark, f"{root}/sales", V.dense_tables(spark, sf_dir), root, CONFIG, order=V.ORDER, learner=formula(FORMULA, INTERCEPT))
+    summary = read_json(spark, f"{root}/build_summary.json")
+    metadata = load_metadata(spark, summary["latest"]["run_dir"])
+    newest = RunRegistry(spark, root).latest()
+    row = (
+        metadata["n_features"],
+        metadata["model_type"],
+        summary["metrics"] == metadata,
+        newest["run_id"] == summary["latest"]["run_id"],
+        summary["config"]["weeks_window"],
+        *(metadata[f"{m}_raw"] for m in ("RMSE", "MAE", "R2")),
+        metadata["n_test"],
+    )
+    kinds = "n_features bigint, model_type string, same_as_metadata boolean, same_run boolean, weeks_window bigint, RMSE_raw double, MAE_raw double, R2_raw double, n_test bigint"
+    return rounded(spark.createDataFrame([row], kinds), 4)
+
+
+@query(
+    "daily_fit",
+    f"SELECT {', '.join(ROW_ID)}, {_FEATURE_SQL} FROM enriched",
+    f""",
+    h_span AS (SELECT * FROM d_sales WHERE {_AGED} BETWEEN 1 AND 90),
+    h_last AS (SELECT * FROM d_sales WHERE {_AGED} <= 13)"""
+    + W.features("h_span", "h_last", GAP, 60),
+)
+def daily_fit(spark, sf_dir):
+    """Features fitted from daily sums, which took the days in two steps, for the last days."""
+    sales = add_target(V.dense_sales(spark, sf_dir))
+    latest = P.last_day(sales)
+    span = sales.filter(F.col("date").between(F.lit(latest - dt.timedelta(days=90)), F.lit(latest - dt.timedelta(days=1))))
+    daily = DailyState(spark, shared_dir(spark, "daily"), order=V.ORDER)
+    daily.add_new(span.filter(F.col("date") < F.lit(latest - dt.timedelta(days=7))))
+    daily.add_new(span)
+    fit = M.FeatureEstimator(tables=V.dense_tables(spark, sf_dir), feature_gap_days=GAP, sales_history_days=60, order=V.ORDER).fit_daily(daily)
+    return rounded(fit.transform(P.trailing_days(V.dense_sales(spark, sf_dir), 14)).select(*ROW_ID, *M.FEATURES))
+
+
+@query(
+    "file_hashes",
+    "SELECT CAST(date AS DATE) AS date, count(*) AS n_rows, true AS same_as_scan, CAST(0 AS BIGINT) AS files_read_again FROM d_sales GROUP BY date",
+)
+def file_hashes(spark, sf_dir):
+    """The source's days from kept file hashes, after one more file, compared with a scan of all rows."""
+    root = shared_dir(spark, "hashes")
+    sales = V.dense_sales(spark, sf_dir).select(*R.KEY, "onpromotion", "unit_sales")
+    latest = P.last_day(sales)
+    hashes = FileHashes(spark, f"{root}/table")
+    sales.filter(F.col("date") < F.lit(latest)).write.parquet(f"{root}/sales")
+    hashes.update(f"{root}/sales", readers.coerce_sales)
+    sales.filter(F.col("date") == F.lit(latest)).coalesce(1).write.mode("append").parquet(f"{root}/sales")
+    days = hashes.update(f"{root}/sales", readers.coerce_sales)
+    again = hashes.scanned - 1
+    scan = content_fingerprint(readers.coerce_sales(spark.read.parquet(f"{root}/sales")))
+    same = total_signature(days) == scan
+    return days.select("date", "n_rows", F.lit(same).alias("same_as_scan"), F.lit(again).cast("bigint").alias("files_read_again"))

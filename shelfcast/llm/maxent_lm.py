@@ -16,9 +16,13 @@ MOST_DIGITS digits; words that share a cell share it by their counts), and weigh
 tokens, up to MOST_ROWS.
 
 Training. Counts are one grouped aggregate over words (64-bit hashes), combined in the tasks first.
-The softmax is trained in ROUNDS rounds over disjoint parts of all training documents: each task
-takes gradient steps (Adagrad) on its part from the shared weights, and a grouped sum averages the
-rows that tasks have changed, by how often they used them. The second factor is trained likewise.
+The softmax starts from the classes' shares and is trained in ROUNDS rounds over disjoint parts of
+all training documents. In a round every task adds up, at the same weights, how often each weight
+row saw each class and how often the model expected it; their difference is the gradient. A grouped
+sum over the tasks gives one scaled step, STEP * log((seen + PRIOR) / (expected + PRIOR)), which to
+first order is the gradient over the expected count. As tasks only add up, the step does not depend
+on how many there are or which rows they hold. The second factor is trained likewise. A task takes
+about TASK_TOKENS tokens, so that what it sends stays in proportion to what it read.
 What the driver receives is bounded: the weights, bucket statistics, the sums of cells and the
 KNOWN most frequent words.
 
@@ -49,7 +53,9 @@ ROWS = 1 << 14
 ROUNDS = 2
 KNOWN = 100_000
 BATCH = 2_048
-RATE = 0.1
+STEP = 0.4
+PRIOR = 1.0
+TASK_TOKENS = 1 << 22
 HELD_OUT = 2
 DIGIT = 16
 MOST_DIGITS = 4
@@ -132,54 +138,43 @@ def _softmax(weights, bias, rows):
 
 
 class Learner:
-    """Gradient steps on a part of the documents, from given weights."""
-
-    def __init__(self, weights, bias, rate=RATE):
-        self.weights, self.bias, self.rate = weights.copy(), bias.copy(), rate
-        self.used = np.zeros(len(weights) + 1, np.int64)
-        self._past, self._past_bias = np.full_like(weights, 1e-4), np.full_like(bias, 1e-4)
-
-    def step(self, rows, classes):
-        n = len(classes)
-        p = _softmax(self.weights, self.bias, rows)
-        p[np.arange(n), classes] -= 1
-        self._descend(rows, p)
-        whole = p.sum(axis=0) / np.float32(np.sqrt(n))
-        self._past_bias += whole * whole
-        self.bias -= self.rate * whole / np.sqrt(self._past_bias)
-        self.used[-1] += n
-
-    def _descend(self, rows, p):
-        """A step of the weight rows against ``p``, the gradient of each token's logits."""
-        n = len(p)
-        flat = rows.ravel()
+    """Adds up the gradient of a part of the documents at given weights."""
+
+    def __init__(self, weights, bias):
+        self.start, self.bias = weights, bias
+        self.seen = np.zeros(weights.shape, np.int32)
+        self.expected = np.zeros(weights.shape)
+
+    @property
+    def weights(self):
+        """The weights after a step with this part alone."""
+        return self.start + (STEP * np.log((self.seen + PRIOR) / (self.expected + PRIOR))).astype(np.float32)
+
+    def add(self, rows, p, taken):
+        """Tokens with the weight rows ``rows``, probabilities ``p`` and outcomes ``taken``."""
+        n, flat = len(p), rows.ravel()
+        np.add.at(self.seen.reshape(-1), flat.astype(np.int64) * p.shape[1] + np.tile(taken, len(flat) // n), 1)
         order = np.argsort(flat, kind="stable" if flat.itemsize == 2 else None)
         ranked = flat[order]
         first = np.concatenate(([0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1))
         touched, times = ranked[first], np.diff(np.append(first, len(ranked)))
         order %= n
-        gradient = p.take(order[first], axis=0)
+        sums = p.take(order[first], axis=0)
         many = np.flatnonzero(times > 1)
         if len(many):
             # the rows used more than once, side by side
             inside = np.repeat(times > 1, times)
             starts = np.concatenate(([0], np.cumsum(times[many])[:-1]))
-            gradient[many] = np.add.reduceat(p.take(order[inside], axis=0), starts, axis=0)
-        gradient /= np.sqrt(times)[:, None].astype(np.float32)
-        past = self._past.take(touched, axis=0)
-        past += gradient * gradient
-        self._past[touched] = past
-        gradient *= np.float32(self.rate)
-        gradient /= np.sqrt(past, out=past)
-        self.weights[touched] = self.weights.take(touched, axis=0) - gradient
-        self.used[touched] += times
+            sums[many] = np.add.reduceat(p.take(order[inside], axis=0), starts, axis=0)
+        self.expected[touched] += sums
 
     def learn(self, column, codes):
         for _, hashes, buckets, bounds in tokens(column):
             code = codes.of(hashes, buckets)
             rows, classes = features(code, bounds, codes.start), codes.classes[code]
             for at in range(0, len(code), BATCH):
-                self.step(rows[:, at : at + BATCH], classes[at : at + BATCH])
+                part = rows[:, at : at + BATCH]
+                self.add(part, _softmax(self.start, self.bias, part), classes[at : at + BATCH])
 
 
 class Within(NamedTuple):
@@ -228,10 +223,10 @@ def contexts(hashes, bounds):
 
 
 class WithinLearner(Learner):
-    """Gradient steps of the second factor."""
+    """Adds up the gradient of the second factor."""
 
-    def __init__(self, within, rate=RATE):
-        super().__init__(within.weights, np.zeros(DIGIT, np.float32), rate)
+    def __init__(self, within):
+        super().__init__(within.weights, None)
         self.within = within
 
     def learn(self, column, codes):
@@ -242,9 +237,8 @@ class WithinLearner(Learner):
                 here = inside[a : a + BATCH]
                 nodes, taken, _ = self.within.places(hashes[here], classes[here] - HEAD - 1)
                 rows = self.within.rows(keys[:, here], nodes)
-                p = _softmax(self.weights, self.within.offsets.take(nodes.ravel(), axis=0), rows)
-                p[np.arange(len(p)), taken.ravel()] -= 1
-                self._descend(rows, p)
+                p = _softmax(self.start, self.within.offsets.take(nodes.ravel(), axis=0), rows)
+                self.add(rows, p, taken.ravel())
 
 
 def group_buckets(together, groups, rounds=12):
@@ -321,41 +315,44 @@ def _preceded(head):
 
 
 def _learned(shared):
-    """The weight rows that a task has changed: (row, times used, scale, change in steps of the scale)."""
+    """The sums of a task by weight row: (row, seen, scale, expected in steps of the scale)."""
 
     def run(batches):
         codes, kind, *given = shared.value
         learner = kind(*given)
-        weights, bias, width = given[0].weights if kind is WithinLearner else given[0], learner.bias.copy(), learner.weights.shape[1]
+        width = learner.start.shape[1]
         for b in batches:
             learner.learn(b.column(0), codes)
-        touched = np.flatnonzero(learner.used)
+        touched = np.flatnonzero(learner.seen.any(axis=1))
         for a in range(0, len(touched), 1 << 15):
             rows = touched[a : a + (1 << 15)]
-            inside = rows[rows < len(weights)]
-            change = learner.weights[inside] - weights[inside]
-            if len(inside) < len(rows):
-                change = np.concatenate((change, (learner.bias - bias)[None]))
-            # in steps of a 32,767th of the row's largest change, as each task sends most rows
-            scale = np.maximum(np.abs(change).max(axis=1), np.float32(1e-30)) / np.float32(32_767)
-            steps = np.rint(change / scale[:, None]).astype(np.int16)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32()), pa.array(steps.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(learner.used[rows]), pa.array(scale), lists], ["row", "used", "scale", "change"])
+            expected = learner.expected[rows]
+            # in steps of a 32,767th of the row's largest sum, as each task sends most rows
+            scale = np.maximum(expected.max(axis=1), 1e-30) / 32_767
+            steps = np.rint(expected / scale[:, None]).astype(np.int16)
+            at = pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32())
+            seen, expected = (pa.ListArray.from_arrays(at, pa.array(v.ravel())) for v in (learner.seen[rows], steps))
+            yield pa.RecordBatch.from_arrays([pa.array(rows), seen, pa.array(scale), expected], ["row", "seen", "scale", "expected"])
 
     return run
 
 
-def _round(texts, given):
-    """(rows, change) of one round: the mean change of each weight row over the tasks, by how often they used it."""
+def _round(texts, weights, tokens_read, given):
+    """The weights after one round's step, from the sums of all tasks."""
     shared = texts.sparkSession.sparkContext.broadcast(given)
-    width = (given[2].weights if given[1] is WithinLearner else given[2]).shape[1]
-    learned = texts.mapInArrow(_learned(shared), "row bigint, used bigint, scale float, change array<smallint>")
+    width = weights.shape[1]
+    parts = texts.coalesce(max(1, -(-tokens_read // TASK_TOKENS)))
+    learned = parts.mapInArrow(_learned(shared), "row bigint, seen array<int>, scale double, expected array<smallint>")
     learned = learned.repartition("row")  # before the sums, which are wider
-    weight = F.col("used") * F.col("scale").cast("double")
-    change = [(F.sum(weight * F.col("change")[k]) / F.sum("used")).cast("float").alias(f"d{k}") for k in range(width)]
-    moved = learned.groupBy("row").agg(*change).toArrow()
-    rows = moved["row"].to_numpy()
-    return rows, np.stack([moved[f"d{k}"].to_numpy() for k in range(width)], axis=1) if len(rows) else np.zeros((0, width), np.float32)
+    step = [
+        (STEP * F.log((F.sum(F.col("seen")[k]) + PRIOR) / (F.sum(F.col("scale") * F.col("expected")[k]) + PRIOR))).cast("float").alias(f"d{k}")
+        for k in range(width)
+    ]
+    moved = learned.groupBy("row").agg(*step).toArrow()
+    weights = weights.copy()
+    if len(moved):
+        weights[moved["row"].to_numpy()] += np.stack([moved[f"d{k}"].to_numpy() for k in range(width)], axis=1)
+    return weights
 
 
 class Model(NamedTuple):
@@ -371,6 +368,12 @@ class Model(NamedTuple):
     distinct: int
 
 
+def _parts(docs, text_col, rounds):
+    """The texts of each round: disjoint parts, by hash, which together are all documents."""
+    part = F.pmod(F.xxhash64(text_col), F.lit(rounds))
+    return [docs.select(text_col).filter(part == number) for number in range(rounds)]
+
+
 def fit(docs, counts, text_col="text", rounds=ROUNDS):
     """A model from all ``docs``; ``counts`` is their written table of word counts."""
     top = counts.orderBy(F.desc("c"), "h").limit(KNOWN).toArrow()
@@ -394,15 +397,9 @@ def fit(docs, counts, text_col="text", rounds=ROUNDS):
         mass[codes.classes[codes.start + 1 + r["bucket"]]] -= r["c"] + 1
         mass[np.searchsorted(head, np.array([r["h"]], np.int64).view(np.uint64)[0])] += r["c"] + 1
     mass[: HEAD + 1] = np.maximum(mass[: HEAD + 1], 1)
-    weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
-    part = F.pmod(F.xxhash64(text_col), F.lit(rounds))
-    for number in range(rounds):
-        texts = docs.select(text_col).filter(part == number) if rounds > 1 else docs.select(text_col)
-        rows, change = _round(texts, (codes, Learner, weights, bias))
-        weights, bias = weights.copy(), bias.copy()
-        inside = rows < ROWS
-        weights[rows[inside]] += change[inside]
-        bias += change[~inside].sum(axis=0)
+    weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.log(np.maximum(mass, 1) / np.maximum(mass, 1).sum()).astype(np.float32)
+    for texts in _parts(docs, text_col, rounds):
+        weights = _round(texts, weights, int(sums["n"] or 0) // rounds, (codes, Learner, weights, bias))
     order = np.argsort(hashes)
     return Model(codes, weights, bias, mass, hashes[order], frequency[order], int(sums["n"] or 0), int(sums["v"]))
 
@@ -439,13 +436,8 @@ def fit_within(docs, model, counts, text_col="text", rounds=ROUNDS):
     while size < min(MOST_ROWS, digits * model.tokens):
         size *= 2
     within = Within(digits, np.concatenate(offsets), cells, np.zeros((size, DIGIT), np.float32))
-    part = F.pmod(F.xxhash64(text_col), F.lit(rounds))
-    for number in range(rounds):
-        texts = docs.select(text_col).filter(part == number) if rounds > 1 else docs.select(text_col)
-        rows, change = _round(texts, (model.codes, WithinLearner, within))
-        weights = within.weights.copy()
-        weights[rows] += change
-        within = within._replace(weights=weights)
+    for texts in _parts(docs, text_col, rounds):
+        within = within._replace(weights=_round(texts, within.weights, model.tokens // rounds, (model.codes, WithinLearner, within)))
     return within
 
 

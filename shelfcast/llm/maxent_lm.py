@@ -127,14 +127,25 @@ def features(codes, bounds, start):
 
 
 def _softmax(weights, bias, rows):
-    logits = weights.take(rows[0], axis=0)
-    logits += bias
-    for r in rows[1:]:
-        logits += weights.take(r, axis=0)
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    """Probabilities of each token; ``weights`` of None are zero."""
+    if weights is None:
+        logits = np.array(np.broadcast_to(bias, (rows.size // len(rows), bias.shape[-1])))
+    else:
+        logits = weights.take(rows[0], axis=0)
+        logits += bias
+        for r in rows[1:]:
+            logits += weights.take(r, axis=0)
+    ones = np.ones(logits.shape[1], np.float32)
+    with np.errstate(over="ignore"):
+        p = np.exp(logits)
+    sums = p @ ones
+    if len(p) and not (1e-20 < sums.min() and sums.max() < 1e30):
+        # beyond single precision: relative to each token's largest
+        logits -= logits.max(axis=1, keepdims=True)
+        p = np.exp(logits)
+        sums = p @ ones
+    p /= sums[:, None]
+    return p
 
 
 class Learner:
@@ -142,8 +153,18 @@ class Learner:
 
     def __init__(self, weights, bias):
         self.start, self.bias = weights, bias
-        self.seen = np.zeros(weights.shape, np.int32)
-        self.expected = np.zeros(weights.shape)
+        self._given = weights if weights.any() else None
+        self._seen = np.zeros(weights.size, np.int64)
+        self._waiting, self._size = [], 0
+        self.expected = np.zeros(weights.shape, np.float32)
+
+    @property
+    def seen(self):
+        """How often each weight row saw each outcome."""
+        if self._waiting:
+            self._seen += np.bincount(np.concatenate(self._waiting), minlength=len(self._seen))
+            self._waiting, self._size = [], 0
+        return self._seen.reshape(self.start.shape)
 
     @property
     def weights(self):
@@ -153,7 +174,11 @@ class Learner:
     def add(self, rows, p, taken):
         """Tokens with the weight rows ``rows``, probabilities ``p`` and outcomes ``taken``."""
         n, flat = len(p), rows.ravel()
-        np.add.at(self.seen.reshape(-1), flat.astype(np.int64) * p.shape[1] + np.tile(taken, len(flat) // n), 1)
+        cells = (rows.reshape(-1, n).astype(np.int32) * np.int32(p.shape[1]) + taken.astype(np.int32)).ravel()
+        self._waiting.append(cells)
+        self._size += len(cells)
+        if self._size > len(self._seen):
+            self.seen  # counted in one go
         order = np.argsort(flat, kind="stable" if flat.itemsize == 2 else None)
         ranked = flat[order]
         first = np.concatenate(([0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1))
@@ -166,7 +191,8 @@ class Learner:
             inside = np.repeat(times > 1, times)
             starts = np.concatenate(([0], np.cumsum(times[many])[:-1]))
             sums[many] = np.add.reduceat(p.take(order[inside], axis=0), starts, axis=0)
-        self.expected[touched] += sums
+        sums += self.expected.take(touched, axis=0)
+        self.expected[touched] = sums
 
     def learn(self, column, codes):
         for _, hashes, buckets, bounds in tokens(column):
@@ -174,7 +200,7 @@ class Learner:
             rows, classes = features(code, bounds, codes.start), codes.classes[code]
             for at in range(0, len(code), BATCH):
                 part = rows[:, at : at + BATCH]
-                self.add(part, _softmax(self.start, self.bias, part), classes[at : at + BATCH])
+                self.add(part, _softmax(self._given, self.bias, part), classes[at : at + BATCH])
 
 
 class Within(NamedTuple):
@@ -237,7 +263,7 @@ class WithinLearner(Learner):
                 here = inside[a : a + BATCH]
                 nodes, taken, _ = self.within.places(hashes[here], classes[here] - HEAD - 1)
                 rows = self.within.rows(keys[:, here], nodes)
-                p = _softmax(self.start, self.within.offsets.take(nodes.ravel(), axis=0), rows)
+                p = _softmax(self._given, self.within.offsets.take(nodes.ravel(), axis=0), rows)
                 self.add(rows, p, taken.ravel())
 
 
@@ -331,7 +357,7 @@ def _learned(shared):
             scale = np.maximum(expected.max(axis=1), 1e-30) / 32_767
             steps = np.rint(expected / scale[:, None]).astype(np.int16)
             at = pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32())
-            seen, expected = (pa.ListArray.from_arrays(at, pa.array(v.ravel())) for v in (learner.seen[rows], steps))
+            seen, expected = (pa.ListArray.from_arrays(at, pa.array(v.ravel())) for v in (learner.seen[rows].astype(np.int32), steps))
             yield pa.RecordBatch.from_arrays([pa.array(rows), seen, pa.array(scale), expected], ["row", "seen", "scale", "expected"])
 
     return run

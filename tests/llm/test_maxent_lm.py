@@ -129,3 +129,54 @@ def test_the_second_factor_adds_up(docs):
         total = np.bincount(classes, 10**ratio * (c + 1) / model.mass[classes], minlength=M.CLASSES) + (np.arange(M.CLASSES) > M.HEAD) / model.mass
         assert np.allclose(total[model.mass > 1], 1, atol=1e-4)
         assert (np.abs(ratio).max() > 1e-3) == changes
+
+
+def test_scores_do_not_depend_on_the_tasks(docs, monkeypatch):
+    """The same documents in one, few or many tasks train the same model."""
+    scores = []
+    for parts, room in ((1, M.TASK_TOKENS), (7, 5_000), (23, 1)):
+        monkeypatch.setattr(M, "TASK_TOKENS", room)
+        given = written(docs.repartition(parts), "dealt")
+        counts = written(M.word_counts(given), "counts")
+        model = M.fit(given, counts)
+        rows = M.score(given, model, counts, ["doc_id"], within=M.fit_within(given, model, counts)).collect()
+        scores.append({r["doc_id"]: r["score"] for r in rows})
+    for other in scores[1:]:
+        assert other == pytest.approx(scores[0], rel=1e-3)
+
+
+def test_the_trained_score_equals_a_word_by_word_sum(docs):
+    """Both trained factors, one word at a time and with plain softmaxes over each word's digits."""
+    counts = written(M.word_counts(docs), "counts")
+    model = M.fit(docs, counts)
+    within = M.fit_within(docs, model, counts)
+    rows = M.score(docs, model, counts, ["doc_id", "text"], within=within).collect()
+    known = collections.Counter(t for r in docs.collect() for t in tokens(r["text"]))
+    for r in rows[:8]:
+        own, total = tokens(r["text"]), 0.0
+        for _, hashes, buckets, bounds in M.tokens(pa.array([r["text"]])):
+            codes = model.codes.of(hashes, buckets)
+            weights, keys = M.features(codes, bounds, model.codes.start), M.contexts(hashes, bounds)
+            for i, token in enumerate(own):
+                logits = (model.bias + model.weights[weights[:, i]].sum(axis=0)).astype(float)
+                k = model.codes.classes[codes[i]]
+                total += math.log10(np.exp(logits[k]) / np.exp(logits).sum())
+                if k <= M.HEAD:
+                    total += math.log10((known[token] + 1) / model.mass[k])
+                    continue
+                nodes, taken, cell = within.places(hashes[i : i + 1], np.array([k - M.HEAD - 1]))
+                for node, digit, at in zip(nodes[:, 0], taken[:, 0], within.rows(keys[:, i : i + 1], nodes).T, strict=True):
+                    logits = (within.offsets[node] + within.weights[at].sum(axis=0)).astype(float)
+                    total += math.log10(np.exp(logits[digit]) / np.exp(logits).sum())
+                total += math.log10((known[token] + 1) / within.cells[cell[0]] * (model.mass[k] - 1) / model.mass[k])
+        assert r["score"] == pytest.approx(total, rel=1e-4)
+
+
+def test_probabilities_beyond_single_precision():
+    """Logits whose exponentials overflow or vanish give the same probabilities as exact ones."""
+    weights = np.array([[0, 300, -300, 5], [-400, -390, -500, -395], [0, 0, 0, 0]], np.float32)
+    rows = np.array([[0, 1, 2]])
+    exact = weights.astype(float) - weights.max(axis=1, keepdims=True)
+    exact = np.exp(exact) / np.exp(exact).sum(axis=1, keepdims=True)
+    assert np.allclose(M._softmax(weights, np.zeros(4, np.float32), rows), exact, atol=1e-6)
+    assert np.allclose(M._softmax(None, weights[1], rows), exact[[1, 1, 1]], atol=1e-6)

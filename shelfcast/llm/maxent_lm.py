@@ -352,7 +352,7 @@ def _learned(shared):
         touched = np.flatnonzero(learner.seen.any(axis=1))
         for a in range(0, len(touched), 1 << 15):
             rows = touched[a : a + (1 << 15)]
-            expected = learner.expected[rows]
+            expected = learner.expected[rows].astype(np.float64)
             # in steps of a 32,767th of the row's largest sum, as each task sends most rows
             scale = np.maximum(expected.max(axis=1), 1e-30) / 32_767
             steps = np.rint(expected / scale[:, None]).astype(np.int16)

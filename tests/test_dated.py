@@ -1,0 +1,86 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfcast.sources import readers
+from shelfcast.sources.dated import stored_days, write_dated
+from tests.conftest import listed
+
+FIRST = dt.date(2017, 1, 1)
+
+
+@pytest.fixture
+def sales(spark):
+    """200 days; a third of all rows are of one day."""
+    rows = spark.range(6_000).withColumn("day", F.when(F.col("id") % 3 == 0, 150).otherwise(F.col("id") % 200).cast("int"))
+    return rows.select(
+        F.date_add(F.lit(FIRST), F.col("day")).alias("date"),
+        (F.col("id") % 7).alias("store_nbr"),
+        (F.col("id") % 11).alias("item_nbr"),
+        (F.col("id") % 5).cast("double").alias("unit_sales"),
+        (F.col("id") % 2 == 0).alias("onpromotion"),
+    )
+
+
+def by_column(df):
+    return sorted(map(str, listed(df.select(*readers.SALES_COLUMNS))))
+
+
+
+@pytest.mark.parametrize("weeks", [None, 1, 10, 1_000])
+def test_reads_the_same_as_a_plain_file(spark, sales, tmp_path, weeks):
+    sales.write.parquet(f"{tmp_path}/plain")
+    write_dated(sales, f"{tmp_path}/dated")
+    plain, dated = (readers.read_sales(spark, f"{tmp_path}/{k}", weeks) for k in ("plain", "dated"))
+    assert by_column(dated) == by_column(plain)
+    assert dict(dated.dtypes) == dict(plain.dtypes)
+
+
+def test_the_latest_day_comes_from_the_folders(spark, sales, tmp_path, monkeypatch):
+    path = str(tmp_path / "dated")
+    write_dated(sales, path)
+    days = stored_days(spark, path)
+    assert (days[0], days[-1], len(days)) == (FIRST, FIRST + dt.timedelta(days=199), 200)
+    monkeypatch.setattr(readers, "last_day", lambda *_: pytest.fail("the data were read"))
+    recent = readers.read_sales(spark, path, weeks=2, stores=[1, 2])
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2017-07-05" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "In(store_nbr, [1,2])" in plan
+    assert recent.select("date").distinct().count() == 15
+
+
+def test_days_are_replaced_whole(spark, sales, tmp_path):
+    path = str(tmp_path / "dated")
+    write_dated(sales, path)
+    changed = FIRST + dt.timedelta(days=150)
+    late = sales.filter(F.col("date") == changed).limit(3).withColumn("unit_sales", F.lit(99.0))
+    new = sales.limit(2).withColumn("date", F.lit(dt.date(2018, 1, 1)))
+    lost = sales.limit(4).withColumn("date", F.lit(None).cast("date"))
+    more = spark.createDataFrame(late.unionByName(new).unionByName(lost).collect(), sales.schema)
+    expected = by_column(sales.filter(F.col("date") != changed).unionByName(more.filter("date IS NOT NULL")))
+    for _ in range(2):  # a repeated call changes nothing
+        write_dated(more, path)
+        assert by_column(readers.read_sales(spark, path, None)) == expected
+    assert stored_days(spark, path)[-1] == dt.date(2018, 1, 1)
+
+
+def test_files_are_bounded(spark, sales, tmp_path):
+    path = str(tmp_path / "dated")
+    write_dated(sales, path, file_rows=500)
+    hot = spark.read.parquet(path).filter(F.col("date") == FIRST + dt.timedelta(days=150))
+    sizes = [r["n"] for r in hot.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 2_000 + 20 and max(sizes) <= 500
+
+
+def test_other_sources_have_no_stored_days(spark, sales, tmp_path):
+    sales.limit(5).write.parquet(f"{tmp_path}/plain")
+    sales.limit(5).withColumn("date", F.lit("2017-W1")).write.partitionBy("date").parquet(f"{tmp_path}/weeks")
+    for path in (f"{tmp_path}/plain", f"{tmp_path}/weeks", f"{tmp_path}/none", f"{tmp_path}/*", [f"{tmp_path}/plain"]):
+        assert stored_days(spark, path) == []
+
+
+def test_no_rows_store_no_days(spark, sales, tmp_path):
+    path = str(tmp_path / "dated")
+    write_dated(sales.limit(0), path)
+    assert stored_days(spark, path) == []

@@ -30,6 +30,7 @@ from shelfcast.plans.model import MODEL_FEATURES, TrainConfig, align, numeric_fe
 from shelfcast.session import shared_dir
 from shelfcast.sources import readers
 from shelfcast.sources.artifacts import export_csv, load_metadata, read_json
+from shelfcast.sources.dated import write_dated
 from shelfcast.sources.fingerprint import FileHashes, content_fingerprint, row_hash_sum, total_signature
 from shelfcast.sources.registry import RunRegistry
 from workload import sql as W
@@ -277,6 +278,22 @@ def last_days_window(spark, sf_dir):
     return P.trailing_days(V.natural_sales(spark, sf_dir), 14)
 
 
+@query(
+    "dated_recent",
+    """
+    SELECT v_sales.* REPLACE (CASE WHEN date >= d - 13 THEN 2 * unit_sales ELSE unit_sales END AS unit_sales)
+    FROM v_sales CROSS JOIN (SELECT max(date) AS d FROM v_sales) WHERE date >= d - 70
+    """,
+)
+def dated_recent(spark, sf_dir):
+    """Stored by day, the last two weeks then rewritten; the last ten weeks are read back."""
+    path = shared_dir(spark, "dated")
+    sales = V.natural_sales(spark, sf_dir)
+    write_dated(sales, path)
+    write_dated(P.trailing_days(sales, 14).withColumn("unit_sales", 2 * F.col("unit_sales")), path)
+    return readers.read_sales(spark, path, weeks=10)
+
+
 @query(
     "date_range_filter",
     "SELECT * FROM v_pos WHERE date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'",

@@ -48,3 +48,10 @@ def stored_days(spark, path):
             except ValueError:
                 return []  # folders that are not days: the column decides
     return sorted(days)
+
+
+def recent_days(spark, path, days, weeks):
+    """The rows of the last of ``days`` and the ``weeks`` before it; no other folder is even listed."""
+    first = days[-1] - dt.timedelta(weeks=int(weeks))
+    folders = [f"{path.rstrip('/')}/date={day.isoformat()}" for day in days if day >= first]
+    return spark.read.option("basePath", path).parquet(*folders)

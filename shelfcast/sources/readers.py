@@ -25,7 +25,7 @@ from shelfcast.functions.coerce import (
 )
 from shelfcast.operators.dedup import keep_first
 from shelfcast.operators.filters import last_day, only_members, since
-from shelfcast.sources.dated import stored_days
+from shelfcast.sources.dated import recent_days, stored_days
 
 SALES_COLUMNS = ["date", "store_nbr", "item_nbr", "onpromotion", "unit_sales"]
 
@@ -83,16 +83,17 @@ def read_sales(spark, path, weeks=10, columns=None, rename=None, stores=None, it
     The file's latest day is found first, so the period filter is a literal and reaches the
     Parquet scan; so do the store and item lists, which are applied to the file's own columns
     (an id of 0 also stands for unreadable ids, so such a list is applied after conversion).
-    Of sales stored by day (``write_dated``) the latest day is the name of a folder, and the
-    period filter leaves the other days' folders out.
+    Of sales stored by day (``write_dated``) the latest day is the name of a folder, and only
+    the folders of the period are opened.
     """
-    df = _renamed(spark.read.parquet(path), rename)
+    dated = weeks is not None and "date" not in (rename or {}).values()
+    days = stored_days(spark, path) if dated else []
+    df = _renamed(recent_days(spark, path, days, weeks) if days else spark.read.parquet(path), rename)
     if columns is not None:
         require_columns(df, columns)
         df = df.select(*columns)
     latest = None
     if weeks is not None:
-        days = [] if "date" in (rename or {}).values() else stored_days(spark, path)
         latest = days[-1] if days else last_day(coerce_sales(df))
     for name, wanted in (("store_nbr", stores), ("item_nbr", items)):
         if isinstance(wanted, (list, tuple)) and 0 not in wanted:

@@ -48,6 +48,8 @@ def test_the_latest_day_comes_from_the_folders(spark, sales, tmp_path, monkeypat
     assert "PartitionFilters: [isnotnull(date" in plan and "2017-07-05" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "In(store_nbr, [1,2])" in plan
     assert recent.select("date").distinct().count() == 15
+    folders = {f.split("date=")[1][:10] for f in recent.inputFiles()}
+    assert len(folders) == 15 and min(folders) == "2017-07-05"
 
 
 def test_days_are_replaced_whole(spark, sales, tmp_path):

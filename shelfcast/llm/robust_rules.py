@@ -5,15 +5,22 @@ duplicate lines and repeated words per 100 words) are held against a minimum-cov
 estimate of their language and source. A document is rejected if a base rule fails, or if its
 squared Mahalanobis distance is above the chi-square quantile CUTOFF.
 
-The estimate covers all documents that pass the base rules. It starts from medians and median
-deviations of each statistic; then concentration steps keep, in each language and source, the
-HALF share of documents that are nearest to the last estimate and take their mean and covariance.
-The last step reweighs: it keeps all within the 97.5 % quantile. Every step is two grouped
-aggregates over a narrow written table, so a source that holds most rows is combined on the map
-side like any other, and the number of sources may grow. Estimates are never made from nothing: a
-group's moments are joined by those of its language with the weight of PRIOR documents, and a
-language's by those of all; every variance gets the square of a fixed least spread, as most clean
-texts have no symbols at all.
+The estimate covers all documents that pass the base rules. It is made from three starts: medians
+with median deviations, the plain moments, and the moments of directions from the medians (spatial
+signs). From each, concentration steps keep, in each language and source, the HALF share of
+documents that are nearest to the last estimate and take their mean and covariance; each group goes
+on with the start whose covariance has the least determinant. A last step reweighs: it keeps all
+within the 97.5 % quantile. Every step is two grouped aggregates over a narrow written table, so a
+source that holds most rows is combined on the map side like any other, and the number of sources
+may grow. Estimates are never made from nothing: a group's moments are joined by those of its
+language with the weight of PRIOR documents, and a language's by those of all.
+
+Most clean texts have no symbols and no duplicate lines, where a covariance of the nearest is 0. So
+no variance is taken below that of all groups together: over the documents within the final limit
+of the chosen estimates, the larger of the second moment about their group's center and the normal
+spread with the same 99 % quantile. And none is below what one symbol, line or word is in the
+median text, or LEAST_LENGTH for the word length. START_SPREAD stands in for these until the
+starts are compared.
 
 A group of fewer than SMALLEST documents is too small for an estimate of its own: medians and
 limits are then those of its language, or of all if the language is as small, and its own moments
@@ -44,8 +51,10 @@ STEPS = 3
 PRIOR = 30
 SMALLEST = 20  # five documents for each statistic
 TAIL = 1e-6
-LEAST_SPREAD = (0.08, 0.5, 0.5, 0.8)
-DIMENSIONS = len(LEAST_SPREAD)
+START_SPREAD = (0.08, 0.5, 0.5, 0.8)
+LEAST_LENGTH = 0.02
+DAMP = 0.9  # share of the covariances that counts: a matrix is never singular
+DIMENSIONS = len(START_SPREAD)
 KEYS = ["g_lang", "g_source"]
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOL = np.zeros(256, bool)
@@ -142,10 +151,11 @@ def _upper_tail(x, degrees):
     return math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(degrees // 2))
 
 
-def _precision(covariance):
-    """Inverse matrices of an Arrow column of covariances, row by row of each matrix."""
+def _inverse(covariance):
+    """Inverse matrices and log determinants of an Arrow column of covariances, row by row of each matrix."""
     flat = np.array(covariance.to_pylist(), float).reshape(-1, DIMENSIONS, DIMENSIONS)
-    return pa.array(list(np.linalg.inv(flat).reshape(len(flat), -1)), pa.list_(pa.float64()))
+    inverse = pa.array(list(np.linalg.inv(flat).reshape(len(flat), -1)), pa.list_(pa.float64()))
+    return pa.StructArray.from_arrays([inverse, pa.array(np.linalg.slogdet(flat)[1])], ["precision", "volume"])
 
 
 def _distance():
@@ -193,8 +203,11 @@ def _by_level(rows, groups, aggregate):
     return table.select(*KEYS, value.alias("value"))
 
 
-def _estimate(moments, groups, factor):
-    """Center and precision of every group from the moments of its kept documents; None if none is kept at all."""
+def _estimate(moments, groups, factor, least=START_SPREAD):
+    """Center, precision and log determinant of every group from the moments of its kept documents; None if none is kept at all.
+
+    No variance is below the square of its ``least`` spread.
+    """
     names = [c for c in moments.columns if c not in KEYS]
     named = moments.withColumnsRenamed({"g_lang": "m_lang", "g_source": "m_source"})
     on = F.col("g_lang").eqNullSafe(F.col("m_lang")) & F.col("g_source").eqNullSafe(F.col("m_source"))
@@ -214,10 +227,10 @@ def _estimate(moments, groups, factor):
     for i in range(DIMENSIONS):
         for j in range(DIMENSIONS):
             spread = F.col(f"p{min(i, j)}{max(i, j)}") / F.col("n") - center[i] * center[j]
-            cell.append(factor * spread + (LEAST_SPREAD[i] ** 2 if i == j else 0.0))
+            cell.append(F.greatest(factor * spread, F.lit(float(least[i]) ** 2)) if i == j else DAMP * factor * spread)
     table = table.select("g_lang", "g_source", F.array(*center).alias("center"), F.array(*cell).alias("covariance"))
-    inverse = F.arrow_udf(_precision, "array<double>")
-    return written(table.withColumn("precision", inverse("covariance")).drop("covariance"), "mcd")
+    inverse = F.arrow_udf(_inverse, "struct<precision: array<double>, volume: double>")
+    return written(table.withColumn("inverse", inverse("covariance")).select(*KEYS, "center", "inverse.*"), "mcd")
 
 
 def _at(rows, estimates):
@@ -227,35 +240,74 @@ def _at(rows, estimates):
     return rows.join(named, on, "left").drop("e_lang", "e_source")
 
 
-def fit(rows, lang_col="lang", source_col="source"):
+def _measured(good, estimates):
+    return _at(good, estimates.select(*KEYS, "center", "precision")).withColumn("distance", _distance()).drop("precision")
+
+
+def _starts(good, groups):
+    """Three first estimates: medians and their deviations, plain moments, moments of directions."""
+    xs = [f"x{i}" for i in range(DIMENSIONS)]
+    middle = _by_level(good, groups, F.array(*[F.percentile_approx(x, 0.5) for x in xs])).withColumnRenamed("value", "center")
+    middle = written(middle, "mcd-middle")
+    off = [F.col(x) - F.col("center")[i] for i, x in enumerate(xs)]
+    deviation = _by_level(_at(good, middle), groups, F.array(*[F.percentile_approx(F.abs(o), 0.5) for o in off]))
+    variance = [(F.col("value")[i] * 1.4826) ** 2 + START_SPREAD[i] ** 2 for i in range(DIMENSIONS)]
+    cells = [1 / variance[i] if i == j else F.lit(0.0) for i in range(DIMENSIONS) for j in range(DIMENSIONS)]
+    medians = written(_at(deviation, middle).select(*KEYS, "center", F.array(*cells).alias("precision")), "mcd")
+    length = F.sqrt(_distance())
+    to_sphere = F.when(length > 0, 1 / length).otherwise(0.0)
+    signs = _at(good, medians).withColumn("shrink", to_sphere)
+    signs = signs.select(*KEYS, *[(F.col("center")[i] + o * F.col("shrink")).alias(x) for i, (x, o) in enumerate(zip(xs, off, strict=True))])
+    return medians, _estimate(_moments(good, *KEYS), groups, 1.0), _estimate(_moments(signs, *KEYS), groups, float(DIMENSIONS))
+
+
+def concentrate(good, groups, estimates):
+    """One concentration step: estimates of the HALF share that is nearest to the given ones."""
+    measured = _measured(good, estimates).drop("center")
+    limit = _by_level(measured, groups, F.percentile_approx("distance", HALF)).withColumnRenamed("value", "limit")
+    factor = HALF / (1 - _upper_tail(chi_square_quantile(1 - HALF), DIMENSIONS + 2))
+    return _estimate(_moments(_at(measured, limit).filter("distance <= limit"), *KEYS), groups, factor)
+
+
+def _least_spread(good, measured, tail):
+    """The least spread of each statistic, from the documents of all groups (see the module)."""
+    off = [F.col(f"x{i}") - F.col("center")[i] for i in range(DIMENSIONS)]
+    normal = 2.575829  # the 99 % quantile of the absolute value of a normal variable
+    squares = [F.avg(o * o).alias(f"square{i}") for i, o in enumerate(off)]
+    ends = [F.percentile_approx(F.abs(o), 0.99, 100_000).alias(f"end{i}") for i, o in enumerate(off)]
+    near = measured.filter(F.col("distance") <= chi_square_quantile(tail)).agg(*squares, *ends).first()
+    words = good.agg(F.percentile_approx("n_words", 0.5)).first()[0]
+    if words is None or near["square0"] is None:
+        return START_SPREAD
+    one = [LEAST_LENGTH] + [math.log1p(100 / words)] * (DIMENSIONS - 1)
+    return tuple(max(one[i], math.sqrt(near[f"square{i}"]), near[f"end{i}"] / normal) for i in range(DIMENSIONS))
+
+
+def fit(rows, lang_col="lang", source_col="source", tail=TAIL):
     """Estimates for each language and source, from a table with the statistics and ``base_failed``."""
     xs = [f"x{i}" for i in range(DIMENSIONS)]
     good = rows.filter(~F.col("base_failed"))
-    good = good.select(F.col(lang_col).alias("g_lang"), F.col(source_col).alias("g_source"), *[v.alias(x) for x, v in zip(xs, vector(), strict=True)])
-    good = written(good, "mcd-vectors")
+    values = [v.alias(x) for x, v in zip(xs, vector(), strict=True)]
+    good = written(good.select(F.col(lang_col).alias("g_lang"), F.col(source_col).alias("g_source"), "n_words", *values), "mcd-vectors")
     groups = written(_levels(good), "mcd-groups")
-    middle = _by_level(good, groups, F.array(*[F.percentile_approx(x, 0.5) for x in xs])).withColumnRenamed("value", "center")
-    middle = written(middle, "mcd-middle")
-    off = [F.abs(F.col(x) - F.col("center")[i]) for i, x in enumerate(xs)]
-    spread = _by_level(_at(good, middle), groups, F.array(*[F.percentile_approx(o, 0.5) for o in off]))
-    cells = [
-        1 / ((F.col("value")[i] * 1.4826) ** 2 + LEAST_SPREAD[i] ** 2) if i == j else F.lit(0.0)
-        for i in range(DIMENSIONS)
-        for j in range(DIMENSIONS)
-    ]
-    estimates = written(_at(spread, middle).select(*KEYS, "center", F.array(*cells).alias("precision")), "mcd")
-    nearest = chi_square_quantile(1 - HALF)
-    for step in range(STEPS + 1):
-        measured = _at(good, estimates).withColumn("distance", _distance()).drop("center", "precision")
-        if step < STEPS:
-            limit = _by_level(measured, groups, F.percentile_approx("distance", HALF)).withColumnRenamed("value", "limit")
-            near = _at(measured, limit).filter("distance <= limit")
-            factor = HALF / (1 - _upper_tail(nearest, DIMENSIONS + 2))
-        else:
-            near = measured.filter(F.col("distance") <= chi_square_quantile(0.025))
-            factor = 0.975 / (1 - _upper_tail(chi_square_quantile(0.025), DIMENSIONS + 2))
-        estimates = _estimate(_moments(near, *KEYS), groups, factor) or estimates
-    return estimates
+    found = None
+    for start, estimates in enumerate(_starts(good, groups)):
+        for _ in range(STEPS if estimates is not None else 0):
+            estimates = concentrate(good, groups, estimates)
+            if estimates is None:
+                break
+        if estimates is not None:
+            one = estimates.select(*KEYS, F.struct("volume", F.lit(start).alias("start"), "center", "precision").alias("one"))
+            found = one if found is None else found.union(one)
+    if found is None:  # no document passes the base rules
+        return good.select(*KEYS, F.array(F.lit(0.0)).alias("center"), F.array(F.lit(0.0)).alias("precision"))
+    best = written(found.groupBy(*KEYS).agg(F.min("one").alias("one")).select(*KEYS, "one.*"), "mcd")
+    measured = _measured(good, best)
+    least = _least_spread(good, measured, tail)
+    factor = 0.975 / (1 - _upper_tail(chi_square_quantile(0.025), DIMENSIONS + 2))
+    near = measured.filter(F.col("distance") <= chi_square_quantile(0.025))
+    estimates = _estimate(_moments(near, *KEYS), groups, factor, least)
+    return (best if estimates is None else estimates).select(*KEYS, "center", "precision")
 
 
 def judge(rows, estimates, lang_col="lang", source_col="source", tail=TAIL):

@@ -119,3 +119,92 @@ def test_a_group_without_an_estimate_is_an_error(spark):
     estimates = R.fit(rows.filter("source <> 's0'"))
     with pytest.raises(Exception, match="no estimate"):
         R.judge(rows, estimates).collect()
+
+
+def graded(spark, column, per_hundred):
+    """A clean document of 200 words with so many of a statistic."""
+    row = dict.fromkeys(R.STATISTICS, 0) | {"n_words": 200, "word_chars": 990, column: 2 * per_hundred}
+    values = [(7, "en", "hot", *[row[c] for c in R.STATISTICS], False, False)]
+    return spark.createDataFrame(values, ["doc_id", "lang", "source", *R.STATISTICS, "base_failed", "bad"])
+
+
+def test_each_statistic_rejects_alone(spark):
+    estimates = R.fit(scattered(spark).filter("not bad")).cache()
+
+    def kept(column, share):
+        return R.judge(graded(spark, column, share), estimates).first()["kept"]
+
+    for column in ("n_symbols", "n_dup_lines", "n_repeat_words"):
+        assert kept(column, 1)
+        assert not kept(column, 15)
+    assert not kept("word_chars", 300) and not kept("word_chars", 800) and kept("word_chars", 500)
+
+
+def test_a_tail_that_clean_documents_have_is_not_rejected(spark):
+    """Where one text in twenty repeats a fifth of its words, the estimate lets such a text pass."""
+    rows = scattered(spark).filter("not bad")
+    rows = rows.withColumn("n_repeat_words", F.expr("IF(doc_id % 20 = 1, n_words DIV 5, 0)"))
+    judged = R.judge(rows, R.fit(rows))
+    assert judged.filter("not kept").count() == 0
+
+
+def numpy_estimate(x, words):
+    """The estimate of one group that is all there is, so that blending changes nothing."""
+    upper, d = R._upper_tail, R.DIMENSIONS
+
+    def distances(center, precision, points):
+        off = points - center
+        return np.einsum("ij,jk,ik->i", off, precision, off)
+
+    def moments(points, factor, least):
+        cov = factor * np.cov(points.T, bias=True)
+        diagonal = np.maximum(np.diag(cov), np.square(least))
+        cov = R.DAMP * cov
+        np.fill_diagonal(cov, diagonal)
+        return points.mean(0), np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
+    def median(values):
+        return np.sort(values, axis=0)[(len(values) + 1) // 2 - 1]
+
+    middle = median(x)
+    first = np.diag(1 / ((1.4826 * median(np.abs(x - middle))) ** 2 + np.square(R.START_SPREAD)))
+    length = np.sqrt(distances(middle, first, x))[:, None]
+    sphere = middle + (x - middle) / np.where(length > 0, length, np.inf)
+    found = []
+    for center, precision in ((middle, first), moments(x, 1.0, R.START_SPREAD)[:2], moments(sphere, float(d), R.START_SPREAD)[:2]):
+        for _ in range(R.STEPS):
+            dist = distances(center, precision, x)
+            limit = np.sort(dist)[int(np.ceil(R.HALF * len(x))) - 1]
+            factor = R.HALF / (1 - upper(R.chi_square_quantile(1 - R.HALF), d + 2))
+            center, precision, volume = moments(x[dist <= limit], factor, R.START_SPREAD)
+        found.append((volume, center, precision))
+    _, center, precision = min(found, key=lambda f: f[0])
+    dist = distances(center, precision, x)
+    off = x[dist <= R.chi_square_quantile(R.TAIL)] - center
+    ends = np.sort(np.abs(off), axis=0)[int(np.ceil(0.99 * len(off))) - 1] / 2.575829
+    one = [R.LEAST_LENGTH, *[np.log1p(100 / median(words))] * (d - 1)]
+    least = np.maximum(np.maximum(np.sqrt((off**2).mean(0)), ends), one)
+    near = R.chi_square_quantile(0.025)
+    return moments(x[dist <= near], 0.975 / (1 - upper(near, d + 2)), least)[:2]
+
+
+def test_one_group_equals_numpy(spark):
+    rng = np.random.default_rng(8)
+    data = []
+    for i in range(400):
+        n = int(rng.integers(80, 300))
+        chars = int(n * np.exp(rng.normal(1.6, 0.1)))
+        repeats = int(rng.integers(0, n // 5)) if i % 3 else 0
+        data.append((i, "en", "a", n, chars, int(rng.integers(0, 9)) + (2 * n if i % 9 == 0 else 0), i % 4, repeats, False))
+    rows = spark.createDataFrame(data, ["doc_id", "lang", "source", *R.STATISTICS, "base_failed"])
+    got = R.fit(rows).first()
+    counts = np.array([r[3:8] for r in data], float)
+    x = np.c_[np.log(counts[:, 1] / counts[:, 0]), np.log1p(100 * counts[:, 2:] / counts[:, :1])]
+    center, precision = numpy_estimate(x, counts[:, 0])
+    assert got["center"] == pytest.approx(center, rel=1e-6)
+    assert np.reshape(got["precision"], (4, 4)) == pytest.approx(precision, rel=1e-6, abs=1e-6)
+
+
+def test_no_document_passes_the_base_rules(spark):
+    rows = scattered(spark, 30).withColumn("base_failed", F.lit(True))
+    assert R.judge(rows, R.fit(rows)).filter("not kept and distance is null").count() == 30

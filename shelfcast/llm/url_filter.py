@@ -3,8 +3,9 @@
 A rule is a host and a path prefix; it fits its host and all subdomains, and the longest fitting
 rule decides. URLs that no rule fits get the verdict of a logistic regression on the character
 n-grams (3 to 6 bytes, lower-cased) of host and path, hashed into a table for each; a field's
-n-grams are scaled to length 1. The model is fitted in numpy from a small table of labelled URLs, so
-nothing grows with the input: URLs are judged one by one, without a shuffle.
+n-grams are scaled to length 1. The model is fitted in numpy from a small table of labelled URLs (an
+argument; of a larger one MOST_LABELLED rows are taken), so nothing grows with the input: URLs are
+judged one by one, without a shuffle, and a long one in pieces.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, which no rule fits
 and the model judges by its bias; repeated rows are judged alike; of fitting rules of equal length
@@ -13,111 +14,43 @@ the first in code point order decides; columns of the input with names of added
 
 from __future__ import annotations
 
+import csv
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.tables import without
-from shelfcast.llm.textops import utf8
-from shelfcast.llm.toxicity import BUCKET_BITS, grams, spaced
+from shelfcast.llm.tables import bounded_batches, without
+from shelfcast.llm.textops import LOWER, SPACE, release_memory, slices, utf8
+from shelfcast.llm.toxicity import BUCKET_BITS, SIZES, grams, spaced
 
 SHARE = 0.1
+MOST_LABELLED = 20_000  # labelled URLs that a fit takes
+PIECE = 1 << 18  # bytes of a URL that are looked at together
 ADDED = ("host", "path", "rule", "verdict", "block_score")
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
-#: The labelled URLs, 1 to block and 0 to allow.
-LABELLED = (
-    ("http://ads.banner-network.example.test/en/120", 1),
-    ("https://ad-track.popup-media.test/de/5.html", 1),
-    ("http://track.pixel-ads.example.test/fr/871#top", 1),
-    ("https://blog.adserver.tracking-hub.test/es/14/", 1),
-    ("http://www.click-tracker-ads.example.test/en/66?page=2&ref=x", 1),
-    ("https://online-casino.test/en/18?utm_source=feed", 1),
-    ("http://m.casino-royal-win.example.test/de/77", 1),
-    ("https://blog.casino-slots.test/en/2021/05/9.html", 1),
-    ("http://www.poker-bets.example.test/en/120", 1),
-    ("https://free-bet-bonus.test/de/5.html", 1),
-    ("http://m.sports-bets-odds.example.test/fr/871#top", 1),
-    ("https://blog.win-jackpot-lotto.test/es/14/", 1),
-    ("http://www.adult-video-cams.example.test/en/66?page=2&ref=x", 1),
-    ("https://xxx-adult.test/en/18?utm_source=feed", 1),
-    ("http://m.adult-x-chat.example.test/de/77", 1),
-    ("https://blog.porn-tube-x.test/en/2021/05/9.html", 1),
-    ("http://www.sexy-dating-now.example.test/en/120", 1),
-    ("https://cheap-pills-online.test/de/5.html", 1),
-    ("http://m.discount-viagra-pills.example.test/fr/871#top", 1),
-    ("https://blog.buy-cheap-meds.test/es/14/", 1),
-    ("http://www.weight-loss-pills.example.test/en/66?page=2&ref=x", 1),
-    ("https://spam-links-farm.test/en/18?utm_source=feed", 1),
-    ("https://content-farm.example.test/en/31", 1),
-    ("http://www.spam-blogs.test/de/8", 1),
-    ("http://m.link-farm-seo.example.test/de/77", 1),
-    ("https://blog.bulk-spam-mailer.test/en/2021/05/9.html", 1),
-    ("http://www.free-download-crack.example.test/en/120", 1),
-    ("https://warez-torrent-free.test/de/5.html", 1),
-    ("http://m.malware-phish-login.example.test/fr/871#top", 1),
-    ("https://blog.clickbait-viral.test/es/14/", 1),
-    ("http://www.replica-watches-cheap.example.test/en/66?page=2&ref=x", 1),
-    ("https://payday-loans-fast.test/en/18?utm_source=feed", 1),
-    ("http://m.get-rich-quick.example.test/de/77", 1),
-    ("http://www.city-news.example.test/en/120", 0),
-    ("https://gardener.test/de/5.html", 0),
-    ("http://m.recipes.kitchen.example.test/fr/871#top", 0),
-    ("https://blog.university.test/es/14/", 0),
-    ("http://www.library.museum.example.test/en/66?page=2&ref=x", 0),
-    ("https://docs.software.test/en/18?utm_source=feed", 0),
-    ("http://m.encyclopedia.example.test/de/77", 0),
-    ("https://blog.weather.test/en/2021/05/9.html", 0),
-    ("http://forum.cyclists.example.test/en/120", 0),
-    ("https://journal-medicine.test/de/5.html", 0),
-    ("http://m.railway.example.test/fr/871#top", 0),
-    ("https://blog.bookstore.test/es/14/", 0),
-    ("http://www.school-district.example.test/en/66?page=2&ref=x", 0),
-    ("https://theatre.test/en/18?utm_source=feed", 0),
-    ("http://m.travel.mountains.example.test/de/77", 0),
-    ("https://blog.government.test/en/2021/05/9.html", 0),
-    ("http://www.hospital.health.example.test/en/120", 0),
-    ("https://orchestra.test/de/5.html", 0),
-    ("http://m.thornton.example.test/fr/871#top", 0),
-    ("https://blog.heronshire.test/es/14/", 0),
-    ("http://www.tiana.example.test/en/66?page=2&ref=x", 0),
-    ("https://restoring.test/en/18?utm_source=feed", 0),
-    ("http://m.eastnight.example.test/de/77", 0),
-    ("https://blog.inherent.test/en/2021/05/9.html", 0),
-    ("http://www.thatcher.example.test/en/120", 0),
-    ("https://northern.test/de/5.html", 0),
-    ("http://m.lyonesse.example.test/fr/871#top", 0),
-    ("https://blog.shandor.test/es/14/", 0),
-    ("http://www.stationery.example.test/en/66?page=2&ref=x", 0),
-    ("https://bletchley.test/en/18?utm_source=feed", 0),
-    ("http://m.winter-garden.example.test/de/77", 0),
-    ("https://blog.tracker-boats.test/en/2021/05/9.html", 0),
-    ("http://www.freedom-park.example.test/en/120", 0),
-    ("https://farmers-market.test/de/5.html", 0),
-    ("http://m.adelaide.example.test/fr/871#top", 0),
-    ("http://anthony.example.test/en/66?page=2&ref=x", 0),
-    ("https://www.thesis.test/en/120", 0),
-    ("http://m.theory.example.test/es/14/", 0),
-    ("https://blog.heather.example.test/fr/871#top", 0),
-    ("http://another.example.test/de/5.html", 0),
-    ("https://www.tithes.test/en/18?utm_source=feed", 0),
-    ("http://m.leather.example.test/de/77", 0),
-    ("https://blog.theorem.example.test/en/9/", 0),
-    ("http://bathing.example.test/en/66?page=2&ref=x", 0),
-    ("https://www.weather.test/en/120", 0),
-    ("http://m.station.example.test/es/14/", 0),
-    ("https://blog.nations.example.test/fr/871#top", 0),
-    ("http://editions.example.test/de/5.html", 0),
-    ("https://www.therapy.test/en/18?utm_source=feed", 0),
-    ("http://m.thousand.example.test/de/77", 0),
-    ("https://blog.thunder.example.test/en/9/", 0),
-    ("http://thirst.example.test/en/66?page=2&ref=x", 0),
-    ("https://www.lithe.test/en/120", 0),
-    ("http://m.ethnic.example.test/es/14/", 0),
-    ("https://blog.theatres.example.test/fr/871#top", 0),
-)
+#: Labelled URLs (url, label; 1 to block, 0 to allow), for callers that have no table of their own.
+LABELLED_FILE = os.path.join(os.path.dirname(__file__), "labelled_urls.csv")
+
+
+def labelled_urls(path=LABELLED_FILE):
+    """(url, label) pairs of a CSV file with these columns."""
+    with open(path, newline="", encoding="utf-8") as file:
+        return [(r["url"], int(r["label"])) for r in csv.DictReader(file)]
+
+
+def sampled_urls(labelled, most=MOST_LABELLED):
+    """(url, label) pairs of a table: all of them, or the ``most`` of the smallest hashes.
+
+    Rows without a url or a label, or with a label other than 0 and 1, are left out.
+    """
+    rows = labelled.select(F.col("url").cast("string").alias("url"), F.col("label").cast("int").alias("label"))
+    rows = rows.filter("url IS NOT NULL AND label IN (0, 1)").distinct()
+    return [tuple(r) for r in rows.orderBy(F.xxhash64("url"), "url", "label").limit(int(most)).collect()]
 
 
 def split_url(url):
@@ -157,35 +90,71 @@ def _parts(column):
     return rows, buckets, 1.0 / np.sqrt(np.maximum(counts, 1))
 
 
+def _pieces(data):
+    """(stream, positions that start n-grams) of one long text, as ``spaced`` has it, in overlapping pieces."""
+    size, more = len(data) + 2, max(SIZES) - 1
+    for at in range(0, size, PIECE):
+        to = min(size, at + PIECE + more)
+        piece = np.full(to - at, 0x20, np.uint8)
+        inside = LOWER[data[max(at - 1, 0) : min(to - 1, len(data))]]
+        begin = 1 if at == 0 else 0
+        piece[begin : begin + len(inside)] = inside
+        piece[SPACE[piece]] = 0x20
+        yield piece, min(PIECE, size - at)
+
+
+def field_sums(column, table):
+    """Sum of the n-grams' weights of each text of an Arrow column, scaled to length 1."""
+    sums, counts = np.zeros(len(column)), np.zeros(len(column), np.int64)
+    for at, to, data, offsets in slices(column, PIECE):
+        if to - at == 1:
+            for stream, starts in _pieces(data):
+                for bucket, valid in grams(stream):
+                    valid = valid[:starts]
+                    sums[at] += table[bucket[:starts][valid]].sum(dtype=np.float64)
+                    counts[at] += np.count_nonzero(valid)
+            continue
+        stream, bounds = spaced(data, offsets)
+        for bucket, valid in grams(stream):
+            begin = np.flatnonzero(valid)
+            row = np.searchsorted(bounds[:-1], begin + 1, "right") - 1
+            sums[at:to] += np.bincount(row, table[bucket[begin]], minlength=to - at)
+            counts[at:to] += np.bincount(row, minlength=to - at)
+    return sums / np.sqrt(np.maximum(counts, 1))
+
+
 def url_scores(host, path, model):
     """Probabilities of ``block`` for Arrow columns of hosts and paths."""
     bias, *tables = model
-    logit = np.full(len(host), bias)
-    for column, table in zip((host, path), tables, strict=True):
-        rows, buckets, scale = _parts(column)
-        logit += np.bincount(rows, table[buckets], minlength=len(column)) * scale
-    return 1 / (1 + np.exp(-logit))
+    logit = bias + sum(field_sums(column, table) for column, table in zip((host, path), tables, strict=True))
+    return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def fit(labelled=LABELLED, rounds=2000, rate=5.0, decay=1e-5, share=SHARE):
-    """Weights from (url, label) pairs by gradient descent over all of them.
+def fit(labelled=None, rounds=2000, rate=5.0, decay=1e-5, share=SHARE):
+    """Weights from (url, label) pairs (by default those of LABELLED_FILE) by gradient descent over all of them.
 
-    ``share`` is the share of URLs to block that is expected among those to judge; the classes weigh
-    the same in the fit.
+    ``share`` is the share of URLs to block that is expected among those to judge, and so the score of one
+    without a known n-gram; the classes weigh the same in the fit.
     """
+    labelled = labelled_urls() if labelled is None else list(labelled)
     parts = [_split(u) for u, _ in labelled]
     y = np.array([label for _, label in labelled], float)
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
-    fields = [_parts(pa.array([p[i] for p in parts])) for i in (0, 1)]
-    bias, tables = 0.0, [np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)]
-    columns = [pa.array([p[i] for p in parts]) for i in (0, 1)]
+    fields = [_parts(pa.array([p[i] for p in parts], pa.string())) for i in (0, 1)]
+    used, cells = zip(*[np.unique(buckets, return_inverse=True) for _, buckets, _ in fields], strict=True)
+    weights = [np.zeros(len(u)) for u in used]
     for _ in range(rounds):
-        off = (url_scores(*columns, (bias, *tables)) - y) * weight
-        bias -= off.sum()
-        for table, (rows, buckets, scale) in zip(tables, fields, strict=True):
-            table *= 1 - rate * decay
-            table -= rate * np.bincount(buckets, off[rows] * scale[rows], minlength=len(table))
-    return (bias + math.log(share / (1 - share)), *[t.astype(np.float32) for t in tables])
+        logit = np.zeros(len(y))
+        for own, cell, (rows, _, scale) in zip(weights, cells, fields, strict=True):
+            logit += np.bincount(rows, own[cell], minlength=len(y)) * scale
+        off = (1 / (1 + np.exp(-logit)) - y) * weight
+        for own, cell, (rows, _, scale) in zip(weights, cells, fields, strict=True):
+            own *= 1 - rate * decay
+            own -= rate * np.bincount(cell, off[rows] * scale[rows], minlength=len(own))
+    tables = [np.zeros(1 << BUCKET_BITS, np.float32) for _ in used]
+    for table, at, own in zip(tables, used, weights, strict=True):
+        table[at] = own
+    return (math.log(share / (1 - share)), *tables)
 
 
 def _split(url):
@@ -195,11 +164,22 @@ def _split(url):
     return host, path[: min([path.find(c) for c in "?#" if c in path] + [len(path)])]
 
 
-def judge(df, url_col="url", rules=RULES, labelled=LABELLED, threshold=0.5):
-    """The table with host, path, rule, block_score and verdict (the rule's, else the model's)."""
+def judge(df, url_col="url", rules=RULES, labelled=None, threshold=0.5):
+    """The table with host, path, rule, block_score and verdict (the rule's, else the model's).
+
+    ``labelled`` is a table with url and label, or (url, label) pairs; without it LABELLED_FILE is read.
+    """
     df = without(df, *ADDED)
-    model = df.sparkSession.sparkContext.broadcast(fit(labelled))
-    score = F.arrow_udf(lambda h, p: pa.array(url_scores(h, p, model.value)), "double")
+    spark = df.sparkSession
+    bounded_batches(spark)
+    model = spark.sparkContext.broadcast(fit(sampled_urls(labelled) if isinstance(labelled, DataFrame) else labelled))
+
+    def scores(host, path):
+        found = pa.array(url_scores(host, path, model.value))
+        release_memory()
+        return found
+
+    score = F.arrow_udf(scores, "double")
     host, path = split_url(F.col(url_col))
     rows = df.withColumns({"host": host, "path": path})
     rows = rows.withColumns({"rule": longest_rule(F.col("host"), F.col("path"), rules), "block_score": score("host", "path")})

@@ -1,10 +1,19 @@
+import os
 import re
+import subprocess
+import sys
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfcast.llm import url_filter as U
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+MODEL = U.fit()
+
 
 def split(url):
     if url is None or "://" not in url:
@@ -53,16 +62,74 @@ def test_table(spark):
 
 
 def test_model_separates_hosts_it_has_not_seen():
-    import pyarrow as pa
-
     model = U.fit()
     bad = ["casino-win.example.org", "www.cheap-pills.test", "ads-track.example.com", "adult-x.example.net"]
-    good = ["museum.example.org", "www.thornville.test", "news.example.com", "m.bakery.example.net"]
+    good = ["museum.example.org", "www.sunflower.test", "weather-news.example.com", "m.watchmaker.example.net"]
     paths = pa.array(["/en/12"] * 4)
     assert (U.url_scores(pa.array(bad), paths, model) > 0.5).all()
     assert (U.url_scores(pa.array(good), paths, model) < 0.5).all()
 
 
+#: hosts of another kind than the labelled file's: it decides nothing here
+LOANS = [(f"https://{name}{i}.test/{i}", int(name == "loan-shark-")) for i in range(30) for name in ("loan-shark-", "pasture")]
+
+
+def test_labels_from_a_table(spark):
+    table = spark.createDataFrame([*LOANS, LOANS[0], (None, 1), ("http://x/", None), ("http://y/", 7)], "url string, label int")
+    assert sorted(U.sampled_urls(table)) == sorted(LOANS)
+    assert len(U.sampled_urls(table, most=7)) == 7
+    pages = spark.createDataFrame([(1, "https://loan-shark-99.test/5"), (2, "https://pasture99.test/5")], "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in U.judge(pages, labelled=table).collect()}
+    assert got == {1: "block", 2: "allow"}
+
+
+def brute_score(host, path, model):
+    """Dictionary of n-grams of each field, one text at a time."""
+    logit = model[0]
+    for text, table in zip((host, path), model[1:], strict=True):
+        rows, buckets, counts = U.field_grams(pa.array([text]))
+        logit += float(table[buckets].sum(dtype=float)) / max(1, counts[0]) ** 0.5
+    return 1 / (1 + np.exp(-logit))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aB- .é/", max_size=30), min_size=1, max_size=5), st.sampled_from([4, 7, 16, 1 << 18]))
+def test_pieces_change_no_score(texts, piece):
+    model, whole = MODEL, U.PIECE
+    try:
+        U.PIECE = piece
+        got = U.url_scores(pa.array(texts), pa.array(texts[::-1]), model)
+    finally:
+        U.PIECE = whole
+    assert got == pytest.approx([brute_score(h, p, model) for h, p in zip(texts, texts[::-1], strict=True)], rel=1e-9)
+
+
+def test_a_model_without_labels_of_one_class():
+    for labelled in ([], [("http://a/", 1)], [("http://a/", 0)]):
+        score = U.url_scores(pa.array(["a", None]), pa.array(["", None]), U.fit(labelled))
+        assert ((score >= 0) & (score <= 1)).all()
+
+
+def test_very_long_urls_in_little_memory():
+    """A URL of 16 MB is scored in pieces: well under 300 MB on top of what is loaded."""
+    code = (
+        "import resource, pyarrow as pa; from shelfcast.llm import url_filter as U; model = U.fit();"
+        "peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; before = peak();"
+        "U.url_scores(pa.array(['x.org']), pa.array(['ab/c1-xyz' * (16_000_000 // 9)]), model); print(peak() - before)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT)
+    assert int(out.stdout) < 200_000
+
+
+def test_long_urls_and_clashing_names(spark):
+    long = "http://example.com/en/" + "x1/" * 300_000
+    pages = spark.createDataFrame([(i, u, 1, 2, 3, 4) for i, u in enumerate([long, long, None])],
+                                  "page_id bigint, url string, Path int, RULE int, verdict int, block_score int")
+    rows = U.judge(pages).collect()
+    assert [r["path"] for r in rows] == [split(long)[1]] * 2 + [""]
+    assert rows[0]["block_score"] == rows[1]["block_score"] and 0 <= rows[0]["block_score"] <= 1
+
+
 def test_empty_table_and_no_rules(spark):
     none = spark.createDataFrame([], "page_id bigint, url string")
     assert U.judge(none).collect() == []

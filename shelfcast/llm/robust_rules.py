@@ -7,9 +7,9 @@ squared Mahalanobis distance is above the chi-square quantile CUTOFF.
 
 The estimate covers all documents that pass the base rules. It is made from three starts: medians
 with median deviations, the plain moments, and the moments of directions from the medians (spatial
-signs). From each, concentration steps keep, in each language and source, the HALF share of
-documents that are nearest to the last estimate and take their mean and covariance; each group goes
-on with the start whose covariance has the least determinant. A last step reweighs: it keeps all
+signs). From each, a concentration step keeps, in each language and source, the HALF share of
+documents that are nearest to the last estimate and takes their mean and covariance; each group goes
+on with the one of least determinant, for STEPS steps in all. A last step reweighs: it keeps all
 within the 97.5 % quantile. Every step is two grouped aggregates over a narrow written table, so a
 source that holds most rows is combined on the map side like any other, and the number of sources
 may grow. Estimates are never made from nothing: a group's moments are joined by those of its
@@ -292,16 +292,15 @@ def fit(rows, lang_col="lang", source_col="source", tail=TAIL):
     groups = written(_levels(good), "mcd-groups")
     found = None
     for start, estimates in enumerate(_starts(good, groups)):
-        for _ in range(STEPS if estimates is not None else 0):
-            estimates = concentrate(good, groups, estimates)
-            if estimates is None:
-                break
+        estimates = estimates and concentrate(good, groups, estimates)
         if estimates is not None:
             one = estimates.select(*KEYS, F.struct("volume", F.lit(start).alias("start"), "center", "precision").alias("one"))
             found = one if found is None else found.union(one)
     if found is None:  # no document passes the base rules
         return good.select(*KEYS, F.array(F.lit(0.0)).alias("center"), F.array(F.lit(0.0)).alias("precision"))
     best = written(found.groupBy(*KEYS).agg(F.min("one").alias("one")).select(*KEYS, "one.*"), "mcd")
+    for _ in range(STEPS - 1):
+        best = concentrate(good, groups, best) or best
     measured = _measured(good, best)
     least = _least_spread(good, measured, tail)
     factor = 0.975 / (1 - _upper_tail(chi_square_quantile(0.025), DIMENSIONS + 2))

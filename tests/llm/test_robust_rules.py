@@ -170,15 +170,16 @@ def numpy_estimate(x, words):
     first = np.diag(1 / ((1.4826 * median(np.abs(x - middle))) ** 2 + np.square(R.START_SPREAD)))
     length = np.sqrt(distances(middle, first, x))[:, None]
     sphere = middle + (x - middle) / np.where(length > 0, length, np.inf)
-    found = []
-    for center, precision in ((middle, first), moments(x, 1.0, R.START_SPREAD)[:2], moments(sphere, float(d), R.START_SPREAD)[:2]):
-        for _ in range(R.STEPS):
-            dist = distances(center, precision, x)
-            limit = np.sort(dist)[int(np.ceil(R.HALF * len(x))) - 1]
-            factor = R.HALF / (1 - upper(R.chi_square_quantile(1 - R.HALF), d + 2))
-            center, precision, volume = moments(x[dist <= limit], factor, R.START_SPREAD)
-        found.append((volume, center, precision))
-    _, center, precision = min(found, key=lambda f: f[0])
+    def concentrated(center, precision):
+        dist = distances(center, precision, x)
+        limit = np.sort(dist)[int(np.ceil(R.HALF * len(x))) - 1]
+        factor = R.HALF / (1 - upper(R.chi_square_quantile(1 - R.HALF), d + 2))
+        return moments(x[dist <= limit], factor, R.START_SPREAD)
+
+    starts = ((middle, first), moments(x, 1.0, R.START_SPREAD)[:2], moments(sphere, float(d), R.START_SPREAD)[:2])
+    center, precision, _ = min((concentrated(*s) for s in starts), key=lambda f: f[2])
+    for _ in range(R.STEPS - 1):
+        center, precision, _ = concentrated(center, precision)
     dist = distances(center, precision, x)
     off = x[dist <= R.chi_square_quantile(R.TAIL)] - center
     ends = np.sort(np.abs(off), axis=0)[int(np.ceil(0.99 * len(off))) - 1] / 2.575829

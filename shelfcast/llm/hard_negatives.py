@@ -16,7 +16,7 @@ Each task keeps the k best of each anchor (of each anchor and positive); these a
 steps. Anchors go in blocks of ANCHOR_BLOCK at most (a bounded broadcast), each block reads all rows.
 Directions are chosen farthest first among SAMPLE rows with the smallest hashes; they only change how
 many windows are scored. Of rows equal in label and vector none beyond the smallest ids can be among
-the best (Spark cuts these groups on the map side).
+the best (Spark cuts these groups on the map side); anchors are taken from all rows.
 
 Defined cases: rows with a null id, label or vector, or a null or non-finite component, take no part;
 vectors of different lengths are not compared; a row is not compared with rows of its own id;
@@ -280,6 +280,7 @@ def mine(df, anchor, positives=5, negatives=5, low=80, high=100, id_col="vec_id"
     order = Window.partitionBy("label", "key").orderBy("id")
     heads = rows.distinct().withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most).drop("nth", "key")
     heads = written(heads, "vectors")
+    anchors = rows.filter(anchor).drop("key")  # of all rows: a copy that can be nobody's best is an anchor like any other
     sample = heads.orderBy(F.xxhash64("id", "v")).limit(SAMPLE).select("v").collect()
     directions = directions_of([r["v"] for r in sample])
     shared = spark.sparkContext.broadcast(directions)
@@ -288,7 +289,7 @@ def mine(df, anchor, positives=5, negatives=5, low=80, high=100, id_col="vec_id"
     table = table.withColumn("size", F.size("v")).withColumn("to_near", to_near)
     by = ("size", "near", "to_near", "id")
     stored = written(table.repartitionByRange(*by).sortWithinPartitions(*by).select("id", "label", "v", "angles", "norm"), "angles")
-    asked = heads.filter(anchor).groupBy("id").agg(F.min(F.struct("label", "v")).alias("row"))
+    asked = anchors.groupBy("id").agg(F.min(F.struct("label", "v")).alias("row"))
     asked = written(asked.select("id", "row.*"), "anchors")
     blocks = max(1, math.ceil(asked.count() / (anchor_block / 2)))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))

@@ -97,3 +97,10 @@ def test_bounds_hold_and_windows_are_left_out():
 @pytest.mark.parametrize("rows", [[], [(1, 1, None)], [(1, 1, [1.0])]])
 def test_empty(spark, rows):
     assert found(spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>"), [1]) == set()
+
+
+def test_copies_with_large_ids_are_anchors(spark):
+    """Only the six smallest of equal rows can be among the best, but each of them is asked for."""
+    rows = [(i, 1, [1.0, 0.5]) for i in range(40)] + [(100 + i, 2, [0.95, 0.5]) for i in range(10)]
+    got, asked = found(table(spark, rows), [0, 30, 39, 109]), [0, 30, 39, 109]
+    assert got == brute(rows, asked) and {r[0] for r in got} >= {0, 30, 39}

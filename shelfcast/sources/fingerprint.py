@@ -102,7 +102,7 @@ class FileHashes:
             sums = day_sums(rows, "source_file").withColumnRenamed("source_file", "path")
             found = new.join(sums, "path", "left")  # a file without dated rows has one row without a date
             parts = found.groupBy("path").agg(F.count("date").alias("parts"))
-            found.join(parts, "path").select(*[c.split()[0] for c in self.SCHEMA.split(", ")]).coalesce(1).write.mode("append").parquet(self.store)
+            found.join(parts, "path").select(*[c.split()[0] for c in self.SCHEMA.split(", ")]).repartition("path").write.mode("append").parquet(self.store)
         now = self.known().join(files, names, "left_semi").filter("date IS NOT NULL")
         sums = F.sum(F.col("hash_sum").cast("decimal(38,0)")).cast("string").alias("hash_sum")
         return now.groupBy("date").agg(F.sum("n_rows").alias("n_rows"), sums)

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfcast.llm.tables import bounded_batches, documents, written
-from shelfcast.llm.textops import LOWER, crc_mod, hash_spans, mix64, slices, word_bounds
+from shelfcast.llm.textops import LOWER, crc_mod, hash_spans, mix64, release_memory, slices, word_bounds
 
 HEAD = 20
 CLASSES = 32
@@ -53,6 +53,8 @@ ROWS = 1 << 14
 ROUNDS = 2
 KNOWN = 100_000
 BATCH = 2_048
+SHORT_RUN = 8
+WAITING = 1 << 20  # tokens' weight rows that are counted together
 STEP = 0.4
 PRIOR = 1.0
 TASK_TOKENS = 1 << 22
@@ -126,8 +128,8 @@ def features(codes, bounds, start):
     return np.stack([(mix64(k) % np.uint64(ROWS)).astype(np.uint16) for k in keys])
 
 
-def _softmax(weights, bias, rows):
-    """Probabilities of each token; ``weights`` of None are zero."""
+def _exponentials(weights, bias, rows):
+    """Each token's probabilities before they are divided by their sum, and the sum; ``weights`` of None are zero."""
     if weights is None:
         logits = np.array(np.broadcast_to(bias, (rows.size // len(rows), bias.shape[-1])))
     else:
@@ -144,10 +146,44 @@ def _softmax(weights, bias, rows):
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
         sums = p @ ones
+    return p, sums
+
+
+def _softmax(weights, bias, rows):
+    """Probabilities of each token; ``weights`` of None are zero."""
+    p, sums = _exponentials(weights, bias, rows)
     p /= sums[:, None]
     return p
 
 
+def _chosen(weights, bias, rows, taken):
+    """Probability of the outcome ``taken`` of each token."""
+    p, sums = _exponentials(weights, bias, rows)
+    return p[np.arange(len(p)), taken] / sums
+
+
+def _put(table, rows, values):
+    """table[rows] = values, for contiguous tables; rows are copied as one item each."""
+    item = f"V{table.itemsize * table.shape[1]}"
+    table.view(item).ravel().put(rows, values.view(item).ravel())
+
+
+def _run_sums(values, places, first, times):
+    """Sums of values[places] over runs of places, which begin at ``first`` and have ``times`` members."""
+    sums = values.take(places[first], axis=0)
+    more, k = np.flatnonzero(times > 1), 1
+    while len(more) and k < SHORT_RUN:  # most are short: the k-th members of all of them at once
+        _put(sums, more, sums.take(more, axis=0) + values.take(places[first[more] + k], axis=0))
+        k += 1
+        more = more[times[more] > k]
+    if len(more):
+        rest = times[more] - k
+        starts = np.cumsum(rest) - rest
+        inside = np.arange(starts[-1] + rest[-1]) + np.repeat(first[more] + k - starts, rest)
+        sums[more] += np.add.reduceat(values.take(places[inside], axis=0), starts, axis=0)
+    return sums
+
+
 class Learner:
     """Adds up the gradient of a part of the documents at given weights."""
 
@@ -156,7 +192,15 @@ class Learner:
         self._given = weights if weights.any() else None
         self._seen = np.zeros(weights.size, np.int64)
         self._waiting, self._size = [], 0
-        self.expected = np.zeros(weights.shape, np.float32)
+        self._expected = np.zeros(weights.shape, np.float32)
+
+    @property
+    def expected(self):
+        """How often the model expected each outcome at each weight row."""
+        if self._given is None:  # the same shares for every token
+            shares = _softmax(None, self.bias, np.zeros((1, 1), np.int64))
+            return (self.seen.sum(axis=1, keepdims=True) * shares.astype(float)).astype(np.float32)
+        return self._expected
 
     @property
     def seen(self):
@@ -171,36 +215,38 @@ class Learner:
         """The weights after a step with this part alone."""
         return self.start + (STEP * np.log((self.seen + PRIOR) / (self.expected + PRIOR))).astype(np.float32)
 
-    def add(self, rows, p, taken):
-        """Tokens with the weight rows ``rows``, probabilities ``p`` and outcomes ``taken``."""
-        n, flat = len(p), rows.ravel()
-        cells = (rows.reshape(-1, n).astype(np.int32) * np.int32(p.shape[1]) + taken.astype(np.int32)).ravel()
+    def see(self, rows, taken):
+        """Tokens with the weight rows ``rows`` and outcomes ``taken``."""
+        n = len(taken)
+        cells = (rows.reshape(-1, n).astype(np.int32) * np.int32(self.start.shape[1]) + taken.astype(np.int32)).ravel()
         self._waiting.append(cells)
         self._size += len(cells)
         if self._size > len(self._seen):
             self.seen  # counted in one go
-        order = np.argsort(flat, kind="stable" if flat.itemsize == 2 else None)
-        ranked = flat[order]
+
+    def expect(self, rows, p):
+        """Tokens with the weight rows ``rows`` and probabilities ``p``."""
+        n = len(p)
+        shift = max(1, n - 1).bit_length()
+        kind = np.uint32 if len(self.start) << shift <= 1 << 32 else np.uint64
+        # the row and the token in one number, which sorts faster than places do
+        both = ((rows.reshape(-1, n).astype(kind) << kind(shift)) | np.arange(n, dtype=kind)).ravel()
+        both.sort()
+        ranked, token = both >> kind(shift), (both & kind((1 << shift) - 1)).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1))
-        touched, times = ranked[first], np.diff(np.append(first, len(ranked)))
-        order %= n
-        sums = p.take(order[first], axis=0)
-        many = np.flatnonzero(times > 1)
-        if len(many):
-            # the rows used more than once, side by side
-            inside = np.repeat(times > 1, times)
-            starts = np.concatenate(([0], np.cumsum(times[many])[:-1]))
-            sums[many] = np.add.reduceat(p.take(order[inside], axis=0), starts, axis=0)
-        sums += self.expected.take(touched, axis=0)
-        self.expected[touched] = sums
+        touched, times = ranked[first].astype(np.int64), np.diff(first, append=len(both))
+        sums = _run_sums(p, token, first, times)
+        sums += self._expected.take(touched, axis=0)
+        _put(self._expected, touched, sums)
 
     def learn(self, column, codes):
         for _, hashes, buckets, bounds in tokens(column):
             code = codes.of(hashes, buckets)
             rows, classes = features(code, bounds, codes.start), codes.classes[code]
-            for at in range(0, len(code), BATCH):
+            self.see(rows, classes)
+            for at in range(0, len(code) if self._given is not None else 0, BATCH):
                 part = rows[:, at : at + BATCH]
-                self.add(part, _softmax(self._given, self.bias, part), classes[at : at + BATCH])
+                self.expect(part, _softmax(self._given, self.bias, part))
 
 
 class Within(NamedTuple):
@@ -234,9 +280,8 @@ class Within(NamedTuple):
         for a in range(0, len(inside), BATCH):
             here = inside[a : a + BATCH]
             nodes, taken, cells = self.places(hashes[here], classes[here] - HEAD - 1)
-            p = _softmax(self.weights, self.offsets.take(nodes.ravel(), axis=0), self.rows(keys[:, here], nodes))
-            p = np.maximum(p[np.arange(len(p)), taken.ravel()], 1e-30).reshape(nodes.shape)
-            out[here] = np.log10(p).sum(axis=0) + np.log10(np.maximum(mass[classes[here]] - 1, 1) / np.maximum(self.cells[cells], 1))
+            p = _chosen(self.weights, self.offsets.take(nodes.ravel(), axis=0), self.rows(keys[:, here], nodes), taken.ravel())
+            out[here] = np.log10(np.maximum(p, 1e-30)).reshape(nodes.shape).sum(axis=0) + np.log10(np.maximum(mass[classes[here]] - 1, 1) / np.maximum(self.cells[cells], 1))
         return out
 
 
@@ -249,11 +294,36 @@ def contexts(hashes, bounds):
 
 
 class WithinLearner(Learner):
-    """Adds up the gradient of the second factor."""
+    """Adds up the gradient of the second factor.
+
+    Without weights the probabilities follow from the node alone, so tokens are first counted by
+    weight row and node, ``WAITING`` of them at a time.
+    """
 
     def __init__(self, within):
         super().__init__(within.weights, None)
         self.within = within
+        self._met, self._many = [], 0
+        if self._given is None:
+            self._shares = _softmax(None, within.offsets, np.zeros((1, len(within.offsets)), np.int64))
+
+    @property
+    def expected(self):
+        if self._met:
+            both = np.concatenate(self._met)
+            self._met, self._many = [], 0
+            both.sort()
+            first = np.concatenate(([0], np.flatnonzero(both[1:] != both[:-1]) + 1))
+            times, both = np.diff(first, append=len(both)).astype(np.float32), both[first]
+            for a in range(0, len(both), 1 << 16):
+                row, node = np.divmod(both[a : a + (1 << 16)], len(self._shares))
+                begin = np.concatenate(([0], np.flatnonzero(row[1:] != row[:-1]) + 1))
+                shares = self._shares.take(node, axis=0)
+                shares *= times[a : a + (1 << 16), None]
+                sums = _run_sums(shares, np.arange(len(row)), begin, np.diff(begin, append=len(row)))
+                sums += self._expected.take(row[begin], axis=0)
+                _put(self._expected, row[begin], sums)
+        return self._expected
 
     def learn(self, column, codes):
         for _, hashes, buckets, bounds in tokens(column):
@@ -262,9 +332,15 @@ class WithinLearner(Learner):
             for a in range(0, len(inside), BATCH):
                 here = inside[a : a + BATCH]
                 nodes, taken, _ = self.within.places(hashes[here], classes[here] - HEAD - 1)
-                rows = self.within.rows(keys[:, here], nodes)
-                p = _softmax(self._given, self.within.offsets.take(nodes.ravel(), axis=0), rows)
-                self.add(rows, p, taken.ravel())
+                rows, nodes = self.within.rows(keys[:, here], nodes), nodes.ravel()
+                self.see(rows, taken.ravel())
+                if self._given is not None:
+                    self.expect(rows, _softmax(self._given, self.within.offsets.take(nodes, axis=0), rows))
+                    continue
+                self._met.append((rows * len(self._shares) + nodes).ravel())
+                self._many += rows.size
+                if self._many > WAITING:
+                    self.expected  # counted in one go
 
 
 def group_buckets(together, groups, rounds=12):
@@ -310,6 +386,8 @@ def _counted(batches):
                     size = 0
     if waiting:
         yield batch(out(waiting))
+    del waiting
+    release_memory()
 
 
 def word_counts(docs, text_col="text"):
@@ -336,6 +414,7 @@ def _preceded(head):
         rows = np.flatnonzero(total.any(axis=1))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, total.shape[1] * len(rows) + 1, total.shape[1]), pa.int32()), pa.array(total[rows].ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(rows), lists], ["bucket", "n"])
+        release_memory()
 
     return run
 
@@ -349,16 +428,19 @@ def _learned(shared):
         width = learner.start.shape[1]
         for b in batches:
             learner.learn(b.column(0), codes)
-        touched = np.flatnonzero(learner.seen.any(axis=1))
+        release_memory()
+        touched, sums = np.flatnonzero(learner.seen.any(axis=1)), learner.expected
         for a in range(0, len(touched), 1 << 15):
             rows = touched[a : a + (1 << 15)]
-            expected = learner.expected[rows].astype(np.float64)
+            expected = sums[rows].astype(np.float64)
             # in steps of a 32,767th of the row's largest sum, as each task sends most rows
             scale = np.maximum(expected.max(axis=1), 1e-30) / 32_767
             steps = np.rint(expected / scale[:, None]).astype(np.int16)
             at = pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32())
             seen, expected = (pa.ListArray.from_arrays(at, pa.array(v.ravel())) for v in (learner.seen[rows].astype(np.int32), steps))
             yield pa.RecordBatch.from_arrays([pa.array(rows), seen, pa.array(scale), expected], ["row", "seen", "scale", "expected"])
+        del learner, sums
+        release_memory()
 
     return run
 
@@ -467,6 +549,23 @@ def fit_within(docs, model, counts, text_col="text", rounds=ROUNDS):
     return within
 
 
+def _finder(known):
+    """A function that gives for hashes where they would be in sorted ones (the last place at most)."""
+    shift = np.uint64(64 - max(1, len(known)).bit_length())
+    first = np.searchsorted(known, np.arange(1 << (64 - int(shift)), dtype=np.uint64) << shift)
+    last = len(known) - 1
+
+    def places(hashes):
+        at = np.minimum(first[(hashes >> shift).astype(np.int64)], last)
+        more = np.flatnonzero(known[at] < hashes)
+        while len(more := more[at[more] < last]):
+            at[more] += 1
+            more = more[known[at[more]] < hashes[more]]
+        return at
+
+    return places
+
+
 def _scored(shared, names):
     """Rows with what a task can tell of each text, and the words whose counts it lacks."""
 
@@ -475,7 +574,7 @@ def _scored(shared, names):
 
         model, within = shared.value
         row = TaskContext.get().partitionId() << 36
-        codes = model.codes
+        codes, places = model.codes, _finder(model.known)
         for batch in batches:
             at = 0
             for first, hashes, buckets, bounds in tokens(batch.column(0)):
@@ -483,12 +582,12 @@ def _scored(shared, names):
                 classes, rows = codes.classes[code], features(code, bounds, codes.start)
                 factor = np.empty(len(code))
                 for a in range(0, len(code), BATCH):
-                    p = _softmax(model.weights, model.bias, rows[:, a : a + BATCH])
-                    factor[a : a + BATCH] = np.log10(np.maximum(p[np.arange(len(p)), classes[a : a + BATCH]], 1e-30))
+                    p = _chosen(model.weights, model.bias, rows[:, a : a + BATCH], classes[a : a + BATCH])
+                    factor[a : a + BATCH] = np.log10(np.maximum(p, 1e-30))
                 factor -= np.log10(model.mass[classes])
                 trained = within.log10(hashes, classes, contexts(hashes, bounds), model.mass) if within else np.zeros(len(code))
                 if len(model.known):
-                    place = np.minimum(np.searchsorted(model.known, hashes), len(model.known) - 1)
+                    place = places(hashes)
                     found = model.known[place] == hashes
                     seen = np.where(found, model.known_counts[place], 0)
                 else:
@@ -514,6 +613,7 @@ def _scored(shared, names):
                 at += n
                 yield pa.RecordBatch.from_arrays(columns, [*names, "lm_row", "n_tokens", "lm_factor", "lm_log", "lm_known", "lm_words", "lm_times", "lm_paths"])
             row += at
+            release_memory()
 
     return run
 

@@ -180,3 +180,37 @@ def test_probabilities_beyond_single_precision():
     exact = np.exp(exact) / np.exp(exact).sum(axis=1, keepdims=True)
     assert np.allclose(M._softmax(weights, np.zeros(4, np.float32), rows), exact, atol=1e-6)
     assert np.allclose(M._softmax(None, weights[1], rows), exact[[1, 1, 1]], atol=1e-6)
+
+
+def test_sums_over_runs_and_without_weights(docs, monkeypatch):
+    """Rows are summed alike in short and long runs; without weights softmaxes follow the nodes, not the tokens."""
+    rng = np.random.default_rng(3)
+    values, times = rng.random((50, 16), np.float32), np.array([1, 2, 40, 1, 9, 8, 3])
+    places, first = rng.integers(0, 50, times.sum()), np.cumsum(times) - times
+    assert np.allclose(M._run_sums(values, places, first, times), np.add.reduceat(values[places], first, axis=0), rtol=1e-5)
+    known = np.sort(np.append(M.mix64(np.arange(1, 900)), [np.uint64(0), ~np.uint64(0)]))
+    asked = np.concatenate((known, M.mix64(np.arange(5_000)), known - np.uint64(1)))
+    assert (M._finder(known)(asked) == np.minimum(np.searchsorted(known, asked), len(known) - 1)).all()
+
+    counts = written(M.word_counts(docs), "counts")
+    model = M.fit(docs, counts)
+    within = M.fit_within(docs, model, counts)
+    within = within._replace(weights=np.zeros_like(within.weights))
+    texts = docs.select("text").toArrow()["text"].combine_chunks()
+    plain, asked = M._softmax, []
+    monkeypatch.setattr(M, "_softmax", lambda weights, bias, rows: (asked.append(rows.size // len(rows)), plain(weights, bias, rows))[1])
+    learner, codes = M.WithinLearner(within), model.codes
+    learner.learn(texts, codes)
+    exact = np.zeros(learner.expected.shape)
+    assert sum(asked) <= len(within.offsets)
+    for _, hashes, buckets, bounds in M.tokens(texts):
+        classes = codes.classes[codes.of(hashes, buckets)]
+        here = np.flatnonzero(classes > M.HEAD)
+        nodes, _, _ = within.places(hashes[here], classes[here] - M.HEAD - 1)
+        for rows in within.rows(M.contexts(hashes, bounds)[:, here], nodes):
+            np.add.at(exact, rows, plain(None, within.offsets[nodes.ravel()], rows[None]))
+    assert np.allclose(learner.expected, exact, rtol=1e-4, atol=1e-4)
+    first_round = M.Learner(np.zeros_like(model.weights), model.bias)
+    first_round.learn(texts, codes)
+    shares = plain(None, model.bias, np.zeros((1, 1), np.int64))
+    assert np.allclose(first_round.expected, first_round.seen.sum(axis=1, keepdims=True) * shares, rtol=1e-5)

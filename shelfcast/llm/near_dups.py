@@ -137,6 +137,7 @@ def _common(a, b):
         same = (both[1:] == both[:-1]) & (pair[1:] == pair[:-1])
         out[at:to] = np.bincount(pair[1:][same], minlength=to - at)
         at = to
+    release_memory()
     return pa.array(out)
 
 
@@ -244,6 +245,7 @@ def _compare_blocks(percent):
             waiting = table.slice(starts[-1])
         if waiting is not None:
             yield pairs_of(waiting)
+        release_memory()
 
     return run
 

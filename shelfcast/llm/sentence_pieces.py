@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.chunks import ChunkEncoder
 from shelfcast.llm.tables import bounded_batches, documents, without
-from shelfcast.llm.textops import release_memory
+from shelfcast.llm.textops import keep, release_memory
 
 META = "▁"
 #: Kinds of pieces and of models in the file format.
@@ -351,8 +351,9 @@ _compiled: dict[tuple, Transducer] = {}
 
 
 def transducer(shared, most_chunks=MOST_CHUNKS):
-    """The worker's transducer of a broadcast model; compiled once, with what it has learnt."""
+    """The worker's transducer of a broadcast model; compiled once in a stage, with what it has learnt."""
     model = shared.value
+    keep("transducer", _compiled.clear)
     key = zlib.crc32(model), most_chunks
     if key not in _compiled:
         _compiled.clear()

@@ -8,6 +8,7 @@ is cutting at characters.
 from __future__ import annotations
 
 import ctypes
+import gc
 
 import numpy as np
 import pyarrow as pa
@@ -130,8 +131,30 @@ def repeat_rows(first):
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
+_kept = {}  # what this process keeps between tasks: by name, the stage that used it last and what lets go of it
+
+
+def _stage():
+    from pyspark import TaskContext
+
+    task = TaskContext.get()
+    return task.stageId() if task else None
+
+
+def keep(name, forget):
+    """Something is kept between the tasks of a stage; ``forget`` lets go of it when another stage has the worker."""
+    _kept[name] = _stage(), forget
+
+
 def release_memory():
-    """Gives freed memory back to the system: a worker, or the driver, goes on with other work."""
+    """Gives memory back to the system, and what other stages kept: a worker, or the driver, goes on with other work."""
+    now = _stage()
+    others = [n for n, (stage, _) in _kept.items() if stage != now]
+    for name in others:
+        _kept.pop(name)[1]()
+    if others:
+        gc.collect()  # what is kept may hold itself
+        pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:
         trim(0)

@@ -9,12 +9,27 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfcast.llm import sentence_pieces as S
+from shelfcast.llm import textops
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 OWN = S.Transducer(S.read_model(open(MODEL, "rb").read()))
 
 
+def test_a_worker_lets_go_of_the_transducer_in_another_stage(monkeypatch):
+    class Shared:
+        value = open(MODEL, "rb").read()
+
+    stage = [1]
+    monkeypatch.setattr(textops, "_stage", lambda: stage[0])
+    S.transducer(Shared)
+    textops.release_memory()
+    assert S._compiled
+    stage[0] = 2
+    textops.release_memory()
+    assert not S._compiled
+
+
 def same(texts):
     ids, counts = OWN.encode(texts)
     bounds = np.concatenate(([0], np.cumsum(counts)))

@@ -21,7 +21,8 @@ all training documents. In a round every task adds up, at the same weights, how
 row saw each class and how often the model expected it; their difference is the gradient. A grouped
 sum over the tasks gives one scaled step, STEP * log((seen + PRIOR) / (expected + PRIOR)), which to
 first order is the gradient over the expected count. As tasks only add up, the step does not depend
-on how many there are or which rows they hold. The second factor is trained likewise. A task takes
+on how many there are or which rows they hold. The second factor is trained likewise, in the same
+rounds, so that texts are read and cut into words once for both. A task takes
 about TASK_TOKENS tokens, so that what it sends stays in proportion to what it read.
 What the driver receives is bounded: the weights, bucket statistics, the sums of cells and the
 KNOWN most frequent words.
@@ -54,7 +55,6 @@ ROUNDS = 2
 KNOWN = 100_000
 BATCH = 2_048
 SHORT_RUN = 8
-WAITING = 1 << 20  # tokens' weight rows that are counted together
 STEP = 0.4
 PRIOR = 1.0
 TASK_TOKENS = 1 << 22
@@ -66,6 +66,26 @@ END = np.uint64(0x9D39247E33776D41)
 LOG10 = np.log(10.0)
 
 
+def _finder(known, spare=0):
+    """A function that gives for hashes where they would be in sorted ones (the last place at most).
+
+    With ``spare`` bits more of a hash, its first guess is wrong less often.
+    """
+    shift = np.uint64(64 - max(1, len(known)).bit_length() - spare)
+    first = np.searchsorted(known, np.arange(1 << (64 - int(shift)), dtype=np.uint64) << shift)
+    last = len(known) - 1
+
+    def places(hashes):
+        at = np.minimum(first[(hashes >> shift).astype(np.int64)], last)
+        more = np.flatnonzero(known[at] < hashes)
+        while len(more := more[at[more] < last]):
+            at[more] += 1
+            more = more[known[at[more]] < hashes[more]]
+        return at
+
+    return places
+
+
 class Codes(NamedTuple):
     """How words become codes (HEAD words, end, start, buckets) and codes become classes."""
 
@@ -84,13 +104,25 @@ class Codes(NamedTuple):
         """Codes of words; the bucket of the end is -1."""
         codes = buckets + np.int64(self.start + 1)
         if len(self.head):
-            at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
+            at = _finder(self.head, 8)(hashes)
             found = self.head[at] == hashes
             codes[found] = at[found]
         codes[buckets < 0] = self.end
         return codes
 
 
+def _tails(data, starts, ends):
+    """The last three bytes of each word, each plus 1 in nine bits; 0 where the word has fewer."""
+    padded = np.concatenate((np.zeros(3, np.uint8), data, np.zeros(1, np.uint8)))
+    fours = np.lib.stride_tricks.as_strided(padded[:4].view(np.uint32), (len(data) + 1,), (1,))
+    last, lengths = fours[ends], ends - starts
+    tail = ((last >> np.uint32(16)) & np.uint32(255)) + np.uint32(1)
+    for k in (2, 3):
+        byte = ((last >> np.uint32(8 * (3 - k))) & np.uint32(255)) + np.uint32(1)
+        tail |= (byte << np.uint32(9 * (k - 1))) * (lengths >= k).astype(np.uint32)
+    return tail.astype(np.uint64)
+
+
 def tokens(column):
     """(first row, hashes, buckets, bounds by row) of slices of a column; each text ends with END."""
     for at, to, data, offsets in slices(column):
@@ -102,11 +134,7 @@ def tokens(column):
         hashes = np.full(bounds[-1], END)
         buckets = np.full(bounds[-1], -1, np.int64)
         hashes[words] = hash_spans(data, starts, ends)
-        tail = np.zeros(len(starts), np.uint64)
-        for k in range(1, 4):
-            inside = ends - k >= starts
-            tail[inside] |= (data[(ends - k)[inside]].astype(np.uint64) + np.uint64(1)) << np.uint64(9 * (k - 1))
-        buckets[words] = (mix64(tail) % np.uint64(BUCKETS)).astype(np.int64)
+        buckets[words] = (mix64(_tails(data, starts, ends)) % np.uint64(BUCKETS)).astype(np.int64)
         yield at, hashes, buckets, bounds
 
 
@@ -189,7 +217,8 @@ class Learner:
 
     def __init__(self, weights, bias):
         self.start, self.bias = weights, bias
-        self._given = weights if weights.any() else None
+        # a copy: numpy asks for huge pages for it, pickle does not
+        self._given = weights.copy() if weights.any() else None
         self._seen = np.zeros(weights.size, np.int64)
         self._waiting, self._size = [], 0
         self._expected = np.zeros(weights.shape, np.float32)
@@ -240,13 +269,24 @@ class Learner:
         _put(self._expected, touched, sums)
 
     def learn(self, column, codes):
-        for _, hashes, buckets, bounds in tokens(column):
-            code = codes.of(hashes, buckets)
-            rows, classes = features(code, bounds, codes.start), codes.classes[code]
-            self.see(rows, classes)
-            for at in range(0, len(code) if self._given is not None else 0, BATCH):
-                part = rows[:, at : at + BATCH]
-                self.expect(part, _softmax(self._given, self.bias, part))
+        learn([self], column, codes)
+
+    def add(self, hashes, code, classes, bounds, start):
+        """Tokens with their codes and classes; text r has those from bounds[r] to bounds[r + 1]."""
+        rows = features(code, bounds, start)
+        self.see(rows, classes)
+        for at in range(0, len(code) if self._given is not None else 0, BATCH):
+            part = rows[:, at : at + BATCH]
+            self.expect(part, _softmax(self._given, self.bias, part))
+
+
+def learn(learners, column, codes):
+    """Shows the tokens of a column, which are read once, to all learners."""
+    for _, hashes, buckets, bounds in tokens(column):
+        code = codes.of(hashes, buckets)
+        classes = codes.classes[code]
+        for learner in learners:
+            learner.add(hashes, code, classes, bounds, codes.start)
 
 
 class Within(NamedTuple):
@@ -294,53 +334,30 @@ def contexts(hashes, bounds):
 
 
 class WithinLearner(Learner):
-    """Adds up the gradient of the second factor.
-
-    Without weights the probabilities follow from the node alone, so tokens are first counted by
-    weight row and node, ``WAITING`` of them at a time.
-    """
+    """Adds up the gradient of the second factor; without weights the probabilities follow from the node alone."""
 
     def __init__(self, within):
         super().__init__(within.weights, None)
         self.within = within
-        self._met, self._many = [], 0
         if self._given is None:
             self._shares = _softmax(None, within.offsets, np.zeros((1, len(within.offsets)), np.int64))
 
     @property
     def expected(self):
-        if self._met:
-            both = np.concatenate(self._met)
-            self._met, self._many = [], 0
-            both.sort()
-            first = np.concatenate(([0], np.flatnonzero(both[1:] != both[:-1]) + 1))
-            times, both = np.diff(first, append=len(both)).astype(np.float32), both[first]
-            for a in range(0, len(both), 1 << 16):
-                row, node = np.divmod(both[a : a + (1 << 16)], len(self._shares))
-                begin = np.concatenate(([0], np.flatnonzero(row[1:] != row[:-1]) + 1))
-                shares = self._shares.take(node, axis=0)
-                shares *= times[a : a + (1 << 16), None]
-                sums = _run_sums(shares, np.arange(len(row)), begin, np.diff(begin, append=len(row)))
-                sums += self._expected.take(row[begin], axis=0)
-                _put(self._expected, row[begin], sums)
         return self._expected
 
-    def learn(self, column, codes):
-        for _, hashes, buckets, bounds in tokens(column):
-            classes, keys = codes.classes[codes.of(hashes, buckets)], contexts(hashes, bounds)
-            inside = np.flatnonzero(classes > HEAD)
-            for a in range(0, len(inside), BATCH):
-                here = inside[a : a + BATCH]
-                nodes, taken, _ = self.within.places(hashes[here], classes[here] - HEAD - 1)
-                rows, nodes = self.within.rows(keys[:, here], nodes), nodes.ravel()
-                self.see(rows, taken.ravel())
-                if self._given is not None:
-                    self.expect(rows, _softmax(self._given, self.within.offsets.take(nodes, axis=0), rows))
-                    continue
-                self._met.append((rows * len(self._shares) + nodes).ravel())
-                self._many += rows.size
-                if self._many > WAITING:
-                    self.expected  # counted in one go
+    def add(self, hashes, code, classes, bounds, start):
+        keys, inside = contexts(hashes, bounds), np.flatnonzero(classes > HEAD)
+        for a in range(0, len(inside), BATCH):
+            here = inside[a : a + BATCH]
+            nodes, taken, _ = self.within.places(hashes[here], classes[here] - HEAD - 1)
+            rows, nodes = self.within.rows(keys[:, here], nodes), nodes.ravel()
+            self.see(rows, taken.ravel())
+            if self._given is None:
+                p = self._shares.take(nodes, axis=0)
+            else:
+                p = _softmax(self._given, self.within.offsets.take(nodes, axis=0), rows)
+            self.expect(rows, p)
 
 
 def group_buckets(together, groups, rounds=12):
@@ -420,47 +437,56 @@ def _preceded(head):
 
 
 def _learned(shared):
-    """The sums of a task by weight row: (row, seen, scale, expected in steps of the scale)."""
+    """The sums of a task by weight row: (row, seen, scale, expected in steps of the scale).
+
+    Rows are of DIGIT outcomes; a learner with more has several for each of its own. They are numbered on from
+    learner to learner.
+    """
 
     def run(batches):
-        codes, kind, *given = shared.value
-        learner = kind(*given)
-        width = learner.start.shape[1]
+        codes, given = shared.value
+        learners = [kind(*start) for kind, *start in given]
         for b in batches:
-            learner.learn(b.column(0), codes)
+            learn(learners, b.column(0), codes)
         release_memory()
-        touched, sums = np.flatnonzero(learner.seen.any(axis=1)), learner.expected
-        for a in range(0, len(touched), 1 << 15):
-            rows = touched[a : a + (1 << 15)]
-            expected = sums[rows].astype(np.float64)
-            # in steps of a 32,767th of the row's largest sum, as each task sends most rows
-            scale = np.maximum(expected.max(axis=1), 1e-30) / 32_767
-            steps = np.rint(expected / scale[:, None]).astype(np.int16)
-            at = pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32())
-            seen, expected = (pa.ListArray.from_arrays(at, pa.array(v.ravel())) for v in (learner.seen[rows].astype(np.int32), steps))
-            yield pa.RecordBatch.from_arrays([pa.array(rows), seen, pa.array(scale), expected], ["row", "seen", "scale", "expected"])
-        del learner, sums
+        first = 0
+        while learners:
+            learner = learners.pop(0)
+            seen, sums = learner.seen.reshape(-1, DIGIT), learner.expected.reshape(-1, DIGIT)
+            # all outcomes of a row that was met, as those not seen were expected, too
+            touched = np.flatnonzero(np.repeat(learner.seen.any(axis=1), learner.start.shape[1] // DIGIT))
+            for a in range(0, len(touched), 1 << 15):
+                rows = touched[a : a + (1 << 15)]
+                expected = sums[rows].astype(np.float64)
+                # in steps of a 32,767th of the row's largest sum, as each task sends most rows
+                scale = np.maximum(expected.max(axis=1), 1e-30) / 32_767
+                steps = np.rint(expected / scale[:, None]).astype(np.int16)
+                at = pa.array(np.arange(0, DIGIT * len(rows) + 1, DIGIT), pa.int32())
+                columns = [pa.ListArray.from_arrays(at, pa.array(v.ravel())) for v in (seen[rows].astype(np.int32), steps)]
+                yield pa.RecordBatch.from_arrays([pa.array(first + rows), columns[0], pa.array(scale), columns[1]], ["row", "seen", "scale", "expected"])
+            first += len(seen)
+            del learner, seen, sums
         release_memory()
 
     return run
 
 
-def _round(texts, weights, tokens_read, given):
-    """The weights after one round's step, from the sums of all tasks."""
-    shared = texts.sparkSession.sparkContext.broadcast(given)
-    width = weights.shape[1]
+def _round(texts, weights, tokens_read, codes, given):
+    """The learners' weights after one round's step, from the sums of all tasks; ``given`` is what makes each learner."""
+    shared = texts.sparkSession.sparkContext.broadcast((codes, given))
     parts = texts.coalesce(max(1, -(-tokens_read // TASK_TOKENS)))
     learned = parts.mapInArrow(_learned(shared), "row bigint, seen array<int>, scale double, expected array<smallint>")
     learned = learned.repartition("row")  # before the sums, which are wider
     step = [
         (STEP * F.log((F.sum(F.col("seen")[k]) + PRIOR) / (F.sum(F.col("scale") * F.col("expected")[k]) + PRIOR))).cast("float").alias(f"d{k}")
-        for k in range(width)
+        for k in range(DIGIT)
     ]
     moved = learned.groupBy("row").agg(*step).toArrow()
-    weights = weights.copy()
+    after = np.concatenate([w.reshape(-1, DIGIT) for w in weights])
     if len(moved):
-        weights[moved["row"].to_numpy()] += np.stack([moved[f"d{k}"].to_numpy() for k in range(width)], axis=1)
-    return weights
+        after[moved["row"].to_numpy()] += np.stack([moved[f"d{k}"].to_numpy() for k in range(DIGIT)], axis=1)
+    ends = np.cumsum([w.size // DIGIT for w in weights])
+    return [part.reshape(w.shape) for part, w in zip(np.split(after, ends[:-1]), weights, strict=True)]
 
 
 class Model(NamedTuple):
@@ -482,8 +508,25 @@ def _parts(docs, text_col, rounds):
     return [docs.select(text_col).filter(part == number) for number in range(rounds)]
 
 
+def _trained(docs, model, within, text_col, rounds, factors):
+    """The model and its second factor after all rounds; ``factors`` are those trained, "first", "second" or both, in one pass."""
+    for texts in _parts(docs, text_col, rounds):
+        starts = {"first": (Learner, model.weights, model.bias), "second": (WithinLearner, within)}
+        weights = {"first": model.weights, "second": within.weights if within else None}
+        moved = _round(texts, [weights[f] for f in factors], model.tokens // rounds, model.codes, [starts[f] for f in factors])
+        weights |= dict(zip(factors, moved, strict=True))
+        model = model._replace(weights=weights["first"])
+        within = within and within._replace(weights=weights["second"])
+    return model, within
+
+
 def fit(docs, counts, text_col="text", rounds=ROUNDS):
     """A model from all ``docs``; ``counts`` is their written table of word counts."""
+    return _trained(docs, _untrained(docs, counts, text_col), None, text_col, rounds, ["first"])[0]
+
+
+def _untrained(docs, counts, text_col):
+    """A model with its codes, shares and counts, whose weights are zero."""
     top = counts.orderBy(F.desc("c"), "h").limit(KNOWN).toArrow()
     hashes, frequency = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
     head = np.sort(hashes[hashes != END][:HEAD])
@@ -506,8 +549,6 @@ def fit(docs, counts, text_col="text", rounds=ROUNDS):
         mass[np.searchsorted(head, np.array([r["h"]], np.int64).view(np.uint64)[0])] += r["c"] + 1
     mass[: HEAD + 1] = np.maximum(mass[: HEAD + 1], 1)
     weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.log(np.maximum(mass, 1) / np.maximum(mass, 1).sum()).astype(np.float32)
-    for texts in _parts(docs, text_col, rounds):
-        weights = _round(texts, weights, int(sums["n"] or 0) // rounds, (codes, Learner, weights, bias))
     order = np.argsort(hashes)
     return Model(codes, weights, bias, mass, hashes[order], frequency[order], int(sums["n"] or 0), int(sums["v"]))
 
@@ -529,6 +570,17 @@ def _cells(codes, digits):
 
 def fit_within(docs, model, counts, text_col="text", rounds=ROUNDS):
     """The second factor of a model, trained on the same ``docs``."""
+    return _trained(docs, model, _untrained_within(model, counts), text_col, rounds, ["second"])[1]
+
+
+def fit_both(docs, counts, text_col="text", rounds=ROUNDS):
+    """What ``fit`` and ``fit_within`` give, as (model, second factor); each round reads its documents once for both."""
+    model = _untrained(docs, counts, text_col)
+    return _trained(docs, model, _untrained_within(model, counts), text_col, rounds, ["first", "second"])
+
+
+def _untrained_within(model, counts):
+    """A second factor whose weights are zero."""
     groups, digits = CLASSES - HEAD - 1, 1
     while digits < MOST_DIGITS and groups * DIGIT**digits < model.distinct:
         digits += 1
@@ -543,27 +595,7 @@ def fit_within(docs, model, counts, text_col="text", rounds=ROUNDS):
     size = 1
     while size < min(MOST_ROWS, digits * model.tokens):
         size *= 2
-    within = Within(digits, np.concatenate(offsets), cells, np.zeros((size, DIGIT), np.float32))
-    for texts in _parts(docs, text_col, rounds):
-        within = within._replace(weights=_round(texts, within.weights, model.tokens // rounds, (model.codes, WithinLearner, within)))
-    return within
-
-
-def _finder(known):
-    """A function that gives for hashes where they would be in sorted ones (the last place at most)."""
-    shift = np.uint64(64 - max(1, len(known)).bit_length())
-    first = np.searchsorted(known, np.arange(1 << (64 - int(shift)), dtype=np.uint64) << shift)
-    last = len(known) - 1
-
-    def places(hashes):
-        at = np.minimum(first[(hashes >> shift).astype(np.int64)], last)
-        more = np.flatnonzero(known[at] < hashes)
-        while len(more := more[at[more] < last]):
-            at[more] += 1
-            more = more[known[at[more]] < hashes[more]]
-        return at
-
-    return places
+    return Within(digits, np.concatenate(offsets), cells, np.zeros((size, DIGIT), np.float32))
 
 
 def _scored(shared, names):
@@ -573,6 +605,8 @@ def _scored(shared, names):
         from pyspark import TaskContext
 
         model, within = shared.value
+        if within:
+            within = within._replace(weights=within.weights.copy())  # numpy asks for huge pages for it, pickle does not
         row = TaskContext.get().partitionId() << 36
         codes, places = model.codes, _finder(model.known)
         for batch in batches:
@@ -648,6 +682,6 @@ def op6_maxent_lm(spark, sf_dir):
     held_out = crc_mod(F.col("doc_id"), 7) == HELD_OUT
     training = docs.filter(~held_out)
     counts = written(word_counts(training), "lm-counts")
-    model = fit(training, counts)
-    scored = score(docs, model, counts, ["doc_id"], within=fit_within(training, model, counts))
+    model, within = fit_both(training, counts)
+    scored = score(docs, model, counts, ["doc_id"], within=within)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

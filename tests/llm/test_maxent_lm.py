@@ -214,3 +214,27 @@ def test_sums_over_runs_and_without_weights(docs, monkeypatch):
     first_round.learn(texts, codes)
     shares = plain(None, model.bias, np.zeros((1, 1), np.int64))
     assert np.allclose(first_round.expected, first_round.seen.sum(axis=1, keepdims=True) * shares, rtol=1e-5)
+
+
+def test_a_round_reads_its_documents_once_for_both_factors(docs, monkeypatch):
+    """Trained together, the factors are those trained one after the other, from as many rounds as there are parts."""
+    counts = written(M.word_counts(docs), "counts")
+    model = M.fit(docs, counts)
+    within = M.fit_within(docs, model, counts)
+    plain, rounds = M._round, []
+    monkeypatch.setattr(M, "_round", lambda *given: (rounds.append(len(given[-1])), plain(*given))[1])
+    both = M.fit_both(docs, counts)
+    assert rounds == [2] * M.ROUNDS
+    assert np.allclose(both[0].weights, model.weights, atol=1e-3) and np.allclose(both[1].weights, within.weights, atol=1e-3)
+    assert model.weights.any() and within.weights.any()
+
+
+def test_last_bytes_of_words():
+    """Up to three bytes, each plus 1 in nine bits, the last one lowest."""
+    texts = ["a", "", "bc def ghij\tk", "é", " xyz\n", "zz"]
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    starts, ends, _ = M.word_bounds(np.frombuffer(data, np.uint8), offsets)
+    exact = [sum((byte + 1) << 9 * k for k, byte in enumerate(data[a:b][::-1][:3])) for a, b in zip(starts, ends, strict=True)]
+    assert len(exact) == 8 and M._tails(np.frombuffer(data, np.uint8), starts, ends).tolist() == exact
+    assert M._tails(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)).tolist() == []

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
-from shelfcast.llm.tables import bounded_batches, documents, written
+from shelfcast.llm.tables import ROWS_A_TASK, bounded_batches, documents, gathered, written
 from shelfcast.llm.textops import LOWER, hash_spans, mix64, release_memory, slices, stream64, word_bounds
 
 WIDTH = 5
@@ -51,6 +51,7 @@ MOST_DIFFERENT = 172  # sketch bits; at 80 % similarity 113 are expected, with a
 BLOCK = 1_024
 MOST_BITS = 1 << 20  # of the bitmap of one set
 PARITY_BYTES = 1 << 22  # of bitmaps that are compared together
+SETS_A_TASK = 1_024
 SORTED_AT_ONCE = 1 << 15  # hashes of pairs that are compared together
 _SCALE = (stream64(SAMPLES, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (stream64(SAMPLES, 22) >> np.uint64(32)).astype(np.uint32)
@@ -278,25 +279,29 @@ def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
     ``group`` names the component (null: linked with nothing); ``digest`` is xxhash64 of the text.
     """
     signed = written(signatures(df, id_col, text_col, width), "signatures")
+    rows = signed.count()
     values = [F.any_value(c).alias(c) for c in ("n", "keys", "sketch")]  # equal in all rows of a print
-    heads = written(signed.filter("n > 0 AND id IS NOT NULL").groupBy("print").agg(F.min("id").alias("class_id"), *values), "heads")
+    heads = signed.filter("n > 0 AND id IS NOT NULL").groupBy("print").agg(F.min("id").alias("class_id"), *values)
+    heads = written(gathered(heads, rows), "heads")
     # buckets of two and more
     all_keys = written(heads.select("print", F.explode("keys").alias("key")), "buckets")
     counted = all_keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    members = written(all_keys.join(counted, "key"), "members")
-    mates = written(members.groupBy("print").agg(F.sum("m").alias("mates")), "mates")
+    sets_in_all = heads.count()
+    members = written(gathered(all_keys.join(counted, "key"), BANDS * sets_in_all, BANDS * ROWS_A_TASK), "members")
+    mates = written(gathered(members.groupBy("print").agg(F.sum("m").alias("mates")), sets_in_all), "mates")
+    with_mates = mates.count()
     some = heads.join(mates, "print").select("class_id").distinct()
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(some, F.col("id") == F.col("class_id"), "left_semi")
     sets = texts.select(_prints_and_sets(width)("text").alias("s")).select("s.*")
     sets = sets.groupBy("print").agg(F.any_value("shingles").alias("shingles"), F.any_value("parity").alias("parity"))
-    nodes = written(heads.select("print", "n", "keys", "sketch").join(sets, "print"), "nodes")
+    nodes = gathered(heads.select("print", "n", "keys", "sketch").join(sets, "print"), with_mates, SETS_A_TASK)
+    nodes = written(nodes, "nodes")
     # stars
     ranked = members.join(mates, "print")
     pivots = ranked.groupBy("key").agg(F.min(F.struct((-F.col("mates")).alias("few"), "print"))["print"].alias("pivot"))
     stars = members.join(pivots, "key").filter("print <> pivot").select(F.col("pivot").alias("a"), F.col("print").alias("b"))
-    links = written(_linked(_possible(stars.distinct(), nodes, percent), nodes, percent), "links")
-    roots = components(links)
+    roots = components(_linked(_possible(stars.distinct(), nodes, percent), nodes, percent), with_mates)
     # what is left: buckets with several components
     named = members.join(roots.withColumnRenamed("id", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
@@ -309,15 +314,18 @@ def groups(df, id_col="doc_id", text_col="text", width=WIDTH, percent=PERCENT):
     units = units.select("key", "x", "y", "block", "place", "print", "n", "keys", "sketch", "parity")
     units = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
     rest = units.mapInArrow(_compare_blocks(percent), "a binary, b binary")
-    more = written(_linked(rest, nodes, percent), "links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    more = _linked(rest, nodes, percent)
+    for end in ("a", "b"):  # links of the components so far, whose root is their smallest print
+        root = roots.select(F.col("id").alias(end), F.col("root").alias("to"))
+        more = more.join(root, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    further = components(more, with_mates).select(F.col("id").alias("root"), F.col("root").alias("further"))
     # ids: the smallest of a component, by way of one row for each class
     placed = heads.select("print", "class_id").join(roots.withColumnRenamed("id", "print"), "print", "left")
-    placed = placed.withColumn("group", F.coalesce("root", "print")).select("print", "class_id", "group")
+    placed = placed.withColumn("root", F.coalesce("root", "print")).join(further, "root", "left")
+    placed = placed.select("print", "class_id", F.coalesce("further", "root").alias("group"))
     firsts = placed.groupBy("group").agg(F.min("class_id").alias("component_id"))
-    placed = written(placed.join(firsts, "group"), "components")
-    found = signed.select("id", "digest", "n", "print").join(placed, "print", "left")
+    placed = written(gathered(placed.join(firsts, "group"), rows), "components")
+    found = gathered(signed.select("id", "digest", "n", "print").join(placed, "print", "left"), rows)
     alone, named = F.col("n") == 0, F.col("id").isNotNull()
     return found.select(
         "id",

@@ -18,6 +18,19 @@ def written(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_A_TASK = 4_096
+
+
+def gathered(df, rows, each=ROWS_A_TASK):
+    """The table in tasks of some ``each`` rows, as it has about ``rows``, but for every core one.
+
+    A session with many partitions would write a small table as that many files, each of which costs
+    its executor more than the rows in it. For what follows a shuffle, without a Python function after
+    it: a task goes through several partitions in turn, and such a function keeps its buffers till the end.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 BATCH_BYTES = 4 << 20
 
 

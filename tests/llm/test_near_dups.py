@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +60,37 @@ def test_exact_copies_of_a_third_of_all_rows(spark):
     assert all(got[i] == (0 if i % 3 == 0 else i) for i in range(900))
 
 
+def test_small_tables_are_few_files_whatever_the_number_of_partitions(spark, tmp_path, monkeypatch):
+    """Each file costs an executor processes and open buffers; few rows are not as many files as partitions."""
+    conf = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    conf |= {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    there = {p.name for p in shared.glob("*")}
+    before = {k: spark.conf.get(k) for k in conf}
+    monkeypatch.setattr(N, "BLOCK", 16)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = []
+    for i in range(200):
+        copy = list(base) if i % 2 else [f"own{i}" for _ in range(3)] + [f"y{i}x{k}" for k in range(9)]
+        for _ in range(rng.choice([0, 1, 2, 7, 14])):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(copy), "en", "s", 0))
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        found = N.groups(spark.createDataFrame(rows, DOC).coalesce(2), width=2)
+        found.write.parquet(str(tmp_path / "result"))
+        got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == brute([r[:2] for r in rows], 2)
+    tables = [p for p in [*shared.iterdir(), tmp_path / "result"] if p.name not in there]
+    files = {p.name: len(list(p.glob("part-*"))) for p in tables}
+    assert len(files) > 8 and max(files.values()) <= spark.sparkContext.defaultParallelism, files
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = N.groups(odd_docs, width=2).collect()
     assert len(rows) == odd_docs.count()

@@ -12,17 +12,12 @@ from shelfcast.operators.filters import trailing_days
 from shelfcast.operators.metrics import regression_metrics, worst_errors
 from shelfcast.operators.sampling import exact_sample
 from shelfcast.plans.model import score
-from shelfcast.session import shared_dir
+from shelfcast.session import shared_dir, written
 from shelfcast.sources.readers import SALES_COLUMNS, evaluation_columns
 
 REQUEST = ["date", "store_nbr", "item_nbr", "onpromotion"]
 
 
-def _written(df, path):
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @dataclass
 class Evaluation:
     scored: DataFrame
@@ -50,7 +45,7 @@ def evaluate(sales, run, eval_days=14, max_rows=None, seed=42):
     as keys) and a sample is not worth drawing twice; so are the scored rows.
     """
     spark = sales.sparkSession
-    rows = _written(validation_rows(sales, eval_days, max_rows, seed), shared_dir(spark, "validation"))
+    rows = written(validation_rows(sales, eval_days, max_rows, seed), shared_dir(spark, "validation"))
     enriched = run.features.enrich(rows)
     path = shared_dir(spark, "evaluation")
     score(enriched, run.model, run.feature_cols, [*REQUEST, "unit_sales"]).withColumns(
